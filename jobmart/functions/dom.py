@@ -6,15 +6,20 @@ which field — is Spark higher-order functions over that array.
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobmart.functions.text import bind, strip
 
+# Send the Python functions of this module to executors by value: they need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE = T.StructType(
     [
         T.StructField("at", T.IntegerType()),       # position in the array

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Send the Python functions of this module to executors by value: they need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Letters that are already in composed form: Latin incl. precomposed Vietnamese, plus the
 # general punctuation block.  Text made of these needs no normalisation.
 _COMPOSED_ONLY = r"[^\x{0000}-\x{02FF}\x{1EA0}-\x{1EF9}\x{2010}-\x{2027}\x{2030}-\x{205E}]"
