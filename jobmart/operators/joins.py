@@ -16,7 +16,7 @@ BROADCAST_LIMIT = 20 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate: file sizes scaled to the columns read; joins multiply, so the
     estimate of anything but a plain scan errs on the large side."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
