@@ -7,9 +7,10 @@ which field — is Spark higher-order functions over that array.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,9 +32,6 @@ NODE = T.StructType(
         T.StructField("text", T.StringType()),
     ]
 )
-PAGE = T.StructType(
-    [T.StructField("nodes", T.ArrayType(NODE)), T.StructField("error", T.StringType())]
-)
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -86,20 +84,47 @@ class _Nodes(HTMLParser):
         return self.rows
 
 
-def _page(html: str | None) -> dict:
+def _page(html: str | None) -> tuple[list[list] | None, str | None]:
     if html is None:
-        return {"nodes": None, "error": "no page"}
+        return None, "no page"
     try:
-        rows = _Nodes().parse(html)
+        return _Nodes().parse(html), None
     except (AssertionError, ValueError, RecursionError) as problem:
-        return {"nodes": None, "error": repr(problem)}
-    return {"nodes": [dict(zip(NODE.names, row)) for row in rows], "error": None}
-
-
-@F.pandas_udf(PAGE)
-def parse_page(html: pd.Series) -> pd.DataFrame:
-    """struct(nodes, error); a page that cannot be parsed has an error and no nodes."""
-    return pd.DataFrame([_page(h) for h in html], columns=["nodes", "error"])
+        return None, repr(problem)
+
+
+# Pages whose nodes are held at the same time; bounds a task's memory whatever the batch size.
+_PAGES_AT_ONCE = 64
+
+
+def page_parser(html: str, keep: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Function for ``mapInArrow``: the ``keep`` columns, then ``nodes`` and ``page_error``.
+
+    A page that cannot be parsed has an error and no nodes.
+    """
+    fields = [(n, pa.int32()) for n in ("at", "last", "parent")]
+    fields += [(n, pa.string()) for n in ("tag", "cls", "link", "text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, _PAGES_AT_ONCE):
+                part = batch.slice(start, _PAGES_AT_ONCE)
+                pages = [_page(h) for h in part.column(html).to_pylist()]
+                flat = list(zip(*(row for nodes, _ in pages for row in nodes or []))) or [[]] * len(fields)
+                offsets, end = [], 0
+                for nodes, _ in pages:
+                    offsets.append(end if nodes is not None else None)
+                    end += len(nodes or [])
+                struct = pa.StructArray.from_arrays(
+                    [pa.array(values, kind) for values, (_, kind) in zip(flat, fields)], [n for n, _ in fields]
+                )
+                nodes = pa.ListArray.from_arrays(pa.array([*offsets, end], pa.int32()), struct)
+                errors = pa.array([e for _, e in pages], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in keep), nodes, errors], [*keep, "nodes", "page_error"]
+                )
+
+    return run
 
 
 def has_class(node: Column, name: str) -> Column:

@@ -26,6 +26,27 @@ def salary_by(df: DataFrame, keys: Sequence[str], salary: str = "salary_mid") ->
     )
 
 
+def salary_by_dimension(
+    facts: DataFrame, fact_key: str, dimension: DataFrame, dimension_key: str, key: Column,
+    name: str, salary: str = "salary_mid",
+) -> DataFrame:
+    """As ``salary_by`` for a group that a joined table gives (``key`` may explode an array).
+
+    Facts are summed per join key first.  The join then moves one row per key, so neither the
+    number of facts nor a key with a large share of them matters.
+    """
+    sums = facts.filter(F.col(salary) > 0).groupBy(fact_key).agg(
+        F.sum(F.col(salary).cast(MONEY)).alias("_sum"), F.count("*").alias("_n")
+    )
+    grouped = dimension.select(F.col(dimension_key).alias("_key"), key.alias(name))
+    return (
+        sums.join(grouped, F.col(fact_key) == F.col("_key"))
+        .groupBy(name)
+        .agg((F.sum("_sum").cast("double") / F.sum("_n")).alias("avg_salary"), F.sum("_n").alias("n_jobs"))
+        .orderBy(F.desc("avg_salary"), name)
+    )
+
+
 def count_by(df: DataFrame, *keys: str, name: str = "n_jobs") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name)).orderBy(F.desc(name), *keys)
 
@@ -39,8 +60,9 @@ def top_companies(df: DataFrame, k: int = 5, company: str = "company") -> DataFr
     return top(df.groupBy(company).agg(F.count("*").alias("n_jobs")), k, "n_jobs", company)
 
 
-def top_cities(df: DataFrame, k: int = 3, city: str = "city", salary: str = "salary_mid") -> DataFrame:
-    return salary_by(df, [city], salary).limit(k)
+def top_cities(salaries: DataFrame, k: int = 3, city: str = "city") -> DataFrame:
+    """First ``k`` cities of a salary report."""
+    return top(salaries, k, "avg_salary", city)
 
 
 def salary_by_skill(df: DataFrame, skills: str = "skills", salary: str = "salary_mid") -> DataFrame:

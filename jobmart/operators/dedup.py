@@ -23,9 +23,17 @@ def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colu
     return df.withColumn(_RANK, F.row_number().over(first)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def content_hash(df: DataFrame, skip: Sequence[str] = ()) -> Column:
+    """Hash of a row; columns of a type that cannot be hashed count through their JSON form."""
+    columns = [f for f in df.schema if f.name not in skip]
+    plain = [F.col(f.name) for f in columns if "map<" not in f.dataType.simpleString()]
+    maps = [F.to_json(F.struct(f.name)) for f in columns if "map<" in f.dataType.simpleString()]
+    return F.xxhash64(*plain, *maps)
+
+
 def drop_duplicate_urls(df: DataFrame, url: str = "url", newest: str | None = None) -> DataFrame:
     """One row per url: the newest, ties broken by the row's content."""
-    content = F.xxhash64(*df.columns).asc()
+    content = content_hash(df).asc()
     order = [F.col(newest).desc_nulls_last(), content] if newest else [content]
     return keep_first(df, [url], order)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.session import CBO_CONF
@@ -93,58 +93,75 @@ def skill_overlap(job_skills: DataFrame, resume_skills: DataFrame) -> DataFrame:
     return demand.join(supply, "skill", "inner").withColumn("n_pairs", pairs)
 
 
+def _band(size: Column) -> Column:
+    """Size rounded down to four leading binary digits: close sizes share a band."""
+    step = F.call_function("shiftleft", F.lit(1), F.greatest(F.length(F.bin(size)) - 4, F.lit(0)))
+    return (size - size % step).cast("int")
+
+
 def skillset_matches(
     job_skills: DataFrame, resume_skills: DataFrame, job_id: str, resume_id: str, min_score: float
 ) -> DataFrame:
     """Pairs of advert and résumé skill sets with Jaccard score ≥ ``min_score``, exactly.
 
     Inputs are (id, skill) rows.  Equal sets are matched once and carry the number of adverts
-    and résumés that have them.  Two sets that reach the score share one of their rarest
-    ``size - ceil(score * size) + 1`` skills, so only those are joined; a pair is taken at the
-    first skill it shares, so no pair appears twice.
+    and résumés that have them.  Two sets of sizes a and b that reach the score s share at least
+    o = s / (1 + s) * (a + b) skills, hence one of their a - o + 1 and b - o + 1 rarest ones; only
+    those are joined, separately per band of partner sizes.  A skill that most sets have is the last
+    in this order and is joined only where nothing rarer can decide.  A pair is taken at the first
+    skill it shares, so no pair appears twice.
     """
     if not 0 < min_score <= 1:
         raise ValueError("min_score must be in (0, 1]")
+    eps = F.lit(1e-9)  # keeps ceil, floor and >= exact where the product is a whole number
+    score = F.lit(min_score)
     frequency = (
         job_skills.select("skill").unionByName(resume_skills.select("skill"))
         .groupBy("skill").agg(F.count("*").alias("n"))
     )
 
-    def sets(rows: DataFrame, row_id: str, count: str) -> DataFrame:
+    def prefix(skills: Column, partner_band: Column) -> Column:
+        size = F.size(skills)
+        shared = F.ceil(score / (1 + score) * (size + partner_band) - eps).cast("int")
+        return F.slice(skills, F.lit(1), F.greatest(size - shared + 1, F.lit(0)))
+
+    def sets(rows: DataFrame, row_id: str, side: str) -> DataFrame:
         # Rarest skill first; the order is total, so equal sets give equal arrays.
         ordered = F.transform(
             F.array_sort(F.collect_set(F.struct("n", "skill"))), lambda s: s["skill"]
         )
-        return (
+        distinct = (
             rows.join(frequency, "skill")
             .groupBy(row_id).agg(ordered.alias("skills"))
-            .groupBy("skills").agg(F.count("*").alias(count))
+            .groupBy("skills").agg(F.count("*").alias("n"))
         )
-
-    def prefixes(table: DataFrame, skills: str, count: str) -> DataFrame:
-        # A tiny allowance keeps ceil() exact where score * size is a whole number.
         size = F.size("skills")
-        length = size - F.ceil(size * F.lit(min_score) - F.lit(1e-9)).cast("int") + 1
-        return table.select(
-            F.col("skills").alias(skills), count,
-            F.slice("skills", F.lit(1), length).alias(f"{skills}_prefix"),
-        ).withColumn("skill", F.explode(f"{skills}_prefix"))
-
-    left = prefixes(sets(job_skills, job_id, "n_jobs"), "job_skills", "n_jobs")
-    right = prefixes(sets(resume_skills, resume_id, "n_resumes"), "resume_skills", "n_resumes")
-    size_l, size_r = F.size("job_skills"), F.size("resume_skills")
-    eps = 1e-9
-    candidates = left.join(right, "skill").filter(
-        (size_l >= F.lit(min_score) * size_r - eps) & (size_r >= F.lit(min_score) * size_l - eps)
-    ).filter(
-        F.get(F.array_intersect("job_skills_prefix", "resume_skills_prefix"), F.lit(0)) == F.col("skill")
+        partner_sizes = F.sequence(
+            F.ceil(size * score - eps).cast("int"), F.floor(size / score + eps).cast("int")
+        )
+        banded = distinct.select(
+            F.col("skills").alias(f"{side}_skills"), F.col("n").alias(f"n_{side}s"),
+            _band(size).alias(f"{side}_band"),
+            F.explode(F.array_distinct(F.transform(partner_sizes, _band))).alias("partner"),
+        )
+        return banded.withColumn("skill", F.explode(prefix(F.col(f"{side}_skills"), F.col("partner"))))
+
+    left = sets(job_skills, job_id, "job").withColumnRenamed("partner", "resume_band")
+    right = sets(resume_skills, resume_id, "resume").withColumnRenamed("partner", "job_band")
+    met = left.join(right, ["skill", "job_band", "resume_band"])
+    first_met = F.array_intersect(
+        prefix(F.col("job_skills"), F.col("resume_band")), prefix(F.col("resume_skills"), F.col("job_band"))
     )
     shared = F.size(F.array_intersect("job_skills", "resume_skills"))
-    scored = candidates.select(
-        "job_skills", "resume_skills", "n_jobs", "n_resumes", shared.alias("n_shared"),
-        (shared / (size_l + size_r - shared)).alias("score"),
+    together = F.size("job_skills") + F.size("resume_skills") - shared
+    return (
+        met.filter(F.get(first_met, F.lit(0)) == F.col("skill"))
+        .select(
+            "job_skills", "resume_skills", "n_jobs", "n_resumes",
+            shared.alias("n_shared"), (shared / together).alias("score"),
+        )
+        .filter(F.col("score") >= score - eps)
     )
-    return scored.filter(F.col("score") >= F.lit(min_score) - eps)
 
 
 def certificates_by_role(jobs: DataFrame, roles: DataFrame, title: str = "job_title") -> DataFrame:

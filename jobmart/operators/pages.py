@@ -5,8 +5,11 @@ Every function adds one struct or array column per page in a single pass; nothin
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobmart import rules
 from jobmart.functions import dates, dom, items
@@ -14,11 +17,15 @@ from jobmart.functions.location import split_city_address
 from jobmart.functions.text import bind
 
 
-def with_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``nodes`` (NULL for a bad page) and ``page_error``."""
-    return pages.withColumn("_page", dom.parse_page(F.col(html))).select(
-        "*", F.col("_page.nodes").alias("nodes"), F.col("_page.error").alias("page_error")
-    ).drop("_page")
+def with_nodes(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = None) -> DataFrame:
+    """``keep`` (all columns by default) plus ``nodes``, NULL for a bad page, and ``page_error``."""
+    kept = list(keep) if keep is not None else pages.columns
+    schema = T.StructType([
+        *[pages.schema[c] for c in kept],
+        T.StructField("nodes", T.ArrayType(dom.NODE)),
+        T.StructField("page_error", T.StringType()),
+    ])
+    return pages.select(*dict.fromkeys([*kept, html])).mapInArrow(dom.page_parser(html, kept), schema)
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
@@ -52,14 +59,19 @@ def bind_nodes(nodes: Column, tag: str, container: str) -> Column:
     return bind(dom.find(nodes, container), lambda box: dom.find_all(nodes, tag, inside=box))
 
 
-def page_links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
-    """Distinct (page url, link) rows by pattern; relative links get the page's own site."""
+def harvested_links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
+    """(page url, link) rows by pattern, repeats included; relative links get the page's own site."""
     found = pages.select(
         "url", F.explode(F.regexp_extract_all(html, F.lit(r'<a\b[^>]*\bhref="([^"]+)"'), F.lit(1))).alias("href")
     )
     site = F.lit(base) if base else F.regexp_extract("url", r"^(https?://[^/]+)", 1)
     link = F.when(F.startswith("href", F.lit("/")), F.concat(site, F.col("href"))).otherwise(F.col("href"))
-    return found.select("url", link.alias("link")).filter(F.startswith("link", F.lit("http"))).distinct()
+    return found.select("url", link.alias("link")).filter(F.startswith("link", F.lit("http")))
+
+
+def page_links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
+    """Distinct (page url, link) rows."""
+    return harvested_links(pages, html, base).distinct()
 
 
 def job_links(parsed: DataFrame, tag: str, cls_like: str, base: str, cut: str | None = None) -> DataFrame:

@@ -15,13 +15,13 @@ from jobmart.sources import readers, writers
 
 def normalise_job(spark: SparkSession, inputs: Mapping[str, str], output: str, multi_line: bool = False) -> dict:
     """Raw JSON of several boards → canonical adverts as Parquet; returns row and NULL counts."""
-    parts = [
-        dedup.drop_duplicate_urls(
-            adverts.normalise(readers.read_json(spark, path, schemas.BOARDS[board], multi_line), board)
-        )
+    boards = shape.union_sources(
+        adverts.normalise(readers.read_json(spark, path, schemas.BOARDS[board], multi_line), board)
         for board, path in inputs.items()
-    ]
-    rows, seen = quality.observe(shape.union_sources(parts), "normalise")
+    )
+    keyed = dedup.with_row_key(boards)
+    unique = dedup.drop_duplicate_keys(keyed, [dedup.content_hash(keyed).asc()]).drop("row_key")
+    rows, seen = quality.observe(unique, "normalise")
     writers.write_parquet(rows, output)
     return seen.get
 

@@ -157,5 +157,5 @@ def certificates_by_role(spark, folder):
 )
 def new_urls(spark, folder):
     stored = table(spark, folder, "pages")
-    links = pages.page_links(stored).select(F.col("link").alias("url")).distinct()
+    links = pages.harvested_links(stored).select(F.col("link").alias("url")).distinct()
     return joins.unseen(links, stored)

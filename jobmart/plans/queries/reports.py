@@ -24,7 +24,7 @@ def city_salaries(spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, folder, "orders").select("o_custkey", F.col("o_totalprice").alias("salary_mid"))
     places = joins.join_small(customer, nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
+    return analytics.salary_by_dimension(orders, "o_custkey", places, "c_custkey", F.col("city"), "city")
 
 
 _CITY_SQL = f"""SELECT n_name AS city, {_MEAN.format('o_totalprice')} AS avg_salary, count(*) AS n_jobs
@@ -34,7 +34,19 @@ WHERE o_totalprice > 0 GROUP BY 1"""
 
 @query("salary_by_city", _CITY_SQL)
 def salary_by_city(spark, folder):
-    return analytics.salary_by(city_salaries(spark, folder), ["city"])
+    return city_salaries(spark, folder)
+
+
+@query(
+    "salary_by_priority",
+    f"SELECT o_orderpriority AS level, {_MEAN.format('o_totalprice')} AS avg_salary, count(*) AS n_jobs "
+    "FROM orders WHERE o_totalprice > 0 GROUP BY 1",
+)
+def salary_by_priority(spark, folder):
+    orders = table(spark, folder, "orders")
+    return analytics.salary_by(
+        orders.select(F.col("o_orderpriority").alias("level"), F.col("o_totalprice").alias("salary_mid")), ["level"]
+    )
 
 
 @query("top_cities_avg", _CITY_SQL + " ORDER BY avg_salary DESC, city LIMIT 3")
@@ -85,7 +97,9 @@ def top_companies(spark, folder):
 def salary_by_skill(spark, folder):
     part = table(spark, folder, "part").select("p_partkey", F.array("p_type", "p_brand").alias("skills"))
     lines = table(spark, folder, "lineitem").select("l_partkey", F.col("l_extendedprice").alias("salary_mid"))
-    return analytics.salary_by_skill(lines.join(part, F.col("l_partkey") == F.col("p_partkey")))
+    return analytics.salary_by_dimension(
+        lines, "l_partkey", part, "p_partkey", F.explode(F.array_distinct("skills")), "skill"
+    )
 
 
 @query(

@@ -19,7 +19,7 @@ _UNESCAPED = "replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;',
  CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) AS n_paragraphs FROM pages""",
 )
 def page_extract(spark, folder):
-    parsed = pages.with_nodes(table(spark, folder, "pages"))
+    parsed = pages.with_nodes(table(spark, folder, "pages"), keep=["page_id"])
     return pages.page_outline(parsed, "page_id").withColumn("n_paragraphs", F.col("n_paragraphs").cast("bigint"))
 
 
@@ -40,7 +40,7 @@ def page_links(spark, folder):
 )
 def page_job_links(spark, folder):
     """Links of the anchors, read from the parsed nodes instead of by pattern."""
-    parsed = pages.with_nodes(table(spark, folder, "pages").select("url", "html")).withColumn(
+    parsed = pages.with_nodes(table(spark, folder, "pages"), keep=["url"]).withColumn(
         "nodes", F.transform("nodes", lambda n: n.withField("cls", F.coalesce(n["cls"], n["tag"])))
     )
     return pages.job_links(parsed, "a", "a", "https://jobs.example.com")
@@ -50,4 +50,4 @@ def page_job_links(spark, folder):
 def page_quarantine(spark, folder):
     """Pages without content are set aside with a reason; all others have none."""
     stored = table(spark, folder, "pages").withColumn("html", F.when(F.col("page_id") % 10 != 3, F.col("html")))
-    return pages.quarantined(pages.with_nodes(stored)).select("page_id", "page_error")
+    return pages.quarantined(pages.with_nodes(stored, keep=["page_id"]))

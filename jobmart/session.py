@@ -14,6 +14,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages and descriptions are long; smaller batches bound the memory of a Python worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Recording the call site of every column expression makes long rule chains slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Cost-based join reordering works on catalog tables with collected statistics.

@@ -32,32 +32,14 @@ def write_parquet(
 
 
 def write_partitioned(
-    df: DataFrame, path: str, city: str = "city", date: str = "posted_date", mode: str = "overwrite",
-    files_per_city: int = 8,
+    df: DataFrame, path: str, city: str = "city", date: str = "posted_date", mode: str = "overwrite"
 ) -> None:
     """Parquet by city and posting date.
 
-    Rows are hashed on city, date and a small salt first, so a folder gets at most
-    ``files_per_city`` files and a city with a large share of all rows is spread over tasks.
+    The rebalance hint brings rows of a folder together and lets AQE split a folder with a large
+    share of all rows over several tasks, each of about the advisory partition size.
     """
-    hashable = [f.name for f in df.schema if not _has_map(f.dataType)]
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_city))
-    (
-        df.repartition(F.col(city), F.col(date), salt)
-        .write.mode(mode)
-        .partitionBy(city, date)
-        .parquet(path)
-    )
-
-
-def _has_map(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.MapType):
-        return True
-    if isinstance(data_type, T.ArrayType):
-        return _has_map(data_type.elementType)
-    if isinstance(data_type, T.StructType):
-        return any(_has_map(f.dataType) for f in data_type)
-    return False
+    df.hint("rebalance", city, date).write.mode(mode).partitionBy(city, date).parquet(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from jobmart.operators.dedup import keep_first
+from jobmart.operators.dedup import content_hash, keep_first
 from jobmart.sources.writers import SEARCH_FORMAT
 
 
@@ -83,5 +83,5 @@ def for_each_batch(
 
 def latest_by_key(df: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
     """Current rows of a keyed batch log: the newest version per key (upsert on read)."""
-    content = F.xxhash64(*[c for c in df.columns if c != version])
-    return keep_first(df, keys, [F.col(version).desc(), content.asc()]).drop(version)
+    order = [F.col(version).desc(), content_hash(df, skip=[version]).asc()]
+    return keep_first(df, keys, order).drop(version)
