@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmart import rules
-from jobmart.functions.text import WORD, bind, escape
+from jobmart.functions.text import WORD, escape
 
 
 def _is_word(ch: str) -> bool:
@@ -34,13 +34,21 @@ def skill_pattern(keywords: Sequence[str], legacy: bool = False) -> str:
     """One pattern for all keywords, longest first.
 
     The match is zero-width with the keyword captured, so overlapping keywords ("big data
-    warehouse") are found in a single pass over the text.
+    warehouse") are found in a single pass over the text.  Keywords are grouped by their first
+    character, and a position that starts none of them is left at once.
     """
-    by_before: dict[str, list[str]] = {}
-    for word in sorted({k.lower() for k in keywords}, key=lambda w: (-len(w), w)):
+    words = sorted({k.lower() for k in keywords}, key=lambda w: (-len(w), w))
+    groups: dict[str, dict[str, list[str]]] = {}
+    for word in words:
         before, after = _edges(word, legacy)
-        by_before.setdefault(before, []).append(escape(word) + after)
-    return "(?=(" + "|".join(f"{b}(?:{'|'.join(ws)})" for b, ws in by_before.items()) + "))"
+        groups.setdefault(before, {}).setdefault(word[0], []).append(escape(word[1:]) + after)
+    # The condition on the character before is costly, so it stands once in front of its keywords.
+    options = "|".join(
+        before + "(?:" + "|".join(f"{escape(first)}(?:{'|'.join(rest)})" for first, rest in firsts.items()) + ")"
+        for before, firsts in groups.items()
+    )
+    starts = "".join(sorted({escape(word[0]) for word in words}))
+    return f"(?=[{starts}])(?=({options}))"
 
 
 def extract_skills(
@@ -53,27 +61,28 @@ def extract_skills(
     found = F.regexp_extract_all(
         F.lower(F.concat_ws(" ", *texts)), F.lit(skill_pattern(keywords, legacy)), F.lit(1)
     )
-    lowered = {k.lower() for k in keywords}
-    shown_by = {
-        keyword: [keyword.lower()] + sorted(
-            longer for longer in lowered
-            if longer.startswith(keyword.lower()) and _ends_inside(keyword.lower(), longer, legacy)
-        )
-        for keyword in keywords
-    }
-
-    def hits(words: Column) -> Column:
-        return F.array_compact(F.array(*[
-            F.when(F.arrays_overlap(words, F.array(*map(F.lit, by))), F.lit(keyword))
-            for keyword, by in shown_by.items()
-        ]))
-
-    return bind(found, hits)
+    # Found word → the keywords it stands for, with their place in the list.  A constant, so the
+    # work per row depends on the words found and not on the length of the keyword list.
+    stands_for: dict[str, list[tuple[int, str]]] = {k.lower(): [] for k in keywords}
+    for at, keyword in enumerate(keywords):
+        for word, entries in stands_for.items():
+            if word == keyword.lower() or (
+                word.startswith(keyword.lower()) and _ends_inside(keyword.lower(), word, legacy)
+            ):
+                entries.append((at, keyword))
+    table = F.expr("map(" + ", ".join(
+        f"{_quoted(word)}, array(" + ", ".join(f"struct({at} AS at, {_quoted(k)} AS name)" for at, k in entries) + ")"
+        for word, entries in stands_for.items()
+    ) + ")")
+    hits = F.flatten(F.transform(F.array_distinct(found), lambda word: F.try_element_at(table, word)))
+    return F.transform(F.array_sort(F.array_distinct(hits)), lambda hit: hit["name"])
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _ends_inside(word: str, longer: str, legacy: bool) -> bool:
-    if word == longer:
-        return False
     next_is_word = _is_word(longer[len(word)])
     if legacy and not _is_word(word[-1]):
         return next_is_word

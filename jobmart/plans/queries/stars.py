@@ -11,6 +11,7 @@ from jobmart.plans import warehouse
 from jobmart.plans.queries.base import (
     ADVERTS_SQL, PHRASES, adverts, pick, query, sql_labels, sql_pick, table,
 )
+from jobmart.scratch import materialise
 
 _FIXED = [(label, [word]) for word, label in rules.with_trap_rules_first(rules.PROVINCES)]
 
@@ -99,8 +100,11 @@ _CITY = sql_labels("lower(coalesce(location_raw, ''))", _FIXED, "'Khác'")
  FROM canonical WHERE title IS NOT NULL""",
 )
 def star_fact(spark, folder):
-    """Facts with every key resolved against its dimension."""
-    rows = _canonical(spark, folder)
+    """Facts with every key resolved against its dimension.
+
+    Facts and dimensions come from one written table, so the adverts are normalised once.
+    """
+    rows = materialise(_canonical(spark, folder))
     fact = warehouse.fact_job_postings(rows)
     job = warehouse.dim_job(rows).select("job_id", "job_title", "required_skills")
     firm = warehouse.dim_company(rows, "company", "source", "source").select("company_id", "company_name")
