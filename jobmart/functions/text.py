@@ -81,16 +81,18 @@ def first_label(
     ``rules`` are ``(label, keywords)``; with ``whole_words`` a keyword inside a longer word
     does not count.
     """
-    text = F.lower(c)
-    chain = None
-    for label, words in rules:
-        if whole_words:
-            hit = text.rlike(whole_word(words))
-        else:
-            hit = contains_any(text, words)
-        chain = F.when(hit, F.lit(label)) if chain is None else chain.when(hit, F.lit(label))
     default = F.lit(otherwise) if isinstance(otherwise, str) else otherwise
-    return default if chain is None else chain.otherwise(default)
+
+    def chain(text: Column) -> Column:
+        labels = F
+        for label, words in rules:
+            hit = text.rlike(whole_word(words)) if whole_words else contains_any(text, words)
+            labels = labels.when(hit, F.lit(label))
+        return labels.otherwise(default)
+
+    # A few keywords compile to fast code; many are cheaper with the lower-cased text kept.
+    few = sum(len(words) for _, words in rules) <= 32
+    return chain(F.lower(c)) if few else bind(F.lower(c), chain)
 
 
 # Letters, digits and underscore in any script; spelled out because ``\w`` and ``\b`` differ
