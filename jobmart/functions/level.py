@@ -6,31 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmart import rules
-from jobmart.functions.text import alternation, first_label
+from jobmart.functions.text import Rules, alternation, first_label
 
 
-def level(c: Column, whole_words: bool = False) -> Column:
+def level(c: Column, whole_words: bool = False, table: Rules = tuple(rules.LEVELS)) -> Column:
     """Leader > Senior > Junior > Mid-level by contained keyword.
 
     ``whole_words`` stops "cto" from matching "director" and "intern" from matching "internal".
     """
-    return first_label(c, rules.LEVELS, rules.LEVEL_OTHER, whole_words)
+    return first_label(c, table, rules.LEVEL_OTHER, whole_words)
 
 
-def level_by_pattern(c: Column) -> Column:
+def level_by_pattern(c: Column, table: Rules = tuple(rules.LEVELS)) -> Column:
     """Same classes from one regular expression per class; used to cross-check ``level``."""
     text = F.lower(c)
     chain = F
-    for label, words in rules.LEVELS:
+    for label, words in table:
         chain = chain.when(text.rlike(alternation(words)), label)
     return chain.otherwise(rules.LEVEL_OTHER)
 
 
-def level_six(c: Column) -> Column:
+def level_six(c: Column, table: Rules = tuple(rules.LEVELS_SIX)) -> Column:
     return F.when(c.isNull(), rules.UNKNOWN_VI).otherwise(
-        first_label(c, rules.LEVELS_SIX, rules.LEVEL_OTHER)
+        first_label(c, table, rules.LEVEL_OTHER)
     )
 
 
-def level_stream(c: Column) -> Column:
-    return first_label(c, rules.LEVELS_STREAM, rules.LEVEL_OTHER)
+def level_stream(c: Column, table: Rules = tuple(rules.LEVELS_STREAM)) -> Column:
+    return first_label(c, table, rules.LEVEL_OTHER)

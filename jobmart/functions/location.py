@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmart import rules
-from jobmart.functions.text import first_label, strip, title_case
+from jobmart.functions.text import Rules, first_label, strip, title_case
 
 
-def province(c: Column, legacy: bool = False) -> Column:
+def province(
+    c: Column, legacy: bool = False, table: Sequence[tuple[str, str]] = tuple(rules.PROVINCES),
+    otherwise: str = rules.PROVINCE_OTHER,
+) -> Column:
     """63 province labels by the first keyword contained in the address, else "Khác".
 
     ``legacy`` keeps the rule order in which "vinh" hides "trà vinh".
     """
-    table = rules.PROVINCES if legacy else rules.with_trap_rules_first(rules.PROVINCES)
-    return first_label(c, [(label, [word]) for word, label in table], rules.PROVINCE_OTHER)
+    ordered = table if legacy else rules.with_trap_rules_first(list(table))
+    return first_label(c, [(label, [word]) for word, label in ordered], otherwise)
 
 
-def city_five(c: Column) -> Column:
+def city_five(c: Column, table: Rules = tuple(rules.CITIES_FIVE)) -> Column:
     """Five large cities, "Tỉnh thành khác" for the rest, "Không xác định" for NULL."""
     return F.when(c.isNull(), rules.UNKNOWN_VI).otherwise(
-        first_label(c, rules.CITIES_FIVE, rules.CITIES_FIVE_OTHER)
+        first_label(c, table, rules.CITIES_FIVE_OTHER)
     )
 
 
@@ -32,17 +37,17 @@ def city_by_pattern(c: Column) -> Column:
     return F.when(text.rlike(hcm_pattern), hcm).when(text.rlike(hanoi_pattern), hanoi).otherwise(c)
 
 
-def city_stream(c: Column) -> Column:
+def city_stream(c: Column, table: Rules = tuple(rules.CITIES_STREAM)) -> Column:
     """Stream variant with "Remote"; other places in title case, missing ones "Khác"."""
     return F.when(c.isNull() | (c == ""), rules.PROVINCE_OTHER).otherwise(
-        first_label(c, rules.CITIES_STREAM, title_case(c))
+        first_label(c, table, title_case(c))
     )
 
 
-def city_english(c: Column) -> Column:
+def city_english(c: Column, table: Rules = tuple(rules.CITIES_ENGLISH)) -> Column:
     """English labels; other places in title case, NULL gives "Unknown"."""
     return F.when(c.isNull(), "Unknown").otherwise(
-        first_label(c, rules.CITIES_ENGLISH, title_case(strip(c)))
+        first_label(c, table, title_case(strip(c)))
     )
 
 

@@ -70,9 +70,13 @@ def escape(word: str) -> str:
     return "".join("\\" + ch if ch in r"\.[]{}()*+?^$|#-&~" else ch for ch in word)
 
 
+# (label, keywords) in order of precedence.
+Rules = Sequence[tuple[str, Sequence[str]]]
+
+
 def first_label(
     c: Column,
-    rules: Sequence[tuple[str, Sequence[str]]],
+    rules: Rules,
     otherwise: Column | str,
     whole_words: bool = False,
 ) -> Column:

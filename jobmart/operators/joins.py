@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from jobmart.session import CBO_CONF
 
-# Largest estimated size of a table that may be copied to every executor.
+# Largest estimated size of a table that may be copied to every executor.  The estimate of a file
+# scan is the size of the files; ten-fold compression would still be 200 MB in memory.
 BROADCAST_LIMIT = 20 * 1024 * 1024
 
 

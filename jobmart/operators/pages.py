@@ -56,6 +56,7 @@ def page_outline(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def bind_nodes(nodes: Column, tag: str, container: str) -> Column:
+    """Elements inside the first container."""
     return bind(dom.find(nodes, container), lambda box: dom.find_all(nodes, tag, inside=box))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart import schemas
-from jobmart.operators import dedup, quality, shape
-from jobmart.plans import adverts, warehouse
+from jobmart.operators import dedup, pages, quality, shape
+from jobmart.plans import adverts, models, warehouse
+from jobmart.scratch import materialise
 from jobmart.sources import readers, writers
 
 
@@ -57,6 +58,32 @@ def warehouse_job(spark: SparkSession, source: str, output: str, companies: Data
         writers.write_parquet(table, f"{output}/{name}")
 
 
+def extract_job(spark: SparkSession, stored: str, board: str, output: str, quarantine: str) -> None:
+    """Stored pages → raw records of one board as JSON; unreadable pages go to ``quarantine``."""
+    # Written once, so pages are parsed once for the two outputs.
+    parsed = materialise(pages.with_nodes(spark.read.parquet(stored)))
+    extract = {"a": pages.board_a, "b": pages.board_b, "c": pages.board_c_detail, "d": pages.board_d}[board]
+    title = {"a": "tieu_de", "b": "tieu_de", "d": "job_title"}.get(board)
+    records = extract(parsed)
+    writers.write_json(pages.titled(records, title) if title else records, output)
+    writers.write_parquet(pages.quarantined(parsed), quarantine)
+
+
+def train_job(spark: SparkSession, clean: str, model_path: str) -> dict:
+    """Cleaned adverts → salary model; returns row counts and the error on held-out rows."""
+    rows = materialise(models.training_rows(spark.read.parquet(clean)))
+    train, held_out = models.hash_split(rows, F.col("url"))
+    model = models.salary_regression().fit(train)
+    writers.save_model(model, model_path)
+    return {"n_train": train.count(), "n_held_out": held_out.count(), "rmse": models.rmse(model.transform(held_out))}
+
+
+def predict_job(spark: SparkSession, clean: str, model_path: str, output: str) -> None:
+    """Stated against predicted salaries as JSON."""
+    rows = models.training_rows(spark.read.parquet(clean))
+    writers.write_json(models.salary_report(writers.load_model(model_path), rows), output)
+
+
 def rebuild_job(spark: SparkSession, lake: str, output: str, newest: str = "crawled_ts") -> None:
     """Batch layer: whole lake history, newest row per url, stamped with the processing time."""
     rows = dedup.drop_duplicate_urls(spark.read.parquet(lake), newest=newest)

@@ -3,9 +3,11 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from jobmart import cli, schemas
 from jobmart.plans import jobs, models, warehouse
 from jobmart.plans.queries import learning
 from jobmart.sources import writers
+from tests import page_samples
 
 RAW_A = [
     {"url": "u1", "ten_cong_ty": "ACME", "tieu_de": "Senior Dev", "ngay_dang_tuyen": "03/11/2025", "luong": "N/A",
@@ -90,3 +92,28 @@ def test_classifier_beats_the_majority(spark, folder):
 def test_stop_phrases(column):
     clean = lambda c: models.without_phrases(c, ["a b", "x", "c.d e"])
     assert column(clean, ["A b c", "xa b", "c.d e!", "x"]) == ["  c", "xa b", " !", "x"]
+
+
+def test_extract_job(spark, tmp_path):
+    rows = [("u1", page_samples.BOARD_D), ("u2", "<p>no title</p>"), ("u3", None)]
+    spark.createDataFrame(rows, "url string, html string").write.parquet(f"{tmp_path}/pages")
+    jobs.extract_job(spark, f"{tmp_path}/pages", "d", f"{tmp_path}/raw", f"{tmp_path}/bad")
+    raw = spark.read.schema(schemas.BOARD_D).json(f"{tmp_path}/raw")
+    assert [(r["url"], r["company_detail"]["Country"]) for r in raw.collect()] == [("u1", "VN")]
+    assert [r["url"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()] == ["u3"]
+
+
+def test_train_and_predict_jobs(spark, folder, tmp_path):
+    rows = learning.salary_rows(spark, folder).withColumn("url", F.col("advert_id").cast("string"))
+    rows.drop(models.LABEL).write.parquet(f"{tmp_path}/clean")
+    result = jobs.train_job(spark, f"{tmp_path}/clean", f"{tmp_path}/model")
+    assert result["n_train"] > result["n_held_out"] > 0 and result["rmse"] > 0
+    jobs.predict_job(spark, f"{tmp_path}/clean", f"{tmp_path}/model", f"{tmp_path}/report")
+    assert spark.read.json(f"{tmp_path}/report").count() == result["n_train"] + result["n_held_out"]
+
+
+def test_command_line(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text(json.dumps(RAW_A[0], ensure_ascii=False), encoding="utf-8")
+    cli.main(["normalise", f"{tmp_path}/out", "--input", f"a={tmp_path}/a.jsonl"])
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    assert cli.parser().parse_args(["clean", "s", "o", "--jdbc-url", "jdbc:x"]).jdbc_table == "recruitment_fact"
