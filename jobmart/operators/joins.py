@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobmart.operators.layout import estimated_bytes
 from jobmart.session import CBO_CONF
 
 # Largest estimated size of a table that may be copied to every executor.  The estimate of a file
@@ -14,12 +15,6 @@ from jobmart.session import CBO_CONF
 BROADCAST_LIMIT = 20 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: file sizes scaled to the columns read; joins multiply, so the
-    estimate of anything but a plain scan errs on the large side."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast when the estimate is within ``limit``.
 

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobmart.operators.layout import spread_small
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -129,10 +131,11 @@ POSTED_SQL = """CASE o_orderkey % 5
  ELSE 'N/A' END"""
 
 
-def postings(spark: SparkSession, folder: str) -> DataFrame:
+def postings(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """Adverts from orders alone."""
     key = F.col("o_orderkey")
-    return table(spark, folder, "orders").select(
+    orders = table(spark, folder, "orders")
+    return (spread_small(orders) if spread else orders).select(
         key.alias("advert_id"),
         F.when(key % 11 != 0, _text("https://jobs.example.com/", F.col("o_custkey"))).alias("url"),
         F.when(key % 17 != 0, pick(TITLES, key)).alias("title"),
@@ -161,10 +164,10 @@ def company_name() -> Column:
     ).otherwise(F.col("c_name"))
 
 
-def adverts(spark: SparkSession, folder: str) -> DataFrame:
+def adverts(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """Adverts with company and place."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    joined = postings(spark, folder).join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = postings(spark, folder, spread).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return joined.withColumns({
         "company": company_name(),
         "location_raw": F.when(F.col("c_custkey") % 19 != 0, pick(PLACES, F.col("c_custkey"))),
@@ -180,7 +183,7 @@ ADVERTS_SQL = f"""{POSTINGS_SQL}, adverts AS (
 
 def descriptions(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts with a skill or work-mode phrase in front."""
-    return table(spark, folder, "documents").select(
+    return spread_small(table(spark, folder, "documents")).select(
         "doc_id", F.concat(pick(PHRASES, F.col("doc_id")), F.lit("\n"), F.col("text")).alias("description"),
         "lang", "source",
     )

@@ -185,7 +185,7 @@ def _salary(name: str, sql: str):
   WHEN contains(t, 'tr') THEN concat_ws(' - ', CAST(trunc(a * 1000000) AS BIGINT), CAST(trunc(b * 1000000) AS BIGINT)) END AS salary FROM n""",
 )
 def salary_parse_range(spark, folder):
-    return postings(spark, folder).select("advert_id", salary.salary_range_text(F.col("salary_raw")).alias("salary"))
+    return postings(spark, folder, spread=True).select("advert_id", salary.salary_range_text(F.col("salary_raw")).alias("salary"))
 
 
 @_salary(
@@ -197,7 +197,7 @@ def salary_parse_range(spark, folder):
  SELECT s.advert_id, lo AS salary_min, coalesce(hi, lo) AS salary_max FROM s LEFT JOIN n USING (advert_id)""",
 )
 def salary_parse_free(spark, folder):
-    return postings(spark, folder).select("advert_id", salary.salary_bounds(F.col("salary_raw")).alias("s")).select(
+    return postings(spark, folder, spread=True).select("advert_id", salary.salary_bounds(F.col("salary_raw")).alias("s")).select(
         "advert_id", "s.salary_min", "s.salary_max"
     )
 
@@ -219,7 +219,7 @@ def salary_parse_free(spark, folder):
 )
 def salary_parse_units(spark, folder):
     """The shared parser of the batch and stream jobs."""
-    return postings(spark, folder).select("advert_id", salary.salary_range(F.col("salary_raw")).alias("s")).select(
+    return postings(spark, folder, spread=True).select("advert_id", salary.salary_range(F.col("salary_raw")).alias("s")).select(
         "advert_id", "s.salary_min", "s.salary_max"
     )
 
@@ -239,7 +239,7 @@ def salary_parse_units(spark, folder):
  SELECT advert_id, salary, TRY_CAST(nullif(regexp_extract(salary, '([0-9]+)', 1), '') AS BIGINT) AS amount FROM d""",
 )
 def salary_parse_display(spark, folder):
-    shown = postings(spark, folder).select("advert_id", salary.salary_display(F.col("salary_raw")).alias("salary"))
+    shown = postings(spark, folder, spread=True).select("advert_id", salary.salary_display(F.col("salary_raw")).alias("salary"))
     return shown.withColumn("amount", salary.display_amount(F.col("salary")))
 
 
@@ -254,7 +254,7 @@ def salary_parse_display(spark, folder):
   WHEN list_min(v) = list_max(v) THEN CAST(list_min(v) AS VARCHAR) ELSE list_min(v) || ' - ' || list_max(v) END AS salary FROM a""",
 )
 def salary_parse_standard(spark, folder):
-    return postings(spark, folder).select("advert_id", salary.salary_standard(F.col("salary_raw")).alias("salary"))
+    return postings(spark, folder, spread=True).select("advert_id", salary.salary_standard(F.col("salary_raw")).alias("salary"))
 
 
 @_salary(
@@ -269,7 +269,7 @@ def salary_parse_standard(spark, folder):
 )
 def salary_parse_stream(spark, folder):
     pay = F.col("salary_raw")
-    return postings(spark, folder).select(
+    return postings(spark, folder, spread=True).select(
         "advert_id",
         salary.stream_salary_min(pay).alias("salary_min"),
         salary.stream_salary_max(pay).alias("salary_max"),

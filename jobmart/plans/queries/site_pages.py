@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmart.operators import pages
+from jobmart.operators.layout import spread_small
 from jobmart.plans.queries.base import query, table
 
 # The entities that occur in headings of the stored pages.
@@ -19,7 +20,7 @@ _UNESCAPED = "replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;',
  CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) AS n_paragraphs FROM pages""",
 )
 def page_extract(spark, folder):
-    parsed = pages.with_nodes(table(spark, folder, "pages"), keep=["page_id"])
+    parsed = pages.with_nodes(spread_small(table(spark, folder, "pages")), keep=["page_id"])
     return pages.page_outline(parsed, "page_id").withColumn("n_paragraphs", F.col("n_paragraphs").cast("bigint"))
 
 
@@ -40,7 +41,7 @@ def page_links(spark, folder):
 )
 def page_job_links(spark, folder):
     """Links of the anchors, read from the parsed nodes instead of by pattern."""
-    parsed = pages.with_nodes(table(spark, folder, "pages"), keep=["url"]).withColumn(
+    parsed = pages.with_nodes(spread_small(table(spark, folder, "pages")), keep=["url"]).withColumn(
         "nodes", F.transform("nodes", lambda n: n.withField("cls", F.coalesce(n["cls"], n["tag"])))
     )
     return pages.job_links(parsed, "a", "a", "https://jobs.example.com")

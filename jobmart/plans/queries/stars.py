@@ -18,7 +18,7 @@ _FIXED = [(label, [word]) for word, label in rules.with_trap_rules_first(rules.P
 
 def raw_board_a(spark, folder):
     """Board A records from adverts."""
-    a = adverts(spark, folder)
+    a = adverts(spark, folder, spread=True)
     key = F.col("advert_id")
     pay = F.concat((key % 40 + 1).cast("string"), F.lit(" - "), (key % 40 + 9).cast("string"), F.lit(" tr"))
     return a.select(
