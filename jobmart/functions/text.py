@@ -39,9 +39,16 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+# Every character that counts as white space, among them the no-break space of web pages.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
-    """Remove white space of every kind at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove white space of every kind at both ends (``trim`` alone removes blanks only)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def text_key(c: Column) -> Column:
