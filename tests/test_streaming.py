@@ -1,4 +1,5 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -23,7 +24,10 @@ class Topic:
     def send(self, *messages):
         self.files += 1
         lines = [m if isinstance(m, str) else json.dumps(m) for m in messages]
-        (self.path / "in" / f"batch_{self.files}.txt").write_text("\n".join(lines) + "\n")
+        file = self.path / "in" / f"batch_{self.files}.txt"
+        file.write_text("\n".join(lines) + "\n")
+        # The file source takes files by time, and several may be written in the same instant.
+        os.utime(file, (self.files, self.files))
 
     def stream(self):
         return self.spark.readStream.option("maxFilesPerTrigger", 1).text(f"{self.path}/in").select(
