@@ -186,7 +186,7 @@ def dedup_audit(spark, folder):
 _POLICIES = [
     governance.RolePolicy(
         tables=["adverts"],
-        filters={"adverts": f"salary_raw <> 'Thỏa thuận' AND salary_raw IS NOT NULL"},
+        filters={"adverts": "salary_raw <> 'Thỏa thuận' AND salary_raw IS NOT NULL"},
         columns={"adverts": ["advert_id", "title", "salary_raw"]},
     )
 ]

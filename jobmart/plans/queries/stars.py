@@ -36,7 +36,11 @@ def raw_board_a(spark, folder):
     )
 
 
-_POSTED = """CASE advert_id % 5 WHEN 4 THEN NULL ELSE posted_date END"""
+# One date form carries only the last digit of the year, see ``posted_text``.
+_POSTED = (
+    "CASE advert_id % 5 WHEN 4 THEN NULL WHEN 2 THEN CAST(try_strptime('202' || right(strftime(posted_date, '%y'), 1) || "
+    "strftime(posted_date, '-%m-%d'), '%Y-%m-%d') AS DATE) ELSE posted_date END"
+)
 _CANONICAL_SQL = f"""{ADVERTS_SQL}, canonical AS (SELECT url, title,
  CASE WHEN advert_id % 4 = 0 THEN replace(c_name, '#', ' ') ELSE c_name END AS company,
  CASE WHEN location_raw IN ('Hồ Chí Minh', 'TP.HCM', 'HCM') THEN 'Thành Phố Hồ Chí Minh' ELSE location_raw END AS location_raw,
@@ -44,12 +48,6 @@ _CANONICAL_SQL = f"""{ADVERTS_SQL}, canonical AS (SELECT url, title,
  CASE WHEN advert_id % 3 < 2 THEN (advert_id % 40 + 9) * 1000000 END AS salary_max,
  {sql_labels("lower(coalesce(title, ''))", rules.LEVELS, "'Mid-level'")} AS level, {_POSTED} AS posted_date,
  posted_raw, {sql_pick(PHRASES, 'advert_id')} AS requirements, advert_id FROM adverts)"""
-# Two-digit years carry only the last digit of the year in one date form, see ``posted_text``.
-_CANONICAL_SQL = _CANONICAL_SQL.replace(
-    _POSTED,
-    "CASE advert_id % 5 WHEN 4 THEN NULL WHEN 2 THEN CAST(try_strptime('202' || right(strftime(posted_date, '%y'), 1) || "
-    "strftime(posted_date, '-%m-%d'), '%Y-%m-%d') AS DATE) ELSE posted_date END",
-)
 
 
 @query(
