@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,17 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or one below the session's warehouse.
 
-    Only a local session without that setting falls back to a temporary folder of this machine;
-    on a cluster the setting is required, because executors have to see the same files.
+    Both are shared by the driver and all executors; machine-local temporary folders are never used.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="jobmart-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
