@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, exact_dedup, mixing, sharding
+from jobmart.llm import chat, decontaminate, exact_dedup, mixing, sharding
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -105,3 +105,24 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     rated = docs.join(qualities(spark, folder), F.col("doc_id") == F.col("l_doc_id"), "left")
     return mixing.mix(rated, F.col("l_quality"), whole_rows=False)
+
+
+@query("op6_decontaminate", """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+t AS (SELECT DISTINCT item_id, least(13, len(w)) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS x
+  FROM b, range(1, 100000) r(i) WHERE len(w) > 0 AND i <= len(w) - least(13, len(w)) + 1),
+o AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM d, (SELECT DISTINCT k FROM t), range(1, 100000) r(i) WHERE i <= len(w) - k + 1),
+h AS (SELECT doc_id, i, k, item_id FROM o JOIN t USING (k, x)),
+p AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT doc_id, i, k FROM h)) GROUP BY doc_id),
+g AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN g USING (doc_id)
+""")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, folder, "benchmark"), keep_text=False)
+    return marked.select(
+        "doc_id", F.col("_n").alias("n_words"), decontaminate.n_hit().alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+        decontaminate.digest().alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
