@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, decontaminate, exact_dedup, mixing, sharding
+from jobmart.llm import chat, decontaminate, exact_dedup, mixing, sharding, substring_dedup
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -126,3 +126,18 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select(
         "doc_id", F.col("_n").alias("n_words"), decontaminate.n_hit().alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
         decontaminate.digest().alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
+
+
+@query("op5_substring_dedup", """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+o AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS x FROM d, range(1, 100000) r(i) WHERE i <= len(w) - 34),
+h AS (SELECT doc_id, i FROM o WHERE x IN (SELECT x FROM o GROUP BY x HAVING count(*) > 1)),
+p AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+    ELSE coalesce(array_to_string(list_filter(w, lambda x, j: NOT list_contains(gone, j)), ' '), '') END) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id)
+""")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
