@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 << 20
@@ -22,13 +22,17 @@ def count_chunks(docs: DataFrame) -> int:
     return size // CHUNK_BYTES + LEAST_CHUNKS
 
 
+def chunk_of(chunks: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
+
+
 def dealt(docs: DataFrame, chunks: int) -> DataFrame:
     """``doc_id, text, chunk``."""
-    return docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
+    return docs.select("doc_id", "text", chunk_of(chunks).alias("chunk"))
 
 
 def in_order(chunk: pa.Table) -> pa.Table:
-    return chunk.select(["doc_id", "text"]).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return chunk.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
 def part_of(values: np.ndarray, parts: int) -> np.ndarray:
@@ -48,3 +52,13 @@ def joined(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]
     """The binary values of a column as one array, and the length of each."""
     parts = [np.frombuffer(x, dtype=dtype) for x in column.to_pylist()]
     return (np.concatenate(parts) if parts else np.empty(0, dtype)), np.array([len(p) for p in parts], dtype=np.int64)
+
+
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+
+
+def arrow_table(schema: str, rows: list[tuple]) -> pa.Table:
+    """An Arrow table from rows, with the columns of a Spark schema text."""
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
+    return pa.Table.from_arrays([pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])

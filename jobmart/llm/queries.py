@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, decontaminate, exact_dedup, mixing, sharding, substring_dedup
+from jobmart.llm import chat, decontaminate, exact_dedup, mixing, ngram_join, sharding, substring_dedup
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -141,3 +141,18 @@ FROM d LEFT JOIN p USING (doc_id)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_ngram_join", """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS x FROM d, range(1, 100000) r(i) WHERE len(w) > 0 AND i <= greatest(len(w) - 2, 1)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b USING (x) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT a AS doc_id, b AS other FROM e UNION SELECT r.doc_id, e.b FROM reach r JOIN e ON r.other = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(other), d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_id
+""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, folder, "documents"), shingle=3, percent=90)

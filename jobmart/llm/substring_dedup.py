@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from jobmart.llm.chunks import count_chunks, dealt, in_order, joined, part_of, slices
+from jobmart.llm.chunks import arrow_table, count_chunks, dealt, in_order, joined, part_of, slices
 from jobmart.llm.common import documents
 from jobmart.llm.words import Words, mix, rolling, sliding_min, words_of
 
@@ -40,13 +40,6 @@ _PACKED = "bucket int, chunk int, bytes binary, lengths binary, starts binary, k
 _FOUND = "chunk int, starts binary"
 
 
-def _table(schema: str, rows: list[tuple]) -> pa.Table:
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    fields = [f.strip().split(" ") for f in schema.split(",")]
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
-    return pa.Table.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
-
-
 def _minimisers(w: Words, h: np.ndarray, width: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First words of all windows, and their minimisers."""
     least = sliding_min(rolling(h, size), width - size + 1)
@@ -83,7 +76,7 @@ def _count(width: int, size: int, parts: int) -> Callable:
         at, least = _minimisers(w, w.hashes(), width, size)
         values, counts = np.unique(least[_heads(at, least)], return_counts=True)
         counts = counts.astype(np.uint32)
-        return _table(_COUNTS, [
+        return arrow_table(_COUNTS, [
             (p, key[0].as_py(), values[a:b].tobytes(), counts[a:b].tobytes()) for p, a, b in slices(part_of(values, parts))])
     return run
 
@@ -99,14 +92,14 @@ def _again(hot: int) -> Callable:
             more = total[a:b] >= 2
             if more.any():
                 out.append((chunk, values[a:b][more].tobytes(), (total[a:b][more] >= hot).tobytes()))
-        return _table(_AGAIN, out)
+        return arrow_table(_AGAIN, out)
     return run
 
 
 def _pack(width: int, size: int, parts: int) -> Callable:
     def run(key: tuple, chunk: pa.Table, again: pa.Table) -> pa.Table:
         if not again.num_rows or not chunk.num_rows:
-            return _table(_PACKED, [])
+            return arrow_table(_PACKED, [])
         w = words_of(in_order(chunk)["text"])
         h = w.hashes()
         at, least = _minimisers(w, h, width, size)
@@ -122,7 +115,7 @@ def _pack(width: int, size: int, parts: int) -> Callable:
         single = np.where(hot, np.arange(1, len(at) + 1), 0)
         heads = _heads(at, least, more, single)
         if not len(heads):
-            return _table(_PACKED, [])
+            return arrow_table(_PACKED, [])
         tails = np.concatenate((heads[1:], [len(at)])) - 1
         bucket = part_of(mix(np.where(hot, one, least)[heads]), parts)
         begin, end, start = w.start[at[heads]], w.end[at[tails] + width - 1], at[heads].astype(np.uint32)
@@ -132,7 +125,7 @@ def _pack(width: int, size: int, parts: int) -> Callable:
             rows.append((
                 p, key[0].as_py(), b"".join(raw[begin[i]:end[i]].tobytes() for i in own),
                 (end[own] - begin[own]).astype(np.uint32).tobytes(), start[own].tobytes(), more[heads[own]].tobytes()))
-        return _table(_PACKED, rows)
+        return arrow_table(_PACKED, rows)
     return run
 
 
@@ -152,7 +145,7 @@ def _settle(width: int) -> Callable:
         found = starts[string] + (at - w.first[:-1][string]).astype(np.uint32)
         chunk = np.repeat(np.array(rows["chunk"].to_pylist(), dtype=np.int64), per_row)[string]
         order = np.argsort(chunk, kind="stable")
-        return _table(_FOUND, [(c, found[order[a:b]].tobytes()) for c, a, b in slices(chunk[order])])
+        return arrow_table(_FOUND, [(c, found[order[a:b]].tobytes()) for c, a, b in slices(chunk[order])])
     return run
 
 
