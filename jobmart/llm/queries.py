@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, decontaminate, exact_dedup, mixing, ngram_join, sharding, substring_dedup
+from jobmart.llm import chat, decontaminate, exact_dedup, mixing, ngram_join, sharding, substring_dedup, toxicity
+from jobmart.llm.common import remainder
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -102,9 +103,9 @@ FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source LEFT JOIN ({union}) u ON
 
 @query("op9_mixing", _mix_sql())
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    docs = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("n"))
     rated = docs.join(qualities(spark, folder), F.col("doc_id") == F.col("l_doc_id"), "left")
-    return mixing.mix(rated, F.col("l_quality"), whole_rows=False)
+    return mixing.mix(rated, F.col("l_quality"), whole_rows=False, size=F.col("n"))
 
 
 @query("op6_decontaminate", """
@@ -156,3 +157,18 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_
 """)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, folder, "documents"), shingle=3, percent=90)
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
+    """Learned from the labels of all documents but those held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.train(docs, labels)
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(table(spark, folder, "documents"), toxicity_model(spark, folder))
+    return scored.select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "strongest", "total")
