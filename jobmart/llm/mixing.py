@@ -21,6 +21,11 @@ from jobmart.scratch import materialise
 MOST = 3
 RANGES = 1024
 ROUNDS = 3
+BROADCAST_SOURCES = 20_000
+
+
+def word_count(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def cycling_weights(sources: DataFrame, cycle: int = 3) -> DataFrame:
@@ -54,10 +59,17 @@ def targets(sources: DataFrame, most: int = MOST) -> DataFrame:
     )
 
 
+def _by_source(rows: DataFrame, sources: DataFrame, name: str) -> DataFrame:
+    """Join on the source; ``sources`` is broadcast if it has few rows, which is looked up first."""
+    if sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        sources = F.broadcast(sources)
+    return rows.join(sources, F.col("source").eqNullSafe(F.col(name))).drop(name)
+
+
 def _fill(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """``rows`` (source, row, size, key, range) that fit a prefix of the budget (source, gap), in key order."""
     same = ["source", "range"]
-    open_rows = rows.join(budgets, F.col("source").eqNullSafe(F.col("b_source"))).filter(F.col("size") <= F.col("gap"))
+    open_rows = _by_source(rows, budgets, "b_source").filter(F.col("size") <= F.col("gap"))
     sums = open_rows.groupBy(*same, "gap").agg(F.sum("size").alias("range_size"))
     upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = sums.withColumn("ahead", F.sum("range_size").over(upto) - F.col("range_size")).filter(F.col("ahead") < F.col("gap"))
@@ -73,13 +85,15 @@ def _fill(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 def mix(
     docs: DataFrame, quality: Column | None = None, weights: DataFrame | None = None, most: int = MOST,
-    seed: str = "mix", rounds: int = ROUNDS, whole_rows: bool = True,
+    seed: str = "mix", rounds: int = ROUNDS, whole_rows: bool = True, size: Column | None = None,
 ) -> DataFrame:
     """``docs`` with ``size, source_size, target, epochs, picked`` (in the fractional part) and ``taken``.
 
     ``quality``: positive weight of a document (null or less: 1); all documents weigh 1 without it.
-    ``weights``: rows (source, weight); ``cycling_weights`` without it.  ``whole_rows=False`` returns only
-    ``doc_id`` and the new columns; else columns that have a new column's name are replaced.
+    ``weights``: rows (source, weight); ``cycling_weights`` without it.  ``size``: a size worked out before,
+    so that a join for the quality need not carry texts; else the number of words of ``text``.
+    ``whole_rows=False`` returns only ``doc_id`` and the new columns; else columns that have a new column's
+    name are replaced.
 
     A null source is a source of its own, a null text has no words, and a document without words is
     taken 0 times.  Repeated rows are documents of their own.  The same rows give the same mix whatever
@@ -91,7 +105,7 @@ def mix(
     base = materialise(
         docs.select(
             *kept, F.col("source").alias("_source"), F.monotonically_increasing_id().alias("_row"),
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            (word_count(F.col("text")) if size is None else size).alias("size"),
             (-F.log(unit(F.col("doc_id"), seed)) / weight).alias("_key"),
         )
     )
@@ -109,7 +123,7 @@ def mix(
         targets(sources, most).withColumn(
             "epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("gap", F.col("target") - F.col("epochs") * F.col("source_size"))
-    )
+    )  # one row per source
     picked = None
     for _ in range(rounds):
         budgets, left = plan.select(F.col("source").alias("b_source"), "gap"), rows
@@ -120,13 +134,15 @@ def mix(
             left = rows.join(picked, "row", "left_anti")
         new = materialise(_fill(left, budgets))
         picked = new if picked is None else picked.unionByName(new)
+    numbers = plan.select(F.col("source").alias("p_source"), "source_size", "target", "epochs")
+    chosen = picked.select(F.col("row").alias("_row"), F.lit(True).alias("picked"))
+    tagged = base.select(*[F.col(f"`{c}`").alias(f"d_{c}") for c in base.columns if not c.startswith("_")], F.col("_source").alias("source"), "_row")
     return (
-        base.join(plan.drop("weight", "gap"), F.col("_source").eqNullSafe(F.col("source")) if "source" not in base.columns
-                  else F.col("_source").eqNullSafe(plan["source"])).drop(plan["source"])
-        .join(picked.select(F.col("row").alias("_row"), F.lit(True).alias("picked")), "_row", "left")
+        _by_source(tagged, numbers, "p_source").join(chosen, "_row", "left")
         .withColumn("picked", F.coalesce("picked", F.lit(False)))
-        .withColumn("taken", F.col("size") * (F.col("epochs") + F.col("picked").cast("long")))
-        .select(*kept, *added)
+        .withColumn("taken", F.col("d_size") * (F.col("epochs") + F.col("picked").cast("long")))
+        .select(*[F.col(f"`d_{c}`").alias(c) for c in base.columns if not c.startswith("_") and c != "size"],
+                F.col("d_size").alias("size"), *added[1:])
     )
 
 
