@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +27,20 @@ def unit(key: Column, seed: str) -> Column:
     """A number in (0, 1) that only depends on the key and the seed: 52 bits of MD5."""
     digest = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")))), 1, 13)
     return (F.conv(digest, 16, 10).cast("double") + 0.5) / float(2**52)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], text: int | str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, so the arrays of a batch stay small.
+
+    A single longer text is a batch of its own; no text is cut.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        begin = held = 0
+        for i, n in enumerate(lengths.to_pylist()):
+            if held + n > size and i > begin:
+                yield batch.slice(begin, i - begin)
+                begin, held = i, 0
+            held += n
+        if begin < batch.num_rows:
+            yield batch.slice(begin)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, decontaminate, exact_dedup, mixing, ngram_join, sharding, substring_dedup, toxicity
+from jobmart.llm import chat, decontaminate, exact_dedup, language_model, mixing, ngram_join, sharding, substring_dedup, toxicity
 from jobmart.llm.common import remainder
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
@@ -172,3 +172,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "strongest", "total")
+
+
+@query("op7_language_model")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = (remainder(F.col("doc_id"), 7) == 2).alias("held_out")
+    scored = language_model.score(docs, language_model.train(docs.filter(~held_out)))
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
