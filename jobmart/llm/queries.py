@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, decontaminate, exact_dedup, language_model, mixing, ngram_join, sharding, substring_dedup, toxicity
+from jobmart.llm import chat, decontaminate, exact_dedup, language_model, mixing, ngram_join, pii, sharding, substring_dedup, toxicity
 from jobmart.llm.common import remainder
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
@@ -180,3 +180,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     held_out = (remainder(F.col("doc_id"), 7) == 2).alias("held_out")
     scored = language_model.score(docs, language_model.train(docs.filter(~held_out)))
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_pii(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"))
