@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobmart.llm.common import small_batches
 from jobmart.llm.words import ALNUM, rolling, words_of
 from jobmart.scratch import materialise
 
@@ -83,7 +84,7 @@ def _scan(block, columns: int):
     """Appends number of words, hit words (one bit each) and items to each row; text is column ``columns``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _Block(block.value)
-        for batch in batches:
+        for batch in small_batches(batches, columns):
             w = words_of(batch.column(columns), ALNUM, lower=True)
             cover, items = np.zeros(len(w.start) + 1, dtype=np.int32), [set() for _ in range(w.n_docs)]
             for i, length, number in look.hits(w, w.hashes()):

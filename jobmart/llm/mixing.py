@@ -84,33 +84,35 @@ def _fill(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, quality: Column | None = None, weights: DataFrame | None = None, most: int = MOST,
-    seed: str = "mix", rounds: int = ROUNDS, whole_rows: bool = True, size: Column | None = None,
+    docs: DataFrame, quality: DataFrame | None = None, weights: DataFrame | None = None, most: int = MOST,
+    seed: str = "mix", rounds: int = ROUNDS, whole_rows: bool = True,
 ) -> DataFrame:
     """``docs`` with ``size, source_size, target, epochs, picked`` (in the fractional part) and ``taken``.
 
-    ``quality``: positive weight of a document (null or less: 1); all documents weigh 1 without it.
-    ``weights``: rows (source, weight); ``cycling_weights`` without it.  ``size``: a size worked out before,
-    so that a join for the quality need not carry texts; else the number of words of ``text``.
-    ``whole_rows=False`` returns only ``doc_id`` and the new columns; else columns that have a new column's
-    name are replaced.
+    ``quality``: rows (doc_id, quality), positive weights of documents; the highest counts, and documents
+    without one weigh 1.  ``weights``: rows (source, weight); ``cycling_weights`` without it.
+    ``whole_rows=False`` returns only ``doc_id`` and the new columns, and writes no texts on the way; else
+    columns that have a new column's name are replaced.
 
     A null source is a source of its own, a null text has no words, and a document without words is
     taken 0 times.  Repeated rows are documents of their own.  The same rows give the same mix whatever
     their partitions.  An empty table gives no rows.
     """
     added = ["size", "source_size", "target", "epochs", "picked", "taken"]
-    weight = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(1.0)
-    kept = [F.col(f"`{c}`") for c in docs.columns if whole_rows and c not in added or c == "doc_id"]
-    base = materialise(
-        docs.select(
-            *kept, F.col("source").alias("_source"), F.monotonically_increasing_id().alias("_row"),
-            (word_count(F.col("text")) if size is None else size).alias("size"),
-            (-F.log(unit(F.col("doc_id"), seed)) / weight).alias("_key"),
-        )
-    )
+    kept = [c for c in docs.columns if c not in added] if whole_rows else []
+    whole = materialise(docs.select(
+        *[F.col(f"`{c}`").alias(f"d_{c}") for c in kept], F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
+        F.monotonically_increasing_id().alias("_row"), word_count(F.col("text")).alias("_size"),
+    ))
+    base = whole.select("_id", "_source", "_row", F.col("_size").alias("size"))
+    weight = F.lit(1.0)
+    if quality is not None:
+        best = quality.groupBy(F.col("doc_id").alias("q_id")).agg(F.max("quality").alias("_quality"))
+        base = base.join(best, F.col("_id") == F.col("q_id"), "left").drop("q_id")
+        weight = F.when(F.col("_quality") > 0, F.col("_quality").cast("double")).otherwise(1.0)
+    base = materialise(base.withColumn("_key", -F.log(unit(F.col("_id"), seed)) / weight))
     rows = base.filter(F.col("size") > 0).select(
-        F.col("_source").alias("source"), F.col("_row").alias("row"), "size", F.col("_key").alias("key"), "doc_id",
+        F.col("_source").alias("source"), F.col("_row").alias("row"), "size", F.col("_key").alias("key"), F.col("_id").alias("doc_id"),
         F.floor(RANGES * (1 - F.exp(-F.col("_key")))).alias("range"),
     )
     sources = base.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
@@ -136,14 +138,14 @@ def mix(
         picked = new if picked is None else picked.unionByName(new)
     numbers = plan.select(F.col("source").alias("p_source"), "source_size", "target", "epochs")
     chosen = picked.select(F.col("row").alias("_row"), F.lit(True).alias("picked"))
-    tagged = base.select(*[F.col(f"`{c}`").alias(f"d_{c}") for c in base.columns if not c.startswith("_")], F.col("_source").alias("source"), "_row")
-    return (
-        _by_source(tagged, numbers, "p_source").join(chosen, "_row", "left")
-        .withColumn("picked", F.coalesce("picked", F.lit(False)))
-        .withColumn("taken", F.col("d_size") * (F.col("epochs") + F.col("picked").cast("long")))
-        .select(*[F.col(f"`d_{c}`").alias(c) for c in base.columns if not c.startswith("_") and c != "size"],
-                F.col("d_size").alias("size"), *added[1:])
+    tagged = _by_source(base.select("_row", "size", "_id", F.col("_source").alias("source")), numbers, "p_source")
+    decided = (
+        tagged.join(chosen, "_row", "left").withColumn("picked", F.coalesce("picked", F.lit(False)))
+        .withColumn("taken", F.col("size") * (F.col("epochs") + F.col("picked").cast("long")))
     )
+    if not whole_rows:
+        return decided.select(F.col("_id").alias("doc_id"), *added)
+    return whole.join(decided.select("_row", *added), "_row").select(*[F.col(f"`d_{c}`").alias(c) for c in kept], *added)
 
 
 def repeat(mixed: DataFrame) -> DataFrame:

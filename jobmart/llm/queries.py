@@ -16,8 +16,8 @@ SHARDS = 16
 
 def qualities(spark: SparkSession, folder: str) -> DataFrame:
     """One quality weight per labelled document: 2 for good, 0.5 for bad."""
-    return table(spark, folder, "labels").groupBy(F.col("doc_id").alias("l_doc_id")).agg(
-        F.max(F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5)).alias("l_quality"))
+    return table(spark, folder, "labels").groupBy("doc_id").agg(
+        F.max(F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5)).alias("quality"))
 
 
 # The table is filled step by step as the operator's description says: `pref` has every shard's order.
@@ -103,9 +103,7 @@ FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source LEFT JOIN ({union}) u ON
 
 @query("op9_mixing", _mix_sql())
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("n"))
-    rated = docs.join(qualities(spark, folder), F.col("doc_id") == F.col("l_doc_id"), "left")
-    return mixing.mix(rated, F.col("l_quality"), whole_rows=False, size=F.col("n"))
+    return mixing.mix(table(spark, folder, "documents"), qualities(spark, folder), whole_rows=False)
 
 
 @query("op6_decontaminate", """

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import documents
+from jobmart.llm.common import documents, small_batches
 from jobmart.llm.words import ALNUM, Words, rolling, words_of
 from jobmart.scratch import materialise
 
@@ -180,7 +180,7 @@ def clause_weights(w: Words, lookup: _Lookup, tables: tuple) -> tuple[np.ndarray
 def _weigh(lexicon: Lexicon) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, tables = _Lookup(lexicon), grammar()
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             most, total = clause_weights(words_of(batch.column("text"), ALNUM, lower=True), lookup, tables)
             kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(most), pa.array(total)], [*kept, "most", "total"])
@@ -189,7 +189,7 @@ def _weigh(lexicon: Lexicon) -> Callable:
 
 def _near_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The two least 3-gram hashes of each text: copies with a few changes share them."""
-    for batch in batches:
+    for batch in small_batches(batches, "text"):
         w = words_of(batch.column("text"), ALNUM, lower=True)
         h, keys = w.hashes(), []
         for a, b in zip(w.first, w.first[1:], strict=False):
@@ -203,7 +203,7 @@ _FEATURES = "length int, hash long, pos long, neg long"
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and word beginnings with their numbers of toxic and other documents."""
-    for batch in batches:
+    for batch in small_batches(batches, "text", 16 << 20):
         w = words_of(batch.column("text"), ALNUM, lower=True)
         label, doc = np.array(batch.column("label").to_pylist(), np.int64), w.doc()
         for length in LENGTHS:
