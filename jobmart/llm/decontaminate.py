@@ -80,12 +80,12 @@ class _Block:
                     p += 1
 
 
-def _scan(block, columns: int):
-    """Appends number of words, hit words (one bit each) and items to each row; text is column ``columns``."""
+def _scan(block, place: int, keep_text: bool):
+    """Appends number of words, hit words (one bit each) and items to each row; the text is column ``place``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _Block(block.value)
-        for batch in small_batches(batches, columns):
-            w = words_of(batch.column(columns), ALNUM, lower=True)
+        for batch in small_batches(batches, place):
+            w = words_of(batch.column(place), ALNUM, lower=True)
             cover, items = np.zeros(len(w.start) + 1, dtype=np.int32), [set() for _ in range(w.n_docs)]
             for i, length, number in look.hits(w, w.hashes()):
                 cover[i] += 1
@@ -93,10 +93,11 @@ def _scan(block, columns: int):
                 items[int(np.searchsorted(w.first, i, "right")) - 1].update(look.items[number])
             hit = np.cumsum(cover[:-1]) > 0
             packed = [np.packbits(hit[a:b]).tobytes() if items[d] else b"" for d, (a, b) in enumerate(zip(w.first, w.first[1:], strict=False))]
+            kept = [i for i in range(batch.num_columns) if keep_text or i != place]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:columns], *batch.columns[columns + 1:], pa.array(w.counts(), pa.int64()), pa.array(packed, pa.binary()),
+                [*[batch.column(i) for i in kept], pa.array(w.counts(), pa.int64()), pa.array(packed, pa.binary()),
                  pa.array([sorted(s) for s in items], pa.list_(pa.string()))],
-                [*batch.schema.names[:columns], *batch.schema.names[columns + 1:], "_n", "_hits", "_items"])
+                [*[batch.schema.names[i] for i in kept], "_n", "_hits", "_items"])
     return run
 
 
@@ -117,23 +118,23 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block: int =
     repeated ones too; an empty benchmark gives no hits.
     """
     spark = docs.sparkSession
-    docs = docs.drop("_n", "_hits", "_items")
+    names = [c for c in docs.columns if c not in ("_n", "_hits", "_items")]
     windows = materialise(test_windows(benchmark, width))
     blocks = max(1, -(-windows.count() // block))
-    kept = docs.columns if keep_text else [c for c in docs.columns if c != text]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_text"))
+    source = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(names)])
     if blocks > 1:
-        source = materialise(source.withColumn("_row", F.monotonically_increasing_id()).select("_row", *[F.col(f"`{c}`") for c in source.columns]))
-    schema = T.StructType([f for f in source.schema.fields if f.name != "_text"] + [
+        source = materialise(source.withColumn("_row", F.monotonically_increasing_id()))
+    place, found = names.index(text), None
+    schema = T.StructType([f for i, f in enumerate(source.schema.fields) if keep_text or i != place] + [
         T.StructField("_n", T.LongType()), T.StructField("_hits", T.BinaryType()), T.StructField("_items", T.ArrayType(T.StringType()))])
-    place, found = source.columns.index("_text"), None
     for b in range(blocks):
         rows = windows.filter(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b).collect()  # about `block` rows
-        one = source.mapInArrow(_scan(spark.sparkContext.broadcast([r.asDict() for r in rows]), place), schema)
+        one = source.mapInArrow(_scan(spark.sparkContext.broadcast([r.asDict() for r in rows]), place, keep_text), schema)
         found = one if found is None else found.unionByName(one)
-    if blocks == 1:
-        return found
-    return found.groupBy("_row").applyInArrow(_merge, found.schema).drop("_row")
+    if blocks > 1:
+        found = found.groupBy("_row").applyInArrow(_merge, found.schema)
+    return found.select(
+        *[F.col(f"d_{i}").alias(c) for i, c in enumerate(names) if keep_text or i != place], "_n", "_hits", "_items")
 
 
 def n_hit() -> Column:
@@ -150,10 +151,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sha
     ``remove="documents"`` drops contaminated documents and leaves the others alone; ``"spans"`` cuts the
     hit words out of every text.
     """
-    marked = mark(docs, benchmark, width)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    names = docs.columns
+    place = names.index("text")
+    columns = [F.col(f"c_{i}").alias(c) for i, c in enumerate(names)]
+    marked = mark(docs.select(*[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(names)]), benchmark, width, text=f"c_{place}")
     if remove == "spans":
-        return marked.mapInArrow(_cut_spans(marked.columns), marked.schema).select(*columns)
+        return marked.mapInArrow(_cut_spans(place, len(names) + 1), marked.schema).select(*columns)
     return marked.filter(~contaminated(share)).select(*columns)
 
 
@@ -161,14 +164,13 @@ def contaminated(share: int = 20) -> Column:
     return (n_hit() > 0) & (share * n_hit() >= F.col("_n"))
 
 
-def _cut_spans(names: list[str]):
-    at = names.index("text")
-
+def _cut_spans(at: int, hits: int):
+    """Cuts the hit words out of column ``at``; their bits are column ``hits``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, w = batch.column(at).to_pylist(), words_of(batch.column(at), ALNUM)
             base = np.concatenate(([0], np.cumsum([len((t or "").encode()) for t in texts])))
-            for d, packed in enumerate(batch.column(names.index("_hits")).to_pylist()):
+            for d, packed in enumerate(batch.column(hits).to_pylist()):
                 if packed:
                     a, b = w.first[d], w.first[d + 1]
                     hit = np.unpackbits(np.frombuffer(packed, np.uint8))[:b - a].astype(bool)
@@ -177,7 +179,7 @@ def _cut_spans(names: list[str]):
                         pieces.append(raw[last:w.start[a + i] - base[d]])
                         last = w.end[a + i] - base[d]
                     texts[d] = (b"".join(pieces) + raw[last:]).decode()
-            yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
+            yield batch.set_column(at, batch.schema.names[at], pa.array(texts, batch.schema.field(at).type))
     return run
 
 

@@ -235,6 +235,11 @@ def _missing(lists: DataFrame, roots: DataFrame) -> DataFrame:
         outer.select("gram", "node", "at", upto("outer")).select(_block("gram", F.lit(5), F.least("at", "other"), F.greatest("at", "other")), "node"))
 
 
+def _least() -> Column:
+    """The row with the least id; a null id comes last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "chunk", "place"))
+
+
 def _classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, int]:
     """All rows with their class (``doc_id, chunk, place, size, one, two``); the classes with the node that
     stands for each and its component (``root``); the number of chunks."""
@@ -244,8 +249,8 @@ def _classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
     kind = dict(docs.dtypes)["doc_id"]
     signed = materialise(texts.groupBy("chunk").applyInArrow(_sign(shingle), f"doc_id {kind}, {_SIGNED}"))
     classes = materialise(
-        signed.filter("size > 0").groupBy("size", "one", "two").agg(F.min(F.struct("doc_id", "chunk", "place")).alias("stands"))
-        .select("size", "one", "two", "stands.*"))
+        signed.filter("size > 0").groupBy("size", "one", "two").agg(_least().alias("stands"))
+        .select("size", "one", "two", "stands.doc_id", "stands.chunk", "stands.place"))
     chosen = classes.select("chunk", "place")
     sent = texts.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(_send(shingle, bits), _SENT)
     answers = sent.groupBy("part").applyInArrow(_add_up, _ANSWER)
@@ -288,11 +293,14 @@ def ngram_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PER
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the one with the least id.  Columns stay as they are."""
     signed, classes, chunks = _classes(documents(docs), shingle, percent)
-    stay = classes.groupBy("root").agg(F.min(F.struct("doc_id", "chunk", "place")).alias("s")).select("s.chunk", "s.place")
+    stay = classes.groupBy("root").agg(_least().alias("s")).select("s.chunk", "s.place")
     stay = stay.unionByName(signed.filter("size = 0").select("chunk", "place"))
-    whole = docs.withColumn("_chunk", chunk_of(chunks))
+    own = ("doc_id", "text")
+    names = [c if c in own else f"d_{i}" for i, c in enumerate(docs.columns)]
+    whole = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
 
     def pick(_: tuple, rows: pa.Table, places: pa.Table) -> pa.Table:
-        return in_order(rows).drop_columns(["_chunk"]).take(places["place"].combine_chunks())
+        return in_order(rows).drop_columns(["chunk"]).take(places["place"].combine_chunks())
 
-    return whole.groupBy("_chunk").cogroup(stay.groupBy("chunk")).applyInArrow(pick, docs.schema)
+    kept = whole.withColumn("chunk", chunk_of(chunks)).groupBy("chunk").cogroup(stay.groupBy("chunk")).applyInArrow(pick, whole.schema)
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
