@@ -261,7 +261,11 @@ def train(docs: DataFrame, path: str | None = None) -> Model:
         bases.append(bases[-1] + (found[p]["n"] if p in found else 0))
     if bases[-1] >= 2**32:
         raise ValueError("more distinct tokens than 32-bit numbers can tell apart")
-    pairs = texts.mapInArrow(_count_pairs(path, bases), _PAIRS).groupBy("part").applyInArrow(_store_pairs(path, bases), _CONTEXTS)
+    # Every part gets its files, also one whose tokens are no context or stand in none.
+    every = spark.range(parts).select(F.col("id").cast("int").alias("part"), *[F.lit(b"").alias(c) for c in ("pairs", "counts")])
+    counted = texts.mapInArrow(_count_pairs(path, bases), _PAIRS).unionByName(every)
+    pairs = counted.groupBy("part").applyInArrow(_store_pairs(path, bases), _CONTEXTS)
+    pairs = pairs.unionByName(every.withColumnRenamed("pairs", "tokens"), allowMissingColumns=True)
     stats = materialise(pairs.groupBy("part").applyInArrow(_store_contexts(path, bases), _STATS))
     sums = {True: np.zeros(6, np.int64), False: np.zeros(6, np.int64)}
     for r in stats.collect():  # six numbers for each part

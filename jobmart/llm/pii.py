@@ -6,7 +6,8 @@ candidates and have patterns too.  Spark scores the graph of values and patterns
 
 * a pattern is worth the share of its occurrences in the whole corpus that stand next to trusted values, so a
   word that mostly stands next to plain text is worth nothing; it needs several different seeds;
-* a candidate is trusted by all its patterns together (noisy or).
+* a candidate is trusted by all its patterns together (noisy or), and strengthens them in later rounds only
+  once it is above the threshold.
 
 Candidates that end above the threshold become spans of the kind ``id``.  Each step runs on tables of values
 and patterns in the shared folder; texts are read twice, to find spans and to count words.
@@ -221,10 +222,11 @@ def trusted_values(found: DataFrame, texts: DataFrame, rounds: int, threshold: f
     trust = graph.groupBy("value").agg(F.max("seed").alias("seed")).select("value", "seed", F.col("seed").cast("double").alias("trust"))
     for _ in range(rounds):
         trust = materialise(trust)
-        worth = graph.join(trust.select("value", "trust"), "value").groupBy("pattern").agg(
+        sure = trust.filter(F.col("trust") >= threshold).select("value", "trust")
+        worth = graph.join(sure, "value").groupBy("pattern").agg(
             (F.sum(F.col("n") * F.col("trust")) / (F.max("total") + SMOOTHING)).alias("worth"))
-        doubt = graph.select("value", "pattern").join(worth, "pattern").groupBy("value").agg(
-            F.sum(F.log1p(-F.least("worth", F.lit(0.999)))).alias("doubt"))
+        doubt = graph.select("value", "pattern").join(worth, "pattern", "left").groupBy("value").agg(
+            F.sum(F.log1p(-F.least(F.coalesce("worth", F.lit(0.0)), F.lit(0.999)))).alias("doubt"))
         trust = trust.join(doubt, "value").select(
             "value", "seed", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("trust"))
     return materialise(trust.filter(~F.col("seed") & (F.col("trust") >= threshold)).select("value"))
