@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MOST_MINUTES = 2_000_000_000  # about 3,800 years
 _ISO = r"(?<![0-9])([0-9]{4})[/-]([0-9]{1,2})[/-]([0-9]{1,2})(?![0-9])"
 _DMY = r"(?<![0-9])([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4}|[0-9]{2})(?![0-9])"
 _DMY_ANYWHERE = r"([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{2,4})"
@@ -53,15 +54,18 @@ def parse_timestamp(c: Column, *formats: str) -> Column:
 def relative_date(page: Column, text: Column) -> Column:
     """Date of "N minute/hour/day ago" counted from the page's "Last updated" stamp.
 
-    No "ago" text gives the stamp's date, no stamp gives NULL.
+    No "ago" text gives the stamp's date; no stamp, or a number that leads out of the calendar, gives NULL.
     """
     base = F.regexp_extract(
         page, r"Last updated:\s*\W([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2})", 1
     ).try_cast("timestamp_ntz")
-    ago = r"(?<![0-9])([0-9]{1,7})\s+(minute|hour|day)s?\s+ago"
+    ago = r"(?<![0-9])([0-9]+)\s+(minute|hour|day)s?\s+ago"
     lowered = F.lower(text)
-    amount = F.regexp_extract(lowered, ago, 1).try_cast("int")
+    digits = F.regexp_extract(lowered, ago, 1)
+    amount = digits.try_cast("bigint")
     unit = F.regexp_extract(lowered, ago, 2)
-    count = lambda name: F.when(unit == name, amount).otherwise(F.lit(0))
-    moved = base - F.make_dt_interval(count("day"), count("hour"), count("minute"))
-    return F.when(amount.isNull(), base).otherwise(moved).cast("date")
+    minutes = F.when(unit == "day", F.lit(1440)).when(unit == "hour", F.lit(60)).otherwise(F.lit(1)).cast("bigint")
+    back = F.try_multiply(amount, minutes)
+    # Year 1 is less than MOST_MINUTES before any date that a page can show.
+    moved = F.when(back <= MOST_MINUTES, base - F.make_dt_interval(F.lit(0), F.lit(0), back.cast("int")))
+    return F.when(digits == "", base).when(F.year(moved) >= 1, moved).cast("date")

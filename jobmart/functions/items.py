@@ -85,8 +85,8 @@ def row_json() -> Column:
 
 
 def row_hash(*columns: Column) -> Column:
-    """SHA-256 over the columns joined with "||" (NULLs are skipped)."""
-    return F.sha2(F.concat_ws("||", *columns), 256)
+    """SHA-256 over the columns as a JSON array of texts, so a NULL, an empty text and a missing column differ."""
+    return F.sha2(F.to_json(F.array(*[c.cast("string") for c in columns])), 256)
 
 
 def round_to_ten_thousand(c: Column) -> Column:

@@ -52,8 +52,8 @@ def strip(c: Column) -> Column:
 
 
 def text_key(c: Column) -> Column:
-    """Comparison key: lower case, single blanks, no blanks at the ends."""
-    return F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    """Comparison key: lower case, single blanks for white space of every kind, none at the ends."""
+    return F.lower(F.trim(F.regexp_replace(c, f"[{WHITE_SPACE}]+", " ")))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -101,9 +101,7 @@ def first_label(
             labels = labels.when(hit, F.lit(label))
         return labels.otherwise(default)
 
-    # A few keywords compile to fast code; many are cheaper with the lower-cased text kept.
-    few = sum(len(words) for _, words in rules) <= 32
-    return chain(F.lower(c)) if few else bind(F.lower(c), chain)
+    return bind(F.lower(c), chain)  # the lower-cased text is worked out once
 
 
 # Letters, digits and underscore in any script; spelled out because ``\w`` and ``\b`` differ

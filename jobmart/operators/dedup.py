@@ -32,16 +32,20 @@ def content_hash(df: DataFrame, skip: Sequence[str] = ()) -> Column:
 
 
 def drop_duplicate_urls(df: DataFrame, url: str = "url", newest: str | None = None) -> DataFrame:
-    """One row per url: the newest, ties broken by the row's content."""
-    content = content_hash(df).asc()
-    order = [F.col(newest).desc_nulls_last(), content] if newest else [content]
-    return keep_first(df, [url], order)
+    """One row per url: the newest, ties broken by the row's content.
+
+    Rows without a url are told apart by their content: only full repetitions of such a row go.
+    """
+    content = content_hash(df)
+    order = [F.col(newest).desc_nulls_last(), content.asc()] if newest else [content.asc()]
+    whole = F.when(F.col(url).isNull(), F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256))
+    return keep_first(df, [F.col(url), whole], order)
 
 
 def with_row_key(
     df: DataFrame, url: str = "url", parts: Sequence[str] = ("company", "title", "location_raw")
 ) -> DataFrame:
-    """``row_key``: the url, else SHA-256 of company‖title‖location."""
+    """``row_key``: the url, else SHA-256 of company, title and location."""
     return df.withColumn("row_key", F.coalesce(F.col(url), row_hash(*map(F.col, parts))))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators.layout import estimated_bytes
+from jobmart.scratch import materialise
 from jobmart.session import CBO_CONF
 
 # Largest estimated size of a table that may be copied to every executor.  The estimate of a file
@@ -95,6 +96,21 @@ def _band(size: Column) -> Column:
     return (size - size % step).cast("int")
 
 
+HEAVY = 1024
+
+
+def _with_frequency(rows: DataFrame, frequency: DataFrame, total: int) -> DataFrame:
+    """``rows`` with the frequency ``n`` of their skill; ``total``: number of all occurrences.
+
+    Skills with more than one in ``HEAVY`` of all occurrences number at most ``HEAVY``: they are broadcast, so
+    no partition gets all rows of a common skill.
+    """
+    heavy = F.col("n") * HEAVY > total
+    known = rows.join(F.broadcast(frequency.filter(heavy)), "skill", "left")
+    light = known.filter(F.col("n").isNull()).drop("n").join(frequency.filter(~heavy), "skill")
+    return known.filter(F.col("n").isNotNull()).unionByName(light)
+
+
 def skillset_matches(
     job_skills: DataFrame, resume_skills: DataFrame, job_id: str, resume_id: str, min_score: float
 ) -> DataFrame:
@@ -104,58 +120,47 @@ def skillset_matches(
     and résumés that have them.  Two sets of sizes a and b that reach the score s share at least
     o = s / (1 + s) * (a + b) skills, hence one of their a - o + 1 and b - o + 1 rarest ones; only
     those are joined, separately per band of partner sizes.  A skill that most sets have is the last
-    in this order and is joined only where nothing rarer can decide.  A pair is taken at the first
-    skill it shares, so no pair appears twice.
+    in this order and is joined only where nothing rarer can decide.
+
+    Only digests of sets travel through the candidate join; the sets come back for the distinct candidates.
+    The sets are written to the shared folder once.  The number of results is not bounded by the input: a low
+    ``min_score`` asks for many pairs.
     """
     if not 0 < min_score <= 1:
         raise ValueError("min_score must be in (0, 1]")
     eps = F.lit(1e-9)  # keeps ceil, floor and >= exact where the product is a whole number
     score = F.lit(min_score)
-    frequency = (
-        job_skills.select("skill").unionByName(resume_skills.select("skill"))
-        .groupBy("skill").agg(F.count("*").alias("n"))
-    )
 
-    def prefix(skills: Column, partner_band: Column) -> Column:
-        size = F.size(skills)
-        shared = F.ceil(score / (1 + score) * (size + partner_band) - eps).cast("int")
-        return F.slice(skills, F.lit(1), F.greatest(size - shared + 1, F.lit(0)))
-
-    def sets(rows: DataFrame, row_id: str, side: str) -> DataFrame:
-        # Rarest skill first; the order is total, so equal sets give equal arrays.
-        ordered = F.transform(
-            F.array_sort(F.collect_set(F.struct("n", "skill"))), lambda s: s["skill"]
-        )
-        distinct = (
-            rows.join(frequency, "skill")
-            .groupBy(row_id).agg(ordered.alias("skills"))
-            .groupBy("skills").agg(F.count("*").alias("n"))
-        )
-        size = F.size("skills")
-        partner_sizes = F.sequence(
-            F.ceil(size * score - eps).cast("int"), F.floor(size / score + eps).cast("int")
-        )
-        banded = distinct.select(
-            F.col("skills").alias(f"{side}_skills"), F.col("n").alias(f"n_{side}s"),
-            _band(size).alias(f"{side}_band"),
-            F.explode(F.array_distinct(F.transform(partner_sizes, _band))).alias("partner"),
-        )
-        return banded.withColumn("skill", F.explode(prefix(F.col(f"{side}_skills"), F.col("partner"))))
-
-    left = sets(job_skills, job_id, "job").withColumnRenamed("partner", "resume_band")
-    right = sets(resume_skills, resume_id, "resume").withColumnRenamed("partner", "job_band")
-    met = left.join(right, ["skill", "job_band", "resume_band"])
-    first_met = F.array_intersect(
-        prefix(F.col("job_skills"), F.col("resume_band")), prefix(F.col("resume_skills"), F.col("job_band"))
-    )
+    def distinct_sets(rows: DataFrame, row_id: str, side: str) -> DataFrame:
+        whole = rows.groupBy(F.col(row_id).alias("id")).agg(F.sort_array(F.collect_set("skill")).alias("skills"))
+        return whole.groupBy("skills").agg(F.count("*").alias("members")).select(
+            F.lit(side).alias("side"), F.unhex(F.sha2(F.to_json("skills"), 256)).alias("set_id"), "skills", "members")
+
+    sets = materialise(distinct_sets(job_skills, job_id, "job").unionByName(distinct_sets(resume_skills, resume_id, "resume")))
+    exploded = sets.select("side", "set_id", F.size("skills").alias("size"), F.explode("skills").alias("skill"))
+    frequency = exploded.groupBy("skill").agg(F.count("*").alias("n"))
+    # Rarest skill first; the order is total.
+    total = sets.agg(F.sum(F.size("skills"))).first()[0] or 0
+    ordered = _with_frequency(exploded, frequency, total).groupBy("side", "set_id", "size").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("n", "skill"))), lambda s: s["skill"]).alias("skills"))
+    partner_sizes = F.sequence(F.ceil(F.col("size") * score - eps).cast("int"), F.floor(F.col("size") / score + eps).cast("int"))
+    banded = ordered.select(
+        "side", "set_id", "size", "skills", _band(F.col("size")).alias("band"),
+        F.explode(F.array_distinct(F.transform(partner_sizes, _band))).alias("partner"))
+    least = F.ceil(score / (1 + score) * (F.col("size") + F.col("partner")) - eps).cast("int")
+    first = F.slice("skills", F.lit(1), F.greatest(F.col("size") - least + 1, F.lit(0)))
+    reached = banded.select("side", "set_id", "band", "partner", F.explode(first).alias("skill"))
+    left = reached.filter(F.col("side") == "job").select("skill", "band", "partner", F.col("set_id").alias("job_set"))
+    right = reached.filter(F.col("side") == "resume").select(
+        "skill", F.col("partner").alias("band"), F.col("band").alias("partner"), F.col("set_id").alias("resume_set"))
+    pairs = left.join(right, ["skill", "band", "partner"]).select("job_set", "resume_set").distinct()
+    side = lambda name: sets.filter(F.col("side") == name).select(
+        F.col("set_id").alias(f"{name}_set"), F.col("skills").alias(f"{name}_skills"), F.col("members").alias(f"n_{name}s"))
     shared = F.size(F.array_intersect("job_skills", "resume_skills"))
     together = F.size("job_skills") + F.size("resume_skills") - shared
     return (
-        met.filter(F.get(first_met, F.lit(0)) == F.col("skill"))
-        .select(
-            "job_skills", "resume_skills", "n_jobs", "n_resumes",
-            shared.alias("n_shared"), (shared / together).alias("score"),
-        )
+        pairs.join(side("job"), "job_set").join(side("resume"), "resume_set")
+        .select("job_skills", "resume_skills", "n_jobs", "n_resumes", shared.alias("n_shared"), (shared / together).alias("score"))
         .filter(F.col("score") >= score - eps)
     )
 
@@ -169,7 +174,7 @@ def certificates_by_role(jobs: DataFrame, roles: DataFrame, title: str = "job_ti
 
 def unseen(df: DataFrame, seen: DataFrame, key: str = "url") -> DataFrame:
     """Rows whose key is not in ``seen``, each key as often as it comes."""
-    return df.join(seen.select(key).distinct(), key, "left_anti")
+    return df.join(seen.select(key), key, "left_anti")
 
 
 def bucketed_table(df: DataFrame, name: str, key: str, buckets: int) -> None:

@@ -1,24 +1,11 @@
-"""Size and partitioning of inputs."""
+"""Size of inputs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Inputs up to this size may sit in very few Parquet row groups, each read by one task.
-SMALL_INPUT = 256 * 1024 * 1024
-
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate: file sizes scaled to the columns read; joins multiply, so the
     estimate of anything but a plain scan errs on the large side."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, limit: int = SMALL_INPUT) -> DataFrame:
-    """Give a small input to all cores before costly per-row work.
-
-    Larger inputs come in enough row groups and are left as they are: no shuffle is added.
-    """
-    if estimated_bytes(df) > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -39,8 +39,16 @@ def disagreement(df: DataFrame, a: Column, b: Column) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.count_if(~a.eqNullSafe(b)).alias("n_different"))
 
 
+def counts(seen: Observation) -> dict:
+    """What was observed; zero rows when nothing was left to observe."""
+    try:
+        return seen.get
+    except AssertionError:  # the plan of an empty result has no such node
+        return {"n_rows": 0}
+
+
 def observe(df: DataFrame, name: str, columns: Sequence[str] = tuple(rules.REQUIRED)) -> tuple[DataFrame, Observation]:
-    """``df`` with row and NULL counts collected while it is written; read ``Observation.get``
+    """``df`` with row and NULL counts collected while it is written; read ``counts``
     after the write.  No extra job."""
     seen = Observation(name)
     metrics = [F.count(F.lit(1)).alias("n_rows")]

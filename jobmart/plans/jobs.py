@@ -24,7 +24,7 @@ def normalise_job(spark: SparkSession, inputs: Mapping[str, str], output: str, m
     unique = dedup.drop_duplicate_keys(keyed, [dedup.content_hash(keyed).asc()]).drop("row_key")
     rows, seen = quality.observe(unique, "normalise")
     writers.write_parquet(rows, output)
-    return seen.get
+    return quality.counts(seen)
 
 
 def clean_job(
@@ -38,7 +38,7 @@ def clean_job(
         written = spark.read.parquet(output)
         flat = written.withColumns({c: F.array_join(c, ", ") for c in ("skills", "benefits")})
         writers.append_jdbc(flat, jdbc)
-    return seen.get
+    return quality.counts(seen)
 
 
 def warehouse_job(spark: SparkSession, source: str, output: str, companies: DataFrame | None = None) -> None:

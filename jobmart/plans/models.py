@@ -36,17 +36,21 @@ def hash_split(df: DataFrame, key: Column, train_share: float = 0.8, seed: int =
     return df.filter(part < limit), df.filter(part >= limit)
 
 
-def salary_regression(trees: int = 50, seed: int = 42) -> Pipeline:
+def salary_regression(
+    trees: int = 50, seed: int = 42, title_words: int = 1000, benefit_items: int = 500, min_rows: float = 2.0,
+) -> Pipeline:
     """City, level, title words and benefits → random forest.
 
-    Titles are split at characters that are not letters or digits of any script.
+    Titles are split at characters that are not letters or digits of any script.  The vocabularies hold the
+    ``title_words`` and ``benefit_items`` most frequent terms of at least ``min_rows`` rows (or that share of
+    the rows, below 1): they set the width of the feature vector, so raise them with the data.
     """
     return Pipeline(stages=[
         StringIndexer(inputCols=["city", "level"], outputCols=["city_index", "level_index"], handleInvalid="keep"),
         OneHotEncoder(inputCols=["city_index", "level_index"], outputCols=["city_vector", "level_vector"]),
         RegexTokenizer(inputCol="title", outputCol="title_words", pattern=r"(?U)\W"),
-        CountVectorizer(inputCol="title_words", outputCol="title_vector", vocabSize=1000, minDF=2.0),
-        CountVectorizer(inputCol="benefits", outputCol="benefit_vector", vocabSize=500, minDF=2.0),
+        CountVectorizer(inputCol="title_words", outputCol="title_vector", vocabSize=title_words, minDF=min_rows),
+        CountVectorizer(inputCol="benefits", outputCol="benefit_vector", vocabSize=benefit_items, minDF=min_rows),
         VectorAssembler(
             inputCols=["city_vector", "level_vector", "title_vector", "benefit_vector"], outputCol="features"
         ),

@@ -11,8 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.operators.layout import spread_small
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -131,11 +129,10 @@ POSTED_SQL = """CASE o_orderkey % 5
  ELSE 'N/A' END"""
 
 
-def postings(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def postings(spark: SparkSession, folder: str) -> DataFrame:
     """Adverts from orders alone."""
     key = F.col("o_orderkey")
-    orders = table(spark, folder, "orders")
-    return (spread_small(orders) if spread else orders).select(
+    return table(spark, folder, "orders").select(
         key.alias("advert_id"),
         F.when(key % 11 != 0, _text("https://jobs.example.com/", F.col("o_custkey"))).alias("url"),
         F.when(key % 17 != 0, pick(TITLES, key)).alias("title"),
@@ -164,10 +161,10 @@ def company_name() -> Column:
     ).otherwise(F.col("c_name"))
 
 
-def adverts(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def adverts(spark: SparkSession, folder: str) -> DataFrame:
     """Adverts with company and place."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    joined = postings(spark, folder, spread).join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = postings(spark, folder).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return joined.withColumns({
         "company": company_name(),
         "location_raw": F.when(F.col("c_custkey") % 19 != 0, pick(PLACES, F.col("c_custkey"))),
@@ -183,7 +180,7 @@ ADVERTS_SQL = f"""{POSTINGS_SQL}, adverts AS (
 
 def descriptions(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts with a skill or work-mode phrase in front."""
-    return spread_small(table(spark, folder, "documents")).select(
+    return table(spark, folder, "documents").select(
         "doc_id", F.concat(pick(PHRASES, F.col("doc_id")), F.lit("\n"), F.col("text")).alias("description"),
         "lang", "source",
     )
@@ -205,15 +202,14 @@ JOB_SKILLS_SQL = """job_skills AS (
 
 
 def resume_skills(spark: SparkSession, folder: str) -> DataFrame:
-    """(supplier, brand) rows: the skills a résumé offers, from returned lines."""
+    """(supplier, brand) rows: the skills a résumé offers."""
     part = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("skill"))
-    lines = table(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R").select("l_suppkey", "l_partkey")
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_partkey")
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "skill").distinct()
 
 
 RESUME_SKILLS_SQL = """resume_skills AS (
- SELECT DISTINCT l_suppkey, p_brand AS skill FROM lineitem JOIN part ON l_partkey = p_partkey
- WHERE l_returnflag = 'R')"""
+ SELECT DISTINCT l_suppkey, p_brand AS skill FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
 def sql_contains(text: str, words: list[str]) -> str:

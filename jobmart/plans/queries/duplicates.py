@@ -29,7 +29,7 @@ def dedup_latest(spark, folder):
 
 @query(
     "dedup_key_hash",
-    f"""WITH {ADVERTS_SQL} SELECT advert_id, coalesce(url, sha256(concat_ws('||', company, title, location_raw))) AS row_key
+    f"""WITH {ADVERTS_SQL} SELECT advert_id, coalesce(url, sha256(CAST(to_json([company, title, location_raw]) AS VARCHAR))) AS row_key
  FROM adverts QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY advert_id) = 1""",
 )
 def dedup_key_hash(spark, folder):
@@ -39,7 +39,8 @@ def dedup_key_hash(spark, folder):
 
 @query(
     "dedup_exact",
-    f"""WITH {POSTINGS_SQL} SELECT url, max(advert_id) AS advert_id FROM postings GROUP BY url""",
+    f"""WITH {POSTINGS_SQL} SELECT url, max(advert_id) AS advert_id FROM postings WHERE url IS NOT NULL GROUP BY url
+ UNION ALL SELECT DISTINCT url, advert_id FROM postings WHERE url IS NULL""",
 )
 def dedup_exact(spark, folder):
     rows = postings(spark, folder).select("url", "advert_id")

@@ -82,10 +82,9 @@ def count_by_work_mode(spark, folder):
     "GROUP BY 1 ORDER BY n_jobs DESC, company LIMIT 5",
 )
 def top_companies(spark, folder):
-    # Counted per key before the names are joined, so the join sees one row per company.
-    counts = table(spark, folder, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_jobs"))
-    named = counts.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return analytics.top(named.select(F.col("c_name").alias("company"), "n_jobs"), 5, "n_jobs", "company")
+    customer = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("company"))
+    jobs = table(spark, folder, "orders").select("o_custkey")
+    return analytics.top_companies(jobs.join(customer, F.col("o_custkey") == F.col("c_custkey")), 5)
 
 
 @query(
@@ -97,9 +96,7 @@ def top_companies(spark, folder):
 def salary_by_skill(spark, folder):
     part = table(spark, folder, "part").select("p_partkey", F.array("p_type", "p_brand").alias("skills"))
     lines = table(spark, folder, "lineitem").select("l_partkey", F.col("l_extendedprice").alias("salary_mid"))
-    return analytics.salary_by_dimension(
-        lines, "l_partkey", part, "p_partkey", F.explode(F.array_distinct("skills")), "skill"
-    )
+    return analytics.salary_by_skill(lines.join(part, F.col("l_partkey") == F.col("p_partkey")))
 
 
 @query(
@@ -202,11 +199,39 @@ def row_policy_view(spark, folder):
 
 @query(
     "row_cap",
-    f"WITH {POSTINGS_SQL} SELECT least(count(*), 5000) AS n_rows FROM postings WHERE salary_raw <> 'Thỏa thuận' AND salary_raw IS NOT NULL",
+    f"""WITH {POSTINGS_SQL} SELECT advert_id, title, salary_raw FROM postings WHERE salary_raw <> 'Thỏa thuận' AND salary_raw IS NOT NULL
+ ORDER BY encode(salary_raw), advert_id LIMIT 5000""",
 )
 def row_cap(spark, folder):
+    """What a report of at most 5000 rows shows."""
     view = governance.secured_view(postings(spark, folder), "secured_adverts", "adverts", _POLICIES)
-    return view.agg(F.count("*").alias("n_rows"))
+    return governance.capped_result(view, 5000, ["salary_raw", "advert_id"])
+
+
+@query(
+    "secured_aggregate",
+    f"""WITH {POSTINGS_SQL} SELECT salary_raw, count(*) AS n_rows, sum(advert_id)::BIGINT AS id_sum FROM postings
+ WHERE salary_raw <> 'Thỏa thuận' AND salary_raw IS NOT NULL GROUP BY 1""",
+)
+def secured_aggregate(spark, folder):
+    """An aggregate over a secured view sees every permitted row."""
+    governance.secured_view(postings(spark, folder), "secured_postings", "adverts", _POLICIES)
+    return spark.sql("SELECT salary_raw, count(*) AS n_rows, sum(advert_id) AS id_sum FROM secured_postings GROUP BY salary_raw")
+
+
+@query(
+    "row_policy_two_roles",
+    f"""WITH {POSTINGS_SQL} SELECT advert_id, CASE WHEN advert_id % 2 = 0 THEN title END AS title,
+ CASE WHEN o_custkey % 3 = 0 THEN salary_raw END AS salary_raw FROM postings
+ WHERE (advert_id % 2 = 0 OR o_custkey % 3 = 0) AND title IS NOT NULL""",
+)
+def row_policy_two_roles(spark, folder):
+    """Two roles with rows and columns of their own, and a restriction for both."""
+    roles = [
+        governance.RolePolicy(tables=["adverts"], filters={"adverts": "advert_id % 2 = 0"}, columns={"adverts": ["advert_id", "title"]}),
+        governance.RolePolicy(tables=["adverts"], filters={"adverts": "o_custkey % 3 = 0"}, columns={"adverts": ["advert_id", "salary_raw"]}),
+    ]
+    return governance.apply_row_policy(postings(spark, folder), "adverts", roles, ["title IS NOT NULL"])
 
 
 @query(

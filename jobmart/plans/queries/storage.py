@@ -78,11 +78,11 @@ def materialised(spark, folder):
 
 @query(
     "word_list",
-    "SELECT DISTINCT trim(w) AS word FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE NOT contains(w, chr(10)) AND trim(w) <> ''",
+    "SELECT DISTINCT w AS word FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS w FROM benchmark) WHERE w <> ''",
 )
 def word_list(spark, folder):
     """Words written one per line, read back trimmed and without blanks."""
     path = fresh_path(spark, "words")
-    words = table(spark, folder, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
-    words.filter(~F.col("w").contains("\n")).select(F.concat(F.lit("  "), "w", F.lit(" "))).write.text(path)
+    words = table(spark, folder, "benchmark").select(F.explode(F.split("text", r"\s+")).alias("w"))
+    words.select(F.concat(F.lit("  "), "w", F.lit(" "))).write.text(path)
     return readers.read_word_list(spark, path)

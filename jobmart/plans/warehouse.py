@@ -1,7 +1,7 @@
 """Star schema of job postings.
 
-Surrogate keys are 64-bit hashes of the natural key: the same in every run and table, computed
-without a shuffle, so facts get their keys without joining the dimensions.
+Surrogate keys are SHA-256 digests of the natural key: the same in every run and table, computed
+without a shuffle, so facts get their keys without joining the dimensions, and too long to collide.
 """
 
 from __future__ import annotations
@@ -18,9 +18,8 @@ from jobmart.operators.dedup import keep_first
 def surrogate_key(*natural: Column | str) -> Column:
     """NULL when the whole natural key is NULL; NULL and "" are told apart."""
     columns = [F.col(n) if isinstance(n, str) else n for n in natural]
-    marked = [F.concat(F.when(c.isNull(), "0").otherwise("1"), F.coalesce(c.cast("string"), F.lit(""))) for c in columns]
-    key = F.xxhash64(*marked)
-    return F.when(F.coalesce(*[c.cast("string") for c in columns]).isNotNull(), key)
+    texts = [c.cast("string") for c in columns]
+    return F.when(F.coalesce(*texts).isNotNull(), F.sha2(F.to_json(F.array(*texts)), 256))
 
 
 def date_key(date: Column | str) -> Column:

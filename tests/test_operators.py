@@ -209,8 +209,14 @@ def test_row_policies(spark):
     assert governance.apply_row_policy(df, "t", [reader]).columns == ["title"]
     with pytest.raises(PermissionError):
         governance.apply_row_policy(df, "other", [finance])
-    governance.secured_view(df, "v", "t", [open_role], cap=2)
-    assert spark.table("v").count() == 2
+    governance.secured_view(df, "v", "t", [open_role])
+    assert spark.table("v").count() == 3
+    assert [r["title"] for r in governance.capped_result(spark.table("v"), 2, ["title"]).collect()] == ["a", "b"]
+    assert titles([open_role, finance]) == ["a", "b", "c"]
+    both = {r["title"]: r["salary_raw"] for r in governance.apply_row_policy(df, "t", [finance, reader]).collect()}
+    assert both == {"a": None, "c": "5 tr"}  # the reader's row does not show the column that only finance sees
+    restricted = governance.apply_row_policy(df, "t", [open_role], ["salary_raw IS NOT NULL", "title <> 'c'"])
+    assert [r["title"] for r in restricted.collect()] == ["a"]
 
 
 def test_harmonised_columns(spark):
