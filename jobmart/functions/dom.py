@@ -28,7 +28,9 @@ NODE = T.StructType(
         T.StructField("parent", T.IntegerType()),
         T.StructField("tag", T.StringType()),       # "#text" for text
         T.StructField("cls", T.StringType()),       # class attribute
-        T.StructField("link", T.StringType()),      # href, or a data-…-url… attribute
+        T.StructField("link", T.StringType()),      # href
+        T.StructField("data", T.StringType()),      # a data-…-url… attribute
+        T.StructField("job", T.StringType()),       # data-job-id
         T.StructField("text", T.StringType()),
     ]
 )
@@ -42,9 +44,9 @@ class _Nodes(HTMLParser):
         self.rows: list[list] = []
         self.open: list[int] = []
 
-    def _add(self, tag, cls=None, link=None, text=None) -> int:
+    def _add(self, tag, cls=None, link=None, data=None, job=None, text=None) -> int:
         at = len(self.rows)
-        self.rows.append([at, at, self.open[-1] if self.open else -1, tag, cls, link, text])
+        self.rows.append([at, at, self.open[-1] if self.open else -1, tag, cls, link, data, job, text])
         return at
 
     def _close(self, depth: int) -> None:
@@ -54,10 +56,8 @@ class _Nodes(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         named = dict(attrs)
-        link = named.get("href") or next(
-            (v for k, v in attrs if k.startswith("data-") and "url" in k), None
-        )
-        at = self._add(tag, named.get("class"), link)
+        data = next((v for k, v in attrs if k.startswith("data-") and "url" in k), None)
+        at = self._add(tag, named.get("class"), named.get("href"), data, named.get("data-job-id"))
         if tag not in _VOID:
             self.open.append(at)
 
@@ -103,7 +103,7 @@ def page_parser(html: str, keep: list[str]) -> Callable[[Iterator[pa.RecordBatch
     A page that cannot be parsed has an error and no nodes.
     """
     fields = [(n, pa.int32()) for n in ("at", "last", "parent")]
-    fields += [(n, pa.string()) for n in ("tag", "cls", "link", "text")]
+    fields += [(n, pa.string()) for n in ("tag", "cls", "link", "data", "job", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,6 +179,23 @@ def next_siblings(nodes: Column, node: Column, tag: str, cls: str | None = None)
     return F.filter(nodes, fits)
 
 
+def next_element(nodes: Column, node: Column, tag: str) -> Column:
+    """The element right after a node, texts aside, if it is of that kind."""
+    def fits(n: Column) -> Column:
+        return F.coalesce((n["parent"] == node["parent"]) & (n["at"] > node["at"]) & (n["tag"] != "#text"), F.lit(False))
+
+    return bind(F.get(F.filter(nodes, fits), F.lit(0)), lambda n: F.when(n["tag"] == tag, n))
+
+
+def own_nodes(nodes: Column, node: Column) -> Column:
+    """The nodes from ``node`` to its last, numbered from 0: a small page of its own."""
+    def shifted(n: Column) -> Column:
+        moved = n.withField("at", n["at"] - node["at"]).withField("last", n["last"] - node["at"])
+        return moved.withField("parent", F.when(n["at"] == node["at"], F.lit(-1)).otherwise(n["parent"] - node["at"]))
+
+    return F.transform(F.slice(nodes, node["at"] + 1, node["last"] - node["at"] + 1), shifted)
+
+
 def headed(
     nodes: Column, pattern: str, tag: str, cls: str | None = None, inside: Column | None = None
 ) -> Column:
@@ -188,4 +205,5 @@ def headed(
 
 
 def links(nodes: Column, found: Column) -> Column:
-    return F.array_distinct(F.filter(F.transform(found, lambda n: n["link"]), lambda x: x.isNotNull()))
+    """Distinct links of the nodes: ``href``, or else a data attribute with a url."""
+    return F.array_distinct(F.filter(F.transform(found, lambda n: F.coalesce(n["link"], n["data"])), lambda x: x.isNotNull()))

@@ -60,23 +60,26 @@ def bind_nodes(nodes: Column, tag: str, container: str) -> Column:
     return bind(dom.find(nodes, container), lambda box: dom.find_all(nodes, tag, inside=box))
 
 
-def harvested_links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
-    """(page url, link) rows by pattern, repeats included; relative links get the page's own site."""
-    found = pages.select(
-        "url", F.explode(F.regexp_extract_all(html, F.lit(r'<a\b[^>]*\bhref="([^"]+)"'), F.lit(1))).alias("href")
-    )
-    site = F.lit(base) if base else F.regexp_extract("url", r"^(https?://[^/]+)", 1)
+def site_of(url: Column) -> Column:
+    return F.regexp_extract(url, r"^(https?://[^/]+)", 1)
+
+
+def harvested_links(parsed: DataFrame, base: str | None = None) -> DataFrame:
+    """(page url, link) rows of the anchors, repeats included; relative links get the page's own site."""
+    anchors = F.transform(dom.find_all(F.col("nodes"), "a"), lambda n: n["link"])
+    found = parsed.select("url", F.explode(anchors).alias("href"))
+    site = F.lit(base) if base else site_of(F.col("url"))
     link = F.when(F.startswith("href", F.lit("/")), F.concat(site, F.col("href"))).otherwise(F.col("href"))
     return found.select("url", link.alias("link")).filter(F.startswith("link", F.lit("http")))
 
 
-def page_links(pages: DataFrame, html: str = "html", base: str | None = None) -> DataFrame:
+def page_links(parsed: DataFrame, base: str | None = None) -> DataFrame:
     """Distinct (page url, link) rows."""
-    return harvested_links(pages, html, base).distinct()
+    return harvested_links(parsed, base).distinct()
 
 
-def job_links(parsed: DataFrame, tag: str, cls_like: str, base: str, cut: str | None = None) -> DataFrame:
-    """Distinct job links of list pages, from anchors or card elements by class pattern."""
+def job_links(parsed: DataFrame, tag: str, cls_like: str | None, base: str, cut: str | None = None) -> DataFrame:
+    """Distinct job links of list pages, from anchors or card elements, by class pattern if given."""
     n = F.col("nodes")
     found = dom.links(n, dom.find_all(n, tag, cls_like=cls_like))
     link = items.absolute_url(F.col("href"), base, cut)
@@ -92,15 +95,19 @@ def board_a(parsed: DataFrame) -> DataFrame:
     """Detail page with a header box, a blue fact box and headed sections."""
     n = F.col("nodes")
 
-    def fact(label: str, then: str = "p") -> Column:
+    def facts(label: str) -> Column:
+        """The paragraphs right after a label in the blue box."""
         def in_box(box: Column) -> Column:
-            mark = dom.headed(n, label, "strong", inside=box)
-            return bind(mark, lambda m: F.get(dom.next_siblings(n, m, then), F.lit(0)))
+            marks = F.filter(dom.find_all(n, "strong", inside=box), lambda m: dom.text_of(n, m).contains(label))
+            return F.filter(F.transform(marks, lambda m: dom.next_element(n, m, "p")), lambda p: p.isNotNull())
 
         return bind(dom.find(n, "div", "bg-blue"), in_box)
 
+    def fact(label: str) -> Column:
+        return F.get(facts(label), F.lit(0))
+
     def anchors(label: str) -> Column:
-        return bind(fact(label), lambda p: dom.texts_of(n, dom.find_all(n, "a", inside=p)))
+        return F.flatten(F.transform(facts(label), lambda p: dom.texts_of(n, dom.find_all(n, "a", inside=p))))
 
     def section(label: str) -> Column:
         mark = dom.headed(n, label, "h2", "detail-title")
@@ -125,6 +132,7 @@ def board_a(parsed: DataFrame) -> DataFrame:
         "tieu_de": header("h1", "title"),
         "ngay_dang_tuyen": dom.text_of(n, fact("Ngày cập nhật")),
         "luong": dom.text_of(n, fact("Lương")),
+        "kinh_nghiem": F.lit(None).cast("string"),  # these pages do not state it
         "cap_bac": dom.text_of(n, fact("Cấp bậc")),
         "nganh_nghe": F.coalesce(anchors("Ngành nghề"), F.array().cast("array<string>")),
         "phuc_loi": listed("Phúc lợi", "h2", "ul", "welfare-list"),
@@ -174,31 +182,42 @@ def board_b(parsed: DataFrame) -> DataFrame:
 
 # Class patterns of board C's list cards and detail boxes.
 CARD = r"job-item|search_list|view_job_item|job-card"
+CARD_COMPANY = r"company|sc-cdaca"
+EMPLOYER_LINK = "/nha-tuyen-dung/"
 CARD_FIELDS = {
-    "cong_ty": [("div", r"company|sc-cdaca")],
     "luong": [("span", r"salary|sc-fgSWkL|gKHoAZ"), ("div", r"salary")],
     "dia_diem": [("span", r"location|sc-kzkBiZ|hAkUGp"), ("div", r"location")],
     "ngay_dang": [("div", r"date|time|sc-fnLEGM|fVEuMk"), ("span", r"date|time")],
 }
 CARD_SKILLS = [("label", r"skill|tag|sc-cgjDci|brZjJh"), ("span", r"skill|tag")]
+DETAIL_DESCRIPTION = r"sc-1671001a-1"
 DETAIL_SECTION = r"sc-1671001a-4"
 DETAIL_BODY = r"sc-1671001a-6"
+DETAIL_BENEFITS = r"sc-c683181c-0"
 DETAIL_BENEFIT = r"sc-c683181c-1"
 DETAIL_BENEFIT_TEXT = r"sc-c683181c-2"
+DETAIL_INFOS = r"sc-7bf5461f-0"
 DETAIL_INFO = r"sc-7bf5461f-1"
+DETAIL_PLACES = r"sc-a137b890-0"
 DETAIL_PLACE = r"sc-a137b890-1"
 PARAGRAPH_TITLE = r"sc-ab270149-0.*jlpjAq"
 PARAGRAPH_LABEL = r"sc-ab270149-0.*dfyRSX"
 PARAGRAPH_VALUE = r"sc-ab270149-0.*cLLblL"
 
 
-def board_c_list(parsed: DataFrame, base: str) -> DataFrame:
-    """List page → one row per job card with a title."""
+def board_c_list(parsed: DataFrame, base: str | None = None) -> DataFrame:
+    """List page → one row per job card with a title; relative links get ``base`` or the page's own site.
+
+    Cards are told by class or, on a page without such, by ``data-job-id``.  Each card goes on with its own
+    nodes only.
+    """
     n = F.col("nodes")
+    by_class = dom.find_all(n, "div", cls_like=CARD)
+    by_job = F.filter(dom.find_all(n, "div"), lambda d: d["job"].isNotNull())
+    found = bind(by_class, lambda cards: F.when(F.size(cards) > 0, cards).otherwise(by_job))
     cards = parsed.filter(F.col("page_error").isNull()).select(
-        "nodes", F.explode(dom.find_all(n, "div", cls_like=CARD)).alias("card")
-    )
-    card = F.col("card")
+        F.col("url").alias("page"), F.explode(F.transform(found, lambda c: dom.own_nodes(n, c))).alias("nodes"))
+    card = F.get(n, F.lit(0))
 
     def first_of(options: list[tuple[str, str]]) -> Column:
         return F.coalesce(*[dom.text_of(n, dom.find(n, t, cls_like=p, inside=card)) for t, p in options])
@@ -208,13 +227,18 @@ def board_c_list(parsed: DataFrame, base: str) -> DataFrame:
         dom.find(n, "a", cls_like=r"job-title|title", inside=card),
     )
     anchor = bind(heading, lambda h: F.when(h["tag"] == "a", h).otherwise(dom.find(n, "a", inside=h)))
+    employer = F.get(F.filter(dom.find_all(n, "a", inside=card), lambda a: F.coalesce(a["link"].contains(EMPLOYER_LINK), F.lit(False))), F.lit(0))
+    firm = F.coalesce(dom.find(n, "div", cls_like=CARD_COMPANY, inside=card), employer)
+    company = bind(firm, lambda f: dom.text_of(n, F.coalesce(F.when(f["tag"] != "a", dom.find(n, "a", inside=f)), f)))
     skills = F.coalesce(*[
         F.when(F.size(found) > 0, found)
         for found in (dom.find_all(n, t, cls_like=p, inside=card) for t, p in CARD_SKILLS)
     ], F.slice(n, 1, 0))
+    link = items.absolute_url(anchor["link"], base if base else site_of(F.col("page")))
     rows = cards.select(
-        items.absolute_url(anchor["link"], base).alias("url"),
+        link.alias("url"),
         items.strip_new_marker(dom.text_of(n, anchor)).alias("tieu_de"),
+        company.alias("cong_ty"),
         *[first_of(options).alias(name) for name, options in CARD_FIELDS.items()],
         items.clean_items(dom.texts_of(n, skills)).alias("ky_nang"),
     )
@@ -228,8 +252,13 @@ def board_c_detail(parsed: DataFrame) -> DataFrame:
     def like(tag: str, pattern: str, inside: Column | None = None) -> Column:
         return dom.find_all(n, tag, cls_like=pattern, inside=inside)
 
-    def body(position: int) -> Column:
-        part = F.get(like("div", DETAIL_SECTION), F.lit(position))
+    def boxed(box: str, pattern: str) -> Column:
+        """Elements inside the first box of that kind."""
+        empty = F.slice(n, 1, 0)
+        return F.coalesce(bind(F.get(like("div", box), F.lit(0)), lambda b: F.when(b.isNotNull(), like("div", pattern, b))), empty)
+
+    def body(section: str, position: int) -> Column:
+        part = F.get(like("div", section), F.lit(position))
         text = bind(part, lambda s: dom.text_of(n, F.get(like("div", DETAIL_BODY, s), F.lit(0)), "\n"))
         return F.coalesce(text, F.lit(""))
 
@@ -237,7 +266,7 @@ def board_c_detail(parsed: DataFrame) -> DataFrame:
         return lambda box: dom.text_of(n, F.get(like(tag, pattern, box), F.lit(0)))
 
     info = F.filter(
-        F.transform(like("div", DETAIL_INFO), lambda b: F.struct(
+        F.transform(boxed(DETAIL_INFOS, DETAIL_INFO), lambda b: F.struct(
             field(PARAGRAPH_LABEL, "label")(b).alias("label"), field(PARAGRAPH_VALUE, "p")(b).alias("value")
         )),
         lambda p: p["label"].isNotNull() & p["value"].isNotNull(),
@@ -249,17 +278,17 @@ def board_c_detail(parsed: DataFrame) -> DataFrame:
         for label, name in rules.DETAIL_LABELS
     }
     benefits = F.filter(
-        F.transform(like("div", DETAIL_BENEFIT), lambda b: F.struct(
+        F.transform(boxed(DETAIL_BENEFITS, DETAIL_BENEFIT), lambda b: F.struct(
             field(PARAGRAPH_TITLE, "p")(b).alias("tieu_de"), field(DETAIL_BENEFIT_TEXT, "div")(b).alias("mo_ta")
         )),
         lambda b: b["tieu_de"].isNotNull() & b["mo_ta"].isNotNull(),
     )
     text = lambda name: F.coalesce(facts[name], F.lit(""))
     return _record(parsed, {
-        "mo_ta": body(0),
-        "yeu_cau": body(1),
+        "mo_ta": body(DETAIL_DESCRIPTION, 0),
+        "yeu_cau": body(DETAIL_SECTION, 1),
         "phuc_loi": benefits,
-        "dia_diem_chi_tiet": items.clean_items(F.transform(like("div", DETAIL_PLACE), field(PARAGRAPH_VALUE, "p"))),
+        "dia_diem_chi_tiet": items.clean_items(F.transform(boxed(DETAIL_PLACES, DETAIL_PLACE), field(PARAGRAPH_VALUE, "p"))),
         "ngay_dang_chi_tiet": text("posted_raw"),
         "cap_bac": text("level_raw"),
         "nganh_nghe": text("industry"),

@@ -59,13 +59,18 @@ def warehouse_job(spark: SparkSession, source: str, output: str, companies: Data
 
 
 def extract_job(spark: SparkSession, stored: str, board: str, output: str, quarantine: str) -> None:
-    """Stored pages → raw records of one board as JSON; unreadable pages go to ``quarantine``."""
+    """Stored pages → raw records of one board as JSON; unreadable pages go to ``quarantine``.
+
+    Board "c" stores list and detail pages together: its cards get the details of their own page.
+    """
     # Written once, so pages are parsed once for the two outputs.
     parsed = materialise(pages.with_nodes(spark.read.parquet(stored)))
-    extract = {"a": pages.board_a, "b": pages.board_b, "c": pages.board_c_detail, "d": pages.board_d}[board]
-    title = {"a": "tieu_de", "b": "tieu_de", "d": "job_title"}.get(board)
-    records = extract(parsed)
-    writers.write_json(pages.titled(records, title) if title else records, output)
+    if board == "c":
+        records = pages.board_c(pages.board_c_list(parsed), pages.board_c_detail(parsed))
+    else:
+        extract = {"a": pages.board_a, "b": pages.board_b, "d": pages.board_d}[board]
+        records = pages.titled(extract(parsed), "job_title" if board == "d" else "tieu_de")
+    writers.write_json(records, output)
     writers.write_parquet(pages.quarantined(parsed), quarantine)
 
 

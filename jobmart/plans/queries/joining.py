@@ -157,5 +157,6 @@ def certificates_by_role(spark, folder):
 )
 def new_urls(spark, folder):
     stored = table(spark, folder, "pages")
-    links = pages.harvested_links(stored).select(F.col("link").alias("url")).distinct()
+    parsed = pages.with_nodes(stored, keep=["url"])
+    links = pages.harvested_links(parsed).select(F.col("link").alias("url")).distinct()
     return joins.unseen(links, stored)

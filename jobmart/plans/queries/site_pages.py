@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.operators import pages
@@ -30,7 +33,7 @@ def page_extract(spark, folder):
  WHERE href LIKE '/%' OR href LIKE 'http%'""",
 )
 def page_links(spark, folder):
-    return pages.page_links(table(spark, folder, "pages"))
+    return pages.page_links(pages.with_nodes(table(spark, folder, "pages"), keep=["url"]))
 
 
 @query(
@@ -39,11 +42,8 @@ def page_links(spark, folder):
  (SELECT unnest(regexp_extract_all(html, '<a [^>]*href="([^"]+)"', 1)) AS href FROM pages) WHERE href LIKE '/%'""",
 )
 def page_job_links(spark, folder):
-    """Links of the anchors, read from the parsed nodes instead of by pattern."""
-    parsed = pages.with_nodes(table(spark, folder, "pages"), keep=["url"]).withColumn(
-        "nodes", F.transform("nodes", lambda n: n.withField("cls", F.coalesce(n["cls"], n["tag"])))
-    )
-    return pages.job_links(parsed, "a", "a", "https://jobs.example.com")
+    parsed = pages.with_nodes(table(spark, folder, "pages"), keep=["url"])
+    return pages.job_links(parsed, "a", None, "https://jobs.example.com")
 
 
 @query("page_quarantine", "SELECT page_id, 'no page' AS page_error FROM pages WHERE page_id % 10 = 3")
@@ -51,3 +51,160 @@ def page_quarantine(spark, folder):
     """Pages without content are set aside with a reason; all others have none."""
     stored = table(spark, folder, "pages").withColumn("html", F.when(F.col("page_id") % 10 != 3, F.col("html")))
     return pages.quarantined(pages.with_nodes(stored, keep=["page_id"]))
+
+
+def markup(template: str) -> Column:
+    """HTML with the values of columns in place of ``{column}``."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.col(p).cast("string") if i % 2 else F.lit(p) for i, p in enumerate(pieces) if p])
+
+
+@query(
+    "link_forms",
+    """SELECT page_id, site || path AS link FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS site,
+  unnest(['/form-s' || page_id, '/form-u' || page_id, '/form-e' || page_id || '?a=1&b=2', '/form-y' || page_id, '/form-n' || page_id]) AS path FROM pages)""",
+)
+def link_forms(spark, folder):
+    """Quotes, letter case, entities, decoys in data attributes, comments and scripts, put before every page."""
+    html = markup(
+        "<a href='/form-s{page_id}'>s</a><A CLASS=x HREF=\"/form-u{page_id}\">u</A><a href=\"/form-e{page_id}?a=1&amp;b=2\">e</a>"
+        "<a href=\"/form-y{page_id}\" data-href=\"/form-x{page_id}\" data-url=\"/form-w{page_id}\">y</a><a\n href = /form-n{page_id} >n</a>"
+        "<!-- <a href=\"/form-c{page_id}\">c</a> --><script>var a = '<a href=\"/form-j{page_id}\">';</script><a name=\"/form-a{page_id}\">a</a>{html}")
+    stored = table(spark, folder, "pages").select(F.col("page_id"), "url", html.alias("html"))
+    links = pages.page_links(pages.with_nodes(stored, keep=["url"]))
+    return links.filter(F.col("link").contains("/form-")).join(stored.select("page_id", "url"), "url").select("page_id", "link")
+
+
+def _stored(spark, folder, template: Column) -> DataFrame:
+    """One page per order; its customer is the company."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = table(spark, folder, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).withColumns({
+        "key": F.col("o_orderkey"), "day": F.date_format("o_orderdate", "dd/MM/yyyy"), "pay": F.col("o_totalprice").cast("bigint"),
+    })
+    return rows.select(F.concat(F.lit("https://b.example.com/"), "key").alias("url"), template.alias("html"))
+
+
+_BOARD_SQL = """b AS (SELECT *, 'https://b.example.com/' || o_orderkey AS url, o_orderkey AS key, strftime(o_orderdate, '%d/%m/%Y') AS day,
+ CAST(trunc(o_totalprice) AS BIGINT) AS pay FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+@query(
+    "board_a_extract",
+    f"""WITH {_BOARD_SQL} SELECT url, c_name AS company, 'Dev' || o_orderpriority AS title, CASE WHEN key % 5 > 0 THEN pay || ' Tr' END AS pay,
+ 'NV' AS level, CASE WHEN key % 7 > 0 THEN day END AS posted, c_mktsegment || '|Web' AS fields, CASE WHEN key % 3 > 0 THEN 'a' || key || chr(10) || 'b & c' || chr(10) || 'd' ELSE '' END AS description,
+ 'need ' || key AS requirements, CASE WHEN key % 4 > 0 THEN 'Thưởng|' || key ELSE '' END AS benefits, 'Hà Nội' AS city, 'Số ' || key AS address,
+ 'T' || key AS hours FROM b""",
+)
+def board_a_extract(spark, folder):
+    """Missing labels, labels without a value of their own, sections of other kinds."""
+    when = lambda test, html: F.when(test, markup(html)).otherwise("")
+    key = F.col("key")
+    html = F.concat(
+        markup("<div class=\"x job-desc\"><h1 class=\"title\"> Dev<b>{o_orderpriority}</b></h1><a class=\"job-company-name\">{c_name}</a></div><div class=\"bg-blue\">"),
+        when(key % 5 == 0, "<strong>Lương</strong><strong>Cấp bậc</strong><p>NV</p>"),
+        when(key % 5 > 0, "<strong>Lương</strong>\n <p>{pay} <i>Tr</i></p><li><strong>Cấp bậc</strong><p>NV</p></li>"),
+        when(key % 7 > 0, "<strong>Ngày cập nhật: </strong><p>{day}</p>"),
+        when(key % 7 == 0, "<strong>Ngày cập nhật</strong><span>-</span><p>{day}</p>"),
+        markup("<strong>Ngành nghề</strong><p><a>{c_mktsegment}</a>, <a>Web</a></p><strong>Địa điểm</strong><p><a href='/x'>Hà Nội</a></p></div>"),
+        when(key % 3 > 0, "<div class=\"detail-row\"><h2 class=\"detail-title\">Mô tả công việc</h2><p>a{key}<br>b &amp; c</p><ul><li>no</li></ul><p>d</p></div>"),
+        markup("<div class=\"detail-row\"><h2 class=\"detail-title\">Yêu cầu công việc</h2><p>need {key}</p></div>"),
+        when(key % 4 > 0, "<h2 class=\"detail-title\">Phúc lợi</h2><ul class=\"welfare-list\"><li> Thưởng </li><li>{key}</li></ul>"),
+        markup("<div class=\"info-place-detail\"><span>Số {key}</span></div><h3 class=\"detail-title\">Thông tin khác</h3>"
+               "<div class=\"content_fck\"><ul><li>Thời gian làm việc: T{key}</li></ul></div>"),
+    )
+    rows = pages.board_a(pages.with_nodes(_stored(spark, folder, html)))
+    return rows.select(
+        "url", F.col("ten_cong_ty").alias("company"), F.col("tieu_de").alias("title"), F.replace("luong", F.lit("Tr"), F.lit(" Tr")).alias("pay"),
+        F.col("cap_bac").alias("level"), F.col("ngay_dang_tuyen").alias("posted"), F.array_join("nganh_nghe", "|").alias("fields"),
+        F.col("mo_ta_cong_viec").alias("description"), F.col("yeu_cau_cong_viec").alias("requirements"), F.array_join("phuc_loi", "|").alias("benefits"),
+        F.col("dia_diem_lam_viec.thanh_pho").alias("city"), F.col("dia_diem_lam_viec.dia_chi_day_du").alias("address"),
+        F.try_element_at("thong_tin_khac", F.lit("thời_gian_làm_việc")).alias("hours"))
+
+
+@query(
+    "board_b_extract",
+    f"""WITH {_BOARD_SQL} SELECT url, c_name AS title, CASE WHEN key % 5 > 0 THEN pay || ' triệu' END AS pay, CASE WHEN key % 3 > 0 THEN 'L' || key END AS level,
+ 'a' || chr(10) || key AS description, CASE WHEN key % 4 > 0 THEN 'x|y' || key ELSE '' END AS benefits, c_mktsegment AS city, 'Số ' || key AS address, day AS hours FROM b""",
+)
+def board_b_extract(spark, folder):
+    when = lambda test, html: F.when(test, markup(html)).otherwise("")
+    key, item = F.col("key"), "<div class=\"job-description__item\"><h3>%s</h3><div class=\"job-description__item--content\">%s</div></div>"
+    html = F.concat(
+        markup("<h1 class=\"job-detail__title\"> {c_name}</h1><div class=\"job-detail__body\"><div>"),
+        when(key % 5 > 0, "<div class=\"job-detail__info--section-content-title\">Mức lương</div><div class=\"job-detail__info--section-content-value\">{pay} triệu</div>"),
+        markup("</div>" + item % ("Mô tả công việc", "a<p>{key}</p>")),
+        when(key % 4 > 0, item % ("Quyền lợi", "<p>x</p><p> </p><p>y{key}</p>")),
+        markup(item % ("Địa điểm làm việc", "<div>- {c_mktsegment}: Số {key}</div>") + item % ("Thời gian làm việc", "{day}")),
+        when(key % 3 > 0, "<div class=\"box-general-group-info-title\">Cấp bậc</div><div class=\"box-general-group-info-value\">L{key}</div>"),
+        markup("</div>"),
+    )
+    rows = pages.board_b(pages.with_nodes(_stored(spark, folder, html)))
+    return rows.select(
+        "url", F.col("tieu_de").alias("title"), F.col("luong").alias("pay"), F.col("cap_bac").alias("level"), F.col("mo_ta_cong_viec").alias("description"),
+        F.array_join("phuc_loi", "|").alias("benefits"), F.col("dia_diem_lam_viec.thanh_pho").alias("city"),
+        F.col("dia_diem_lam_viec.dia_chi_day_du").alias("address"), F.try_element_at("thong_tin_khac", F.lit("thoi_gian_lam_viec")).alias("hours"))
+
+
+def _board_c(spark, folder) -> DataFrame:
+    """List pages, one per customer with a card for each order, and a detail page for two of three orders."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("key"), "o_custkey", F.col("o_orderpriority"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"))
+    job = F.col("o_custkey") % 2 == 0  # cards of half the pages have a job id instead of a class
+    card = F.concat(
+        F.when(job, markup("<div data-job-id=\"{key}\">")).otherwise("<div class=\"new job-item\">"),
+        F.when(F.col("key") % 6 > 0, markup("<h2><a href=\"/{key}\">Mới Dev {key}</a></h2>")).otherwise("<p>no title</p>"),
+        F.when(F.col("key") % 4 > 0, markup("<div class=\"company\"><a>Co {key}</a></div>")).otherwise(markup("<a href='/nha-tuyen-dung/{key}'>By link {key}</a>")),
+        markup("<span class=\"salary\">$1,{key}</span><label class=\"skill\">Java</label><label class=\"skill\">{o_orderpriority}</label></div>"))
+    lists = orders.groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list(card)), "").alias("html")).select(
+        F.concat(F.lit("https://b.example.com/list/"), "o_custkey").alias("url"), "html")
+    label = "<div class=\"sc-7bf5461f-1\"><label class=\"sc-ab270149-0 dfyRSX\">%s</label><p class=\"sc-ab270149-0 cLLblL\">%s</p></div>"
+    detail = markup(
+        "<div class=\"sc-1671001a-4\"><div class=\"sc-1671001a-6\">other</div></div><div class=\"sc-1671001a-1\"><div class=\"sc-1671001a-6\">desc<br>{key}</div></div>"
+        "<div class=\"sc-1671001a-4\"><div class=\"sc-1671001a-6\">need {key}</div></div><div class=\"sc-c683181c-1\"><p class=\"sc-ab270149-0 jlpjAq\">outside</p><div class=\"sc-c683181c-2\">no</div></div>"
+        "<div class=\"sc-c683181c-0\"><div class=\"sc-c683181c-1\"><p class=\"sc-ab270149-0 jlpjAq\">Thưởng</p><div class=\"sc-c683181c-2\">T{key}</div></div></div><div class=\"sc-7bf5461f-0\">"
+        + label % ("NGÀY ĐĂNG", "{day}") + label % ("SỐ NĂM KINH NGHIỆM", "{key}") + "</div><div class=\"sc-a137b890-0\"><div class=\"sc-a137b890-1\"><p class=\"sc-ab270149-0 cLLblL\">Q{key}</p></div></div>")
+    details = orders.filter(F.col("key") % 3 > 0).select(F.concat(F.lit("https://b.example.com/"), "key").alias("url"), detail.alias("html"))
+    return lists.unionByName(details)
+
+
+@query(
+    "board_c_merge",
+    """SELECT 'https://b.example.com/' || o_orderkey AS url, 'Dev ' || o_orderkey AS title, CASE WHEN o_orderkey % 4 > 0 THEN 'Co ' ELSE 'By link ' END || o_orderkey AS company,
+ '$1,' || o_orderkey AS pay, 'Java|' || o_orderpriority AS skills, CASE WHEN d THEN 'desc' || chr(10) || o_orderkey END AS description, CASE WHEN d THEN 'need ' || o_orderkey END AS requirements,
+ CASE WHEN d THEN 'Thưởng=T' || o_orderkey END AS benefits, CASE WHEN d THEN strftime(o_orderdate, '%d/%m/%Y') END AS posted, CASE WHEN d THEN o_orderkey::VARCHAR END AS experience,
+ CASE WHEN d THEN 'Q' || o_orderkey END AS places FROM (SELECT *, o_orderkey % 3 > 0 AS d FROM orders) WHERE o_orderkey % 6 > 0""",
+)
+def board_c_merge(spark, folder):
+    """Cards by class and by job id, two ways to name the company, sections outside their boxes, missing details."""
+    parsed = pages.with_nodes(_board_c(spark, folder))
+    rows = pages.board_c(pages.board_c_list(parsed), pages.board_c_detail(parsed))
+    return rows.select(
+        "url", F.col("tieu_de").alias("title"), F.col("cong_ty").alias("company"), F.col("luong").alias("pay"), F.array_join("ky_nang", "|").alias("skills"),
+        F.col("mo_ta").alias("description"), F.col("yeu_cau").alias("requirements"),
+        F.array_join(F.transform("phuc_loi", lambda b: F.concat(b["tieu_de"], F.lit("="), b["mo_ta"])), "|").alias("benefits"),
+        F.col("ngay_dang_chi_tiet").alias("posted"), F.col("kinh_nghiem").alias("experience"), F.array_join("dia_diem_chi_tiet", "|").alias("places"))
+
+
+@query(
+    "board_d_extract",
+    f"""WITH {_BOARD_SQL} SELECT url, 'DE ' || key AS title, c_name AS company, CASE WHEN key % 5 > 0 THEN pay || ' USD' END AS pay, c_mktsegment AS place, 'Hybrid' AS mode,
+ strftime(o_orderdate - to_days((key % 9)::INTEGER), '%Y-%m-%d') AS posted, 'Python|' || o_orderpriority AS skills, 'd' || chr(10) || key AS description, 'req' AS requirements,
+ CASE WHEN key % 3 > 0 THEN 'VN' || key END AS country FROM b""",
+)
+def board_d_extract(spark, folder):
+    when = lambda test, html: F.when(test, markup(html)).otherwise("")
+    key = F.col("key")
+    html = F.concat(
+        F.lit("<!-- Last updated: \""), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 12:00:00 +0700\" -->"),
+        markup("<div class=\"job-header-info\"><h1>DE {key}</h1></div><div class=\"employer-name\">{c_name}</div>"),
+        when(key % 5 > 0, "<div class=\"salary\">{pay} USD</div>"),
+        markup("<div class=\"job-show-info\"><span>{c_mktsegment}</span><span>Hybrid</span><span>Posted "), (key % 9).cast("string"),
+        markup(" days ago</span><div class=\"imb-4 imb-xl-3 d-flex flex-column flex-xl-row igap-3 align-items-xl-baseline\"><a>Python</a><a>{o_orderpriority}</a></div></div>"
+               "<div class=\"imy-5 paragraph\"><p>d</p><p>{key}</p></div><div class=\"imy-5 paragraph\">req</div><section class=\"x job-show-employer-info y\"><h3>E</h3>"),
+        when(key % 3 > 0, "<div class=\"row ipy-2\"><div>Country</div><div>VN{key}</div></div>"), F.lit("</section>"))
+    rows = pages.board_d(pages.with_nodes(_stored(spark, folder, html)))
+    return rows.select(
+        "url", F.col("job_title").alias("title"), F.col("company_name").alias("company"), F.col("salary").alias("pay"), F.col("company_location").alias("place"),
+        F.col("woring_model").alias("mode"), F.col("post_time").alias("posted"), F.array_join("skills_list", "|").alias("skills"),
+        F.col("job_description").alias("description"), F.col("your_skill_and_experience").alias("requirements"),
+        F.try_element_at("company_detail", F.lit("Country")).alias("country"))
