@@ -89,7 +89,24 @@ def predict_job(spark: SparkSession, clean: str, model_path: str, output: str) -
     writers.write_json(models.salary_report(writers.load_model(model_path), rows), output)
 
 
-def rebuild_job(spark: SparkSession, lake: str, output: str, newest: str = "crawled_ts") -> None:
-    """Batch layer: whole lake history, newest row per url, stamped with the processing time."""
-    rows = dedup.drop_duplicate_urls(spark.read.parquet(lake), newest=newest)
+def merge_newest(rows: DataFrame, before: DataFrame | None = None, newest: str = "crawled_ts") -> DataFrame:
+    """Newest row per url of ``rows`` and an earlier result."""
+    if before is not None:
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    return dedup.drop_duplicate_urls(rows, newest=newest)
+
+
+def rebuild_job(
+    spark: SparkSession, lake: str, output: str, newest: str = "crawled_ts", before: str | None = None, since: str | None = None,
+) -> None:
+    """Batch layer: newest row per url, stamped with the processing time.
+
+    Without ``before`` the whole lake history is read.  With it (the output of an earlier run, in another
+    folder) only lake folders from the day ``since`` on are read and merged into that result.
+    """
+    rows, earlier = spark.read.parquet(lake), None
+    if before is not None:
+        earlier = spark.read.parquet(before).drop("batch_processed_at")
+        rows = rows.filter(F.col("event_date") >= F.lit(since).cast("date")) if since else rows
+    rows = merge_newest(rows, earlier, newest)
     writers.write_parquet(rows.withColumn("batch_processed_at", F.current_timestamp()), output)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from jobmart import rules, schemas
 from jobmart.operators import dedup
+from jobmart.plans import jobs as plan_jobs
 from jobmart.plans.queries.base import PHRASES, PLACES, TITLES, pick, query, sql_labels, sql_pick, table
 from jobmart.scratch import fresh_path
 from jobmart.sources import readers
@@ -159,12 +160,12 @@ def bad_messages(spark, folder):
     """SELECT sink, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events, (VALUES ('lake'), ('index')) v(sink) GROUP BY 1""",
 )
 def stream_multi_sink(spark, folder):
-    """One query writes each batch to a lake by location and to a keyed log."""
+    """One query writes each batch to a lake by day and city and to a keyed log."""
     base = fresh_path(spark, "fanout")
-    rows = jobs.adverts_from_messages(messages(event_stream(spark, folder))).select("url", "location")
-    write = sinks.fan_out(sinks.append_batch(f"{base}/lake", ("location",)), sinks.append_batch(f"{base}/index"))
+    rows = jobs.adverts_from_messages(messages(event_stream(spark, folder))).select("url", "location", transforms.EVENT_TIME)
+    write = sinks.fan_out(sinks.lake_batch(f"{base}/lake"), sinks.append_batch(f"{base}/index"))
     sinks.for_each_batch(rows, write, f"{base}/checkpoint", every=None).awaitTermination()
-    schema = rows.schema.add("batch_id", T.LongType())
+    schema = rows.schema.add("batch_id", T.LongType()).add("event_date", T.DateType()).add("city_label", T.StringType())
     parts = [
         spark.read.schema(schema).parquet(f"{base}/{sink}").select(F.lit(sink).alias("sink"), "url")
         for sink in ("lake", "index")
@@ -182,11 +183,23 @@ def stream_multi_sink(spark, folder):
   count(*) AS n_rows FROM t GROUP BY 1""",
 )
 def stream_lake(spark, folder):
-    """Parquet lake partitioned by location, written by the file sink."""
+    """Parquet lake by day and city label, written by the file sink."""
     base = fresh_path(spark, "lake")
     rows = jobs.adverts_from_messages(messages(event_stream(spark, folder)))
     sinks.to_lake(rows, f"{base}/lake", f"{base}/checkpoint", every=None).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{base}/lake").groupBy("location").agg(F.count("*").alias("n_rows"))
+    schema = rows.schema.add("event_date", T.DateType()).add("city_label", T.StringType())
+    return spark.read.schema(schema).parquet(f"{base}/lake").groupBy("location").agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    "lake_rebuild_merge",
+    "SELECT user_id AS url, max(event_id) AS event_id FROM events GROUP BY 1",
+)
+def lake_rebuild_merge(spark, folder):
+    """Newer days merged into the result of the earlier ones."""
+    rows = table(spark, folder, "events").select(F.col("user_id").alias("url"), "event_id", F.to_date("ts").alias("day"))
+    early, late = (rows.filter(test).drop("day") for test in (F.dayofmonth("day") <= 15, F.dayofmonth("day") > 15))
+    return plan_jobs.merge_newest(late, plan_jobs.merge_newest(early, newest="event_id"), newest="event_id")
 
 
 @query(

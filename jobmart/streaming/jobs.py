@@ -28,20 +28,23 @@ def start(
     counts: str | None = None,
     every: str | None = "1 minute",
 ) -> list[StreamingQuery]:
-    """Start one query per wanted sink; leave out ``lake`` for a local trial run."""
-    queries = []
+    """Start one query that feeds all wanted sinks; leave out ``lake`` for a local trial run.
+
+    Each batch is decoded, enriched and de-duplicated once.  ``counts`` is a log of sliding-window counts per
+    batch: their sums per window are the totals, and a replayed batch replaces its own part.
+    """
+    writers = []
     if lake:
-        queries.append(sinks.to_lake(rows, lake, f"{checkpoint}/lake", every=every))
+        writers.append(sinks.lake_batch(lake))
     if search:
-        queries.append(sinks.to_search_index(rows, search, f"{checkpoint}/search", every=every))
-    windows = transforms.sliding_counts(rows)
+        writers.append(sinks.search_batch(search))
     if console:
-        queries.append(sinks.to_console(windows, f"{checkpoint}/console", every=every))
+        writers.append(sinks.each(transforms.sliding_counts, sinks.console_batch()))
     if counts:
-        queries.append(
-            sinks.for_each_batch(windows, sinks.append_batch(counts), f"{checkpoint}/counts", "update", every)
-        )
-    return queries
+        writers.append(sinks.each(transforms.sliding_counts, sinks.append_batch(counts)))
+    if not writers:
+        return []
+    return [sinks.for_each_batch(rows, sinks.fan_out(*writers), f"{checkpoint}/all", every=every)]
 
 
 def run_until_one_stops(

@@ -49,6 +49,22 @@ def test_lake_rebuild(spark, tmp_path):
     assert len(row) == 1 and row[0]["crawled_ts"] == 2 and row[0]["batch_processed_at"] is not None
 
 
+def test_new_days_are_merged(spark, tmp_path):
+    old = spark.createDataFrame([("u", 1), ("v", 1), (None, 1)], "url string, crawled_ts int").withColumn("event_date", F.lit("2025-01-01").cast("date"))
+    new = spark.createDataFrame([("u", 5), (None, 2)], "url string, crawled_ts int").withColumn("event_date", F.lit("2025-01-02").cast("date"))
+    old.unionByName(new).write.partitionBy("event_date").parquet(f"{tmp_path}/lake")
+    old.write.parquet(f"{tmp_path}/first")
+    jobs.rebuild_job(spark, f"{tmp_path}/lake", f"{tmp_path}/second", before=f"{tmp_path}/first", since="2025-01-02")
+    rows = spark.read.parquet(f"{tmp_path}/second").collect()
+    assert sorted(((r["url"] or "", r["crawled_ts"]) for r in rows)) == [("", 1), ("", 2), ("u", 5), ("v", 1)]
+
+
+def test_jobs_on_nothing(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text(json.dumps({"url": "x"}), encoding="utf-8")
+    jobs.normalise_job(spark, {"a": f"{tmp_path}/a.jsonl"}, f"{tmp_path}/canonical")
+    assert jobs.clean_job(spark, f"{tmp_path}/canonical", f"{tmp_path}/clean")["n_rows"] == 0
+
+
 def test_surrogate_keys_tell_missing_from_empty(spark):
     df = spark.createDataFrame([(None, None), ("", None), (None, ""), ("", "")], "a string, b string")
     keys = [r[0] for r in df.select(warehouse.surrogate_key("a", "b")).collect()]

@@ -18,7 +18,7 @@ def test_board_a(parsed):
     row = pages.board_a(parsed(samples.BOARD_A)).first().asDict(recursive=True)
     assert row == {
         "url": "https://x/0", "ten_cong_ty": "ACME", "tieu_de": "DevSenior", "ngay_dang_tuyen": "03/11/2025",
-        "luong": "15 Tr - 20 Tr VND", "cap_bac": None, "nganh_nghe": ["IT", "Web"], "phuc_loi": ["Thưởng", "BH"],
+        "luong": "15 Tr - 20 Tr VND", "kinh_nghiem": None, "cap_bac": None, "nganh_nghe": ["IT", "Web"], "phuc_loi": ["Thưởng", "BH"],
         "mo_ta_cong_viec": "Dòng 1\nDòng 2\nPython & SQL", "yeu_cau_cong_viec": "",
         "dia_diem_lam_viec": {"thanh_pho": "Hà Nội", "dia_chi_day_du": "Số 1"},
         "thong_tin_khac": {"lương": "15 Tr - 20 Tr VND", "thời_gian_làm_việc": "T2-T6"},

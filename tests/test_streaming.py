@@ -115,10 +115,11 @@ def test_sinks_of_one_job(spark, tmp_path):
         jobs.adverts_from_messages(topic.stream()), f"{tmp_path}/check", lake=f"{tmp_path}/lake", console=True,
         counts=f"{tmp_path}/counts", every=None,
     )
-    assert len(started) == 3
+    assert len(started) == 1  # one query feeds all sinks
     for query in started:
         query.awaitTermination()
-    assert (tmp_path / "lake" / "location=TP.HCM").is_dir()
+    folders = {p.parent.name + "/" + p.name for p in (tmp_path / "lake").glob("batch_id=*/*/*") if p.is_dir()}
+    assert folders == {"event_date=2025-01-01/city_label=TP.HCM", "event_date=2025-01-01/city_label=Hà Nội"}
     assert spark.read.parquet(f"{tmp_path}/lake").count() == 2
     assert spark.read.parquet(f"{tmp_path}/counts").agg(F.sum("n_jobs")).first()[0] == 6
 
