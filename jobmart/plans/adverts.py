@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobmart import rules, schemas
 from jobmart.functions import dates, items, level, location, salary, skills, text, workmode
@@ -117,9 +118,23 @@ NORMALISERS = {
 }
 
 
+def composed(df: DataFrame) -> DataFrame:
+    """Texts, and texts in structs, in Unicode NFC."""
+    changed = {}
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            changed[field.name] = text.nfc(F.col(f"`{field.name}`"))
+        elif isinstance(field.dataType, T.StructType):
+            for inner in field.dataType:
+                if isinstance(inner.dataType, T.StringType):
+                    whole = changed.get(field.name, F.col(f"`{field.name}`"))
+                    changed[field.name] = whole.withField(inner.name, text.nfc(F.col(f"`{field.name}`")[inner.name]))
+    return df.withColumns(changed)
+
+
 def normalise(df: DataFrame, board: str, source: str | None = None) -> DataFrame:
-    """Raw records of one board → canonical adverts."""
-    return NORMALISERS[board](df, source or f"board_{board}")
+    """Raw records of one board → canonical adverts.  All rules work on composed (NFC) text."""
+    return NORMALISERS[board](composed(df), source or f"board_{board}")
 
 
 def clean(df: DataFrame, deduplicate: bool = True) -> DataFrame:

@@ -30,8 +30,9 @@ def training_rows(adverts: DataFrame) -> DataFrame:
 
 
 def hash_split(df: DataFrame, key: Column, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Split by a hash of the key: the same rows whatever the number of partitions."""
-    part = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(10_000))
+    """Split by a digest of the key: the same rows whatever the number of partitions."""
+    digest = F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(key.cast("string"), F.lit(""))))
+    part = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10_000
     limit = F.lit(int(train_share * 10_000))
     return df.filter(part < limit), df.filter(part >= limit)
 
@@ -46,18 +47,32 @@ def salary_regression(
     the rows, below 1): they set the width of the feature vector, so raise them with the data.
     """
     return Pipeline(stages=[
-        StringIndexer(inputCols=["city", "level"], outputCols=["city_index", "level_index"], handleInvalid="keep"),
+        label_index("city"),
+        label_index("level"),
         OneHotEncoder(inputCols=["city_index", "level_index"], outputCols=["city_vector", "level_vector"]),
-        RegexTokenizer(inputCol="title", outputCol="title_words", pattern=r"(?U)\W"),
-        CountVectorizer(inputCol="title_words", outputCol="title_vector", vocabSize=title_words, minDF=min_rows),
-        CountVectorizer(inputCol="benefits", outputCol="benefit_vector", vocabSize=benefit_items, minDF=min_rows),
+        title_tokenizer(),
+        term_counts("title_words", title_words, min_rows),
+        term_counts("benefits", benefit_items, min_rows),
         VectorAssembler(
-            inputCols=["city_vector", "level_vector", "title_vector", "benefit_vector"], outputCol="features"
+            inputCols=["city_vector", "level_vector", "title_words_vector", "benefits_vector"], outputCol="features"
         ),
         RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees, seed=seed),
     ])
 
 
+def label_index(column: str) -> StringIndexer:
+    """Labels numbered by falling frequency, ties by the label."""
+    return StringIndexer(inputCol=column, outputCol=f"{column}_index", handleInvalid="keep")
+
+
+def title_tokenizer() -> RegexTokenizer:
+    return RegexTokenizer(inputCol="title", outputCol="title_words", pattern=r"(?U)\W")
+
+
+def term_counts(column: str, terms: int, min_rows: float) -> CountVectorizer:
+    return CountVectorizer(inputCol=column, outputCol=f"{column}_vector", vocabSize=terms, minDF=min_rows)
+
+
 def rmse(predictions: DataFrame, label: str = LABEL) -> float:
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse").evaluate(predictions)
 
@@ -81,15 +96,18 @@ def without_phrases(c: Column, stop_words: Sequence[str]) -> Column:
     return F.regexp_replace(lowered, pattern, " ")
 
 
+def stop_word_remover(stop_words: Sequence[str]) -> StopWordsRemover:
+    remover = StopWordsRemover(inputCol="words", outputCol="filtered")
+    return remover.setStopWords([w for w in stop_words if " " not in w])
+
+
 def advert_classifier(
     stop_words: Sequence[str], features: int = 10_000, max_iter: int = 10, reg: float = 0.3, elastic: float = 0.8,
 ) -> Pipeline:
     """Words without stop words → TF-IDF → logistic regression on ``category``."""
-    remover = StopWordsRemover(inputCol="words", outputCol="filtered")
-    remover.setStopWords([w for w in stop_words if " " not in w])
     return Pipeline(stages=[
         Tokenizer(inputCol="description", outputCol="words"),
-        remover,
+        stop_word_remover(stop_words),
         HashingTF(inputCol="filtered", outputCol="term_counts", numFeatures=features),
         IDF(inputCol="term_counts", outputCol="features"),
         StringIndexer(inputCol="category", outputCol="label", handleInvalid="skip"),

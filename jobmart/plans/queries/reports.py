@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmart import rules
-from jobmart.functions import level, location, workmode
+from jobmart.functions import level, location, salary, workmode
 from jobmart.functions.text import text_key
 from jobmart.operators import analytics, dedup, governance, joins, quality, shape
 from jobmart.plans.queries.base import (
@@ -136,11 +136,15 @@ def null_profile(spark, folder):
 
 @query(
     "salary_coverage",
-    f"""WITH {POSTINGS_SQL} SELECT count(*) AS n_rows, count(*) FILTER (salary_raw IS NULL) AS n_negotiable,
- count(salary_raw) AS n_stated FROM postings""",
+    """SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 3 = 2) AS n_negotiable, count(*) FILTER (o_orderkey % 3 = 0) AS n_stated FROM orders""",
 )
 def salary_coverage(spark, folder):
-    return quality.salary_coverage(postings(spark, folder), "salary_raw", "salary_raw")
+    """A third of the adverts has both bounds, a third only the upper one, a third none."""
+    key = F.col("advert_id")
+    pay = F.when(key % 3 == 0, "10 - 20 tr").when(key % 3 == 1, "9 tr").otherwise("Thỏa thuận")
+    rows = postings(spark, folder).select(key, salary.salary_range(pay).alias("s")).select(
+        F.when(key % 3 == 0, F.col("s.salary_min")).alias("salary_min"), F.col("s.salary_max").alias("salary_max"))
+    return quality.salary_coverage(rows)
 
 
 @query(
@@ -278,8 +282,11 @@ def fill_defaults(spark, folder):
 
 @query(
     "training_rows",
-    f"""WITH {POSTINGS_SQL} SELECT advert_id, (CAST(advert_id AS DOUBLE) + salary_mid) / 2 AS salary_label
- FROM postings WHERE advert_id > 0 AND salary_mid > 0""",
+    """SELECT o_orderkey AS advert_id, ((o_orderkey % 40 + 1) * 1000000 + (o_orderkey % 40 + 9) * 1000000) / 2.0::DOUBLE AS salary_label
+ FROM orders WHERE o_orderkey % 3 > 0""",
 )
 def training_rows(spark, folder):
-    return shape.with_salary_label(postings(spark, folder), "advert_id", "salary_mid").select("advert_id", "salary_label")
+    key = F.col("advert_id")
+    pay = F.when(key % 3 > 0, F.concat((key % 40 + 1).cast("string"), F.lit(" - "), (key % 40 + 9).cast("string"), F.lit(" tr")))
+    rows = postings(spark, folder).select("advert_id", salary.salary_range(pay).alias("s")).select("advert_id", "s.*")
+    return shape.with_salary_label(rows).select("advert_id", "salary_label")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from jobmart import rules
@@ -9,7 +11,7 @@ from jobmart.functions.text import text_key
 from jobmart.plans import adverts as plans
 from jobmart.plans import warehouse
 from jobmart.plans.queries.base import (
-    ADVERTS_SQL, PHRASES, adverts, pick, query, sql_labels, sql_pick, table,
+    ADVERTS_SQL, PHRASES, PLACES, TITLES, adverts, pick, query, sql_labels, sql_pick, table,
 )
 
 _FIXED = [(label, [word]) for word, label in rules.with_trap_rules_first(rules.PROVINCES)]
@@ -68,7 +70,8 @@ def normalise_adverts(spark, folder):
     "clean_adverts",
     f"""WITH {_CANONICAL_SQL} SELECT lower(trim(regexp_replace(company, '\\s+', ' ', 'g'))) AS company_key,
   lower(trim(regexp_replace(title, '\\s+', ' ', 'g'))) AS title_key, lower(trim(regexp_replace(location_raw, '\\s+', ' ', 'g'))) AS place_key,
-  strftime(max(posted_date), '%Y-%m-%d') AS posted_date, {sql_labels("lower(any_value(location_raw))", _FIXED, "'Khác'")} AS city
+  strftime(max(posted_date), '%Y-%m-%d') AS posted_date, {sql_labels("lower(any_value(location_raw))", _FIXED, "'Khác'")} AS city,
+  {sql_labels("lower(any_value(title))", rules.LEVELS, "'Mid-level'")} AS level, 'Giờ hành chính' AS working_hours, 'A' AS benefits, 'board_a' AS source
  FROM canonical WHERE location_raw IS NOT NULL AND title IS NOT NULL AND posted_raw <> 'N/A' GROUP BY 1, 2, 3""",
 )
 def clean_adverts(spark, folder):
@@ -76,10 +79,27 @@ def clean_adverts(spark, folder):
     return rows.select(
         text_key(F.col("company")).alias("company_key"), text_key(F.col("title")).alias("title_key"),
         text_key(F.col("location_raw")).alias("place_key"),
-        F.date_format("posted_date", "yyyy-MM-dd").alias("posted_date"), "city",
+        F.date_format("posted_date", "yyyy-MM-dd").alias("posted_date"), "city", "level", "working_hours",
+        F.array_join("benefits", "|").alias("benefits"), "source",
     )
 
 
+@query(
+    "normalise_nfc",
+    f"""WITH {_CANONICAL_SQL} SELECT url, title, level, {sql_labels("lower(coalesce(location_raw, ''))", _FIXED, "'Khác'")} AS city, location_raw FROM canonical""",
+)
+def normalise_nfc(spark, folder):
+    """Titles and places that arrive decomposed: all rules see them composed."""
+    decomposed = lambda texts: [unicodedata.normalize("NFD", t) for t in texts]
+    place = F.col("dia_diem_lam_viec.thanh_pho")
+    rows = raw_board_a(spark, folder)
+    in_parts = lambda c, texts: F.element_at(
+        F.create_map(*[F.lit(x) for t, d in zip(texts, decomposed(texts)) for x in (t, d)]), c)
+    rows = rows.withColumn("tieu_de", in_parts(F.col("tieu_de"), TITLES)).withColumn(
+        "dia_diem_lam_viec", F.col("dia_diem_lam_viec").withField("thanh_pho", in_parts(place, PLACES)))
+    return plans.normalise(rows, "a").select("url", "title", "level", "city", "location_raw")
+
+
 def _canonical(spark, folder):
     """Adverts as the warehouse takes them; skills are the words of the requirements."""
     rows = plans.normalise(raw_board_a(spark, folder), "a")
