@@ -85,8 +85,10 @@ def row_json() -> Column:
 
 
 def row_hash(*columns: Column) -> Column:
-    """SHA-256 over the columns as a JSON array of texts, so a NULL, an empty text and a missing column differ."""
-    return F.sha2(F.to_json(F.array(*[c.cast("string") for c in columns])), 256)
+    """SHA-256 over the columns joined with "||"; with a NULL among them, over their JSON array, which shows where."""
+    texts = [c.cast("string") for c in columns]
+    whole = F.forall(F.array(*texts), lambda t: t.isNotNull())
+    return F.sha2(F.when(whole, F.concat_ws("||", *texts)).otherwise(F.to_json(F.array(*texts))), 256)
 
 
 def round_to_ten_thousand(c: Column) -> Column:

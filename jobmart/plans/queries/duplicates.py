@@ -29,7 +29,7 @@ def dedup_latest(spark, folder):
 
 @query(
     "dedup_key_hash",
-    f"""WITH {ADVERTS_SQL} SELECT advert_id, coalesce(url, sha256(CAST(to_json([company, title, location_raw]) AS VARCHAR))) AS row_key
+    f"""WITH {ADVERTS_SQL} SELECT advert_id, coalesce(url, sha256(CASE WHEN company IS NULL OR title IS NULL OR location_raw IS NULL THEN CAST(to_json([company, title, location_raw]) AS VARCHAR) ELSE concat_ws('||', company, title, location_raw) END)) AS row_key
  FROM adverts QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY advert_id) = 1""",
 )
 def dedup_key_hash(spark, folder):

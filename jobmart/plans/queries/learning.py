@@ -83,8 +83,8 @@ def ml_label_index(spark, folder):
 @query(
     "ml_one_hot",
     f"""WITH {_TITLES_SQL}, c AS (SELECT title, count(*) AS n FROM t GROUP BY 1),
- i AS (SELECT title, row_number() OVER (ORDER BY n DESC, encode(title)) - 1 AS at, count(*) OVER () AS width FROM c)
- SELECT advert_id, at, width, 1.0::DOUBLE AS total FROM t JOIN i USING (title)""",
+ i AS (SELECT title, row_number() OVER (ORDER BY n DESC, encode(title)) - 1 AS place, count(*) OVER () AS width FROM c)
+ SELECT advert_id, place, width, 1.0::DOUBLE AS total FROM t JOIN i USING (title)""",
 )
 def ml_one_hot(spark, folder):
     rows = _titles(spark, folder)
@@ -92,7 +92,7 @@ def ml_one_hot(spark, folder):
     encoded = OneHotEncoder(inputCol="title_index", outputCol="v").fit(indexed).transform(indexed)
     values = vector_to_array("v")
     return encoded.select(
-        "advert_id", (F.array_position(values, 1.0) - 1).alias("at"), F.size(values).cast("bigint").alias("width"),
+        "advert_id", (F.array_position(values, 1.0) - 1).alias("place"), F.size(values).cast("bigint").alias("width"),
         F.aggregate(values, F.lit(0.0), lambda total, x: total + x).alias("total"))
 
 

@@ -40,6 +40,8 @@ def test_url_duplicates_with_map_columns(spark):
 def test_row_key_falls_back_to_hash(spark):
     df = spark.createDataFrame([(None, "c", "t", "l"), ("u", "c", "t", "l")], "url string, company string, title string, location_raw string")
     assert [len(r["row_key"]) for r in dedup.with_row_key(df).collect()] == [64, 1]
+    parts = spark.createDataFrame([(None, "A", None, "B"), (None, "A", "B", None), (None, "A", "B", "")], "url string, company string, title string, location_raw string")
+    assert len({r["row_key"] for r in dedup.with_row_key(parts).collect()}) == 3
 
 
 def test_dimension_has_one_row_per_key(spark):
@@ -134,6 +136,17 @@ def test_matches_equal_brute_force(spark, score):
     assert rows == expected
 
 
+def test_a_skill_of_most_sets_is_not_joined_in_one_place(spark):
+    """Two thirds of the sets share a skill; a set and its candidates are told by rarer ones."""
+    rows = spark.range(6000).select("id", F.explode(F.array(
+        F.concat(F.lit("s"), (F.col("id") % 1500).cast("string")), F.concat(F.lit("t"), (F.col("id") % 700).cast("string")),
+        F.when(F.col("id") % 3 > 0, "hot"))).alias("skill")).filter("skill IS NOT NULL")
+    got = joins.skillset_matches(rows, rows, "id", "id", 1.0)
+    distinct = rows.groupBy("id").agg(F.sort_array(F.collect_set("skill")).alias("s")).groupBy("s").count()
+    assert got.count() == distinct.count() and got.agg(F.sum("n_jobs")).first()[0] == 6000
+    assert "hot" not in {r["skill"] for r in joins._with_frequency(rows, rows.groupBy("skill").agg(F.count("*").alias("n")), 16000).filter("n < 3").collect()}
+
+
 def test_unseen_urls(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",)], "url string")
     seen = spark.createDataFrame([("a",), ("a",)], "url string")
@@ -165,7 +178,7 @@ def test_scans_read_only_what_they_need(spark, folder):
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
 
-NO_UDF = ["salary_parse_units", "province_map", "level_maps", "skills_extract", "date_normalise", "company_recover", "normalise_adverts"]
+NO_UDF = ["salary_parse_units", "province_map", "level_maps", "skills_extract", "date_normalise", "company_recover"]
 
 
 @pytest.mark.parametrize("name", NO_UDF)

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from jobmart.plans.queries import ORACLES, QUERIES
 from tools.compare import compare, connect
 
 
@@ -11,7 +12,7 @@ def database(folder):
     return connect(folder)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, folder, name):
     state, note = compare(spark, database, folder, name)
     assert state in ("ok", "rows"), note
@@ -25,5 +26,9 @@ def test_entry(spark):
 
 
 def test_only_models_lack_sql():
-    missing = set(contract.queries()) - set(contract.oracle_sql())
+    missing = set(QUERIES) - set(ORACLES)
     assert missing == {"salary_model_report", "advert_classifier_report"}
+
+
+def test_entry_point_has_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
