@@ -128,3 +128,12 @@ def test_materialised_and_persisted(spark):
     with scratch.persisted(df) as cached:
         assert cached.is_cached and cached.count() == 10
     assert not cached.is_cached
+
+
+def test_scratch_tables_go_to_shared_folders_only():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf | {"spark.sql.warehouse.dir": "file:/shared/warehouse/"}
+
+    assert scratch.shared_dir(Session(**{"spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
+    assert scratch.shared_dir(Session()) == "file:/shared/warehouse/_scratch"
