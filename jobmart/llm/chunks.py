@@ -54,7 +54,7 @@ def joined(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]
     return (np.concatenate(parts) if parts else np.empty(0, dtype)), np.array([len(p) for p in parts], dtype=np.int64)
 
 
-_TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+_TYPES = {"boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
 
 
 def arrow_table(schema: str, rows: list[tuple]) -> pa.Table:

@@ -4,10 +4,10 @@ Tokens are words and one end per text; a start stands before each text and is on
 
 1. Every task counts its tokens; a shuffle by hash range adds them up.  Each range is a part of the model: its
    sorted token hashes are a file, and a token's number is its place in the sorted order of all parts.
-2. Every task counts its pairs of token numbers; a shuffle by the context's part adds them up.  A part's file
-   holds, for each context, its sorted followers and their counts, and how many followers occur once, twice and
-   more often.
-3. Another shuffle counts for each token the contexts it occurs in.
+2. Every task counts its pairs of token numbers; a shuffle by a hash of the pair adds them up, so a context that
+   stands before a third of all tokens is spread like any other.  A part's file holds its sorted pairs and counts.
+3. Another shuffle adds up, for each token, how many followers it has once, twice and more often, and in how many
+   contexts it stands.
 4. Scoring tasks map the files into memory and look tokens and pairs up by binary search.
 
 Everything shuffled is packed in sorted arrays, as differences.  The files lie in the shared folder; a store
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.chunks import arrow_table, slices
 from jobmart.llm.common import documents, small_batches
-from jobmart.llm.words import SPACED, words_of
+from jobmart.llm.words import SPACED, mix, words_of
 from jobmart.scratch import fresh_path, materialise
 
 PART_BYTES = 16 << 20
@@ -42,9 +42,9 @@ START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
 _TOKENS = "part int, hashes binary, counts binary"
 _VOCABULARY = "part int, n long, tokens long, starts long"
 _PAIRS = "part int, pairs binary, counts binary"
-_CONTEXTS = "part int, tokens binary, counts binary, stats binary"
+_CONTEXTS = "part int, kind string, tokens binary, counts binary"
 _STATS = "part int, stats binary"
-_ARRAYS = {"hash": "u8", "count": "u8", "first": "u8", "next": "u4", "times": "u1", "large": "u8", "many": "u8", "follow": "u4", "before": "u4"}
+_ARRAYS = {"hash": "u8", "count": "u8", "follow": "u4", "before": "u4", "pair": "u8", "times": "u1", "large": "u8", "many": "u8"}
 
 
 def _split(path: str) -> tuple[fs.FileSystem, str]:
@@ -156,7 +156,9 @@ class _Vocabulary:
     def find(self, hashes: np.ndarray, *names: str) -> list[np.ndarray]:
         """Numbers of tokens (-1: unknown), and their values in other arrays (0 if unknown)."""
         distinct, which = np.unique(hashes, return_inverse=True)
-        number, more = np.full(len(distinct), -1, np.int64), [np.zeros(len(distinct), np.int64) for _ in names]
+        width = {"follow": 3}
+        number = np.full(len(distinct), -1, np.int64)
+        more = [np.zeros((len(distinct), width[n]) if n in width else len(distinct), np.int64) for n in names]
         for p, a, b in slices(_part(distinct, self.parts)):
             if self.bases[p] < self.bases[p + 1]:
                 known = self.files(p, "hash")
@@ -164,11 +166,26 @@ class _Vocabulary:
                 found = known[place] == distinct[a:b]
                 number[a:b] = np.where(found, place + self.bases[p], -1)
                 for values, name in zip(more, names, strict=True):
-                    values[a:b] = np.where(found, self.files(p, name)[place], 0)
+                    stored = self.files(p, name)
+                    stored = stored.reshape(-1, width[name]) if name in width else stored
+                    values[a:b][found] = stored[place[found]]
         return [number[which], *[values[which] for values in more]]
 
-    def part(self, numbers: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.bases, numbers, "right") - 1
+    def times(self, pairs: np.ndarray) -> np.ndarray:
+        """Counts of pairs."""
+        out, part = np.zeros(len(pairs), np.int64), _part(mix(pairs), self.parts)
+        order = np.argsort(part, kind="stable")
+        for p, a, b in slices(part[order]):
+            known, i = self.files(p, "pair"), order[a:b]
+            if not len(known):
+                continue
+            place = np.minimum(np.searchsorted(known, pairs[i]), len(known) - 1)
+            counted = np.where(known[place] == pairs[i], self.files(p, "times")[place], 0).astype(np.int64)
+            if len(large := self.files(p, "large")):
+                at = np.minimum(np.searchsorted(large, place), len(large) - 1)
+                counted = np.where((counted == 255) & (large[at] == place), self.files(p, "many")[at], counted).astype(np.int64)
+            out[i] = counted
+        return out
 
 
 def _count_pairs(path: str, bases: list[int]) -> Callable:
@@ -185,43 +202,47 @@ def _count_pairs(path: str, bases: list[int]) -> Callable:
 
         for own in _flushes(batches, pairs):
             values, counts = np.unique(own, return_counts=True)
-            part = vocabulary.part((values >> np.uint64(32)).astype(np.int64))
-            rows = [(p, _deltas(values[a:b]), _small(counts[a:b])) for p, a, b in slices(part)]
+            part = _part(mix(values), vocabulary.parts)
+            order = np.argsort(part, kind="stable")  # keeps the pairs of a part sorted
+            values, counts = values[order], counts[order]
+            rows = [(p, _deltas(values[a:b]), _small(counts[a:b])) for p, a, b in slices(part[order])]
             yield from arrow_table(_PAIRS, rows).to_batches()
     return run
 
 
 def _store_pairs(path: str, bases: list[int]) -> Callable:
-    """Writes a part's followers; passes on how many contexts each token has here."""
+    """Writes a part's pairs; passes on what they say about their contexts and their tokens."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        part = key[0].as_py()
         values, counts = _sum_sorted(*_unpack(rows, "pairs", "u8"))
-        context = (values >> np.uint64(32)).astype(np.int64) - bases[part]
-        token = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        n = bases[part + 1] - bases[part]
-        follow = np.stack([np.bincount(context[mask], minlength=n) for mask in (counts == 1, counts == 2, counts > 2)], axis=1)
         large = np.flatnonzero(counts >= 255)
-        _write(path, part, first=np.searchsorted(context, np.arange(n + 1)), next=token, times=np.minimum(counts, 255),
-               large=large, many=counts[large], follow=follow)
-        stats = np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)
-        seen, contexts = np.unique(token, return_counts=True)
-        target = np.searchsorted(bases, seen.astype(np.int64), "right") - 1
-        out = [(p, _deltas(seen[a:b]), _small(contexts[a:b]), None) for p, a, b in slices(target)]
-        return arrow_table(_CONTEXTS, [*out, (-1, None, None, stats.tobytes())])
+        _write(path, key[0].as_py(), pair=values, times=np.minimum(counts, 255), large=large, many=counts[large])
+        stats = np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.uint32)
+        out = [(-1, "stats", None, stats.tobytes())]
+        context, begin = np.unique((values >> np.uint64(32)).astype(np.uint32), return_index=True)
+        kinds = [np.add.reduceat(mask.astype(np.uint32), begin) if len(begin) else begin for mask in (counts == 1, counts == 2, counts > 2)]
+        token, contexts = np.unique((values & np.uint64(0xFFFFFFFF)).astype(np.uint32), return_counts=True)
+        for kind, ids, numbers in (("follow", context, np.stack(kinds, axis=1)), ("before", token, contexts)):
+            part = np.searchsorted(bases, ids.astype(np.int64), "right") - 1
+            out += [(p, kind, _deltas(ids[a:b]), _small(numbers[a:b])) for p, a, b in slices(part)]
+        return arrow_table(_CONTEXTS, out)
     return run
 
 
 def _store_contexts(path: str, bases: list[int]) -> Callable:
-    """Writes the number of contexts of each token of a part."""
+    """Writes the numbers of followers and of contexts of a part's tokens."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         part = key[0].as_py()
         if part < 0:
-            sums = sum(np.frombuffer(x, np.int64) for x in rows["stats"].to_pylist())
+            sums = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in rows["counts"].to_pylist())
             return arrow_table(_STATS, [(part, np.concatenate((sums, [0, 0])).tobytes())])
-        values, counts = _sum_sorted(*_unpack(rows, "tokens", "u4"))
-        before = np.zeros(bases[part + 1] - bases[part], np.uint32)
-        before[values.astype(np.int64) - bases[part]] = counts
-        _write(path, part, before=before)
+        n = bases[part + 1] - bases[part]
+        sums = {"follow": np.zeros((n, 3), np.uint32), "before": np.zeros(n, np.uint32)}
+        for kind, ids, numbers in zip(*(rows[c].to_pylist() for c in ("kind", "tokens", "counts")), strict=True):
+            if kind in sums:
+                at = np.cumsum(np.frombuffer(ids, np.uint32), dtype=np.uint32).astype(np.int64) - bases[part]
+                sums[kind][at] += np.frombuffer(numbers, np.uint32).reshape(len(at), *sums[kind].shape[1:])
+        _write(path, part, **sums)
+        before = sums["before"]
         return arrow_table(_STATS, [(part, np.array([*[(before == k).sum() for k in (1, 2, 3, 4)], before.sum(), (before > 2).sum()], np.int64).tobytes())])
     return run
 
@@ -262,10 +283,11 @@ def train(docs: DataFrame, path: str | None = None) -> Model:
     if bases[-1] >= 2**32:
         raise ValueError("more distinct tokens than 32-bit numbers can tell apart")
     # Every part gets its files, also one whose tokens are no context or stand in none.
-    every = spark.range(parts).select(F.col("id").cast("int").alias("part"), *[F.lit(b"").alias(c) for c in ("pairs", "counts")])
-    counted = texts.mapInArrow(_count_pairs(path, bases), _PAIRS).unionByName(every)
+    every = spark.range(parts).select(F.col("id").cast("int").alias("part"))
+    nothing = every.select("part", *[F.lit(b"").alias(c) for c in ("pairs", "counts")])
+    counted = texts.mapInArrow(_count_pairs(path, bases), _PAIRS).unionByName(nothing)
     pairs = counted.groupBy("part").applyInArrow(_store_pairs(path, bases), _CONTEXTS)
-    pairs = pairs.unionByName(every.withColumnRenamed("pairs", "tokens"), allowMissingColumns=True)
+    pairs = pairs.unionByName(every, allowMissingColumns=True)
     stats = materialise(pairs.groupBy("part").applyInArrow(_store_contexts(path, bases), _STATS))
     sums = {True: np.zeros(6, np.int64), False: np.zeros(6, np.int64)}
     for r in stats.collect():  # six numbers for each part
@@ -275,32 +297,6 @@ def train(docs: DataFrame, path: str | None = None) -> Model:
         discounts(*sums[True][:4].tolist()), tuple(sums[False][[0, 1, 5]].tolist()), discounts(*sums[False][:4].tolist()))
 
 
-def _followers(vocabulary: _Vocabulary, context: np.ndarray, token: np.ndarray, d: np.ndarray) -> Iterator[tuple]:
-    """By part: the places whose context is known; the context's count, its freed weight, the pair's count."""
-    known = np.flatnonzero(context >= 0)
-    order = known[np.argsort(context[known], kind="stable")]
-    for part, a, b in slices(vocabulary.part(context[order])):
-        i = order[a:b]
-        own = context[i] - vocabulary.bases[part]
-        first, follow = vocabulary.files(part, "first"), vocabulary.files(part, "follow").reshape(-1, 3)
-        following, times, large, many = (vocabulary.files(part, x) for x in ("next", "times", "large", "many"))
-        low, high = first[own].astype(np.int64), first[own + 1].astype(np.int64)
-        end, wanted = high.copy(), token[i]
-        while len(open_ := np.flatnonzero(low < high)):  # binary search in all ranges at once
-            middle = (low[open_] + high[open_]) // 2
-            less = following[middle] < wanted[open_]
-            low[open_] = np.where(less, middle + 1, low[open_])
-            high[open_] = np.where(less, high[open_], middle)
-        place = np.minimum(low, max(len(following) - 1, 0))
-        found = (low < end) & (following[place] == wanted) if len(following) else np.zeros(len(i), dtype=bool)
-        counted = np.where(found, times[place], 0).astype(np.int64) if len(following) else np.zeros(len(i), np.int64)
-        if len(large):
-            at = np.minimum(np.searchsorted(large, place), len(large) - 1)
-            counted = np.where((counted == 255) & (large[at] == place), many[at], counted).astype(np.int64)
-        total = vocabulary.files(part, "count")[own].astype(float)
-        yield i, total, follow[own] @ d[1:], counted
-
-
 def _score(model: Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _Vocabulary(model.path, list(model.bases))
@@ -309,7 +305,7 @@ def _score(model: Model) -> Callable:
         spare = float(np.dot(e[1:], model.token_kinds))
         for batch in small_batches(batches, 1):
             tokens, begin = _sequence(batch.column(1))
-            number, count, before = vocabulary.find(tokens, "count", "before")
+            number, count, before, follow = vocabulary.find(tokens, "count", "before", "follow")
             inner = np.ones(len(tokens), dtype=bool)
             inner[begin[:-1]] = False
             at = np.flatnonzero(inner)
@@ -318,9 +314,12 @@ def _score(model: Model) -> Callable:
                 p = (np.maximum(before[at] - e[np.minimum(before[at], 3)], 0) + spare / (v + 1)) / model.pair_types
             else:
                 p = np.full(len(at), 1 / (v + 1))
-            context, token = number[at - 1], number[at]
-            for i, total, gamma, times in _followers(vocabulary, context, token, d):
-                p[i] = (np.maximum(times - d[np.minimum(times, 3)], 0) + gamma * p[i]) / total
+            i = np.flatnonzero(number[at - 1] >= 0)  # known contexts
+            context, token = at[i] - 1, at[i]
+            known = number[token] >= 0
+            times = np.zeros(len(i), np.int64)
+            times[known] = vocabulary.times((number[context].astype(np.uint64) << np.uint64(32) | number[token].astype(np.uint64))[known])
+            p[i] = (np.maximum(times - d[np.minimum(times, 3)], 0) + (follow[context] @ d[1:]) * p[i]) / count[context]
             owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin) - 1)
             sums = [np.bincount(owner, weights=x, minlength=len(begin) - 1) for x in (base, np.log10(p), count[at] > 0)]
             yield pa.RecordBatch.from_arrays(

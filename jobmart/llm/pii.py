@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.chunks import arrow_table, slices
+from jobmart.llm.chunks import arrow_table, part_of, slices
 from jobmart.llm.common import documents, small_batches
 from jobmart.llm.words import SPACED, words_of
 from jobmart.scratch import materialise
@@ -35,6 +35,8 @@ SUPPORT = 3
 SMOOTHING = 2.0
 LEAST_LENGTH = 5
 FLUSH = 1 << 21
+PART_BYTES = 16 << 20
+LEAST_PARTS = 16
 
 # Fixed patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -138,7 +140,7 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
 
 
 _INSTANCE = "struct<start: int, end: int, kind: string, value: string, patterns: array<string>>"
-_FOUND = f"n_email long, n_ip long, n_card long, n_phone long, base array<string>, instances array<{_INSTANCE}>"
+_FOUND = f"n_email long, n_ip long, n_card long, n_phone long, base array<string>, instances array<{_INSTANCE}>"  # and the size of the text
 _ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
 _MAY = np.isin(np.arange(256), np.frombuffer(b"0123456789@", np.uint8))
 
@@ -159,29 +161,33 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found.append(instances(text, spans) if may[d] else [])
         kept = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(n) for n in kept], *[pa.array(counts[:, k]) for k in range(4)], pa.array(base, pa.list_(pa.string())), pa.array(found, _ARROW)],
-            [*kept, "n_email", "n_ip", "n_card", "n_phone", "base", "instances"])
+            [*[batch.column(n) for n in kept], *[pa.array(counts[:, k]) for k in range(4)], pa.array(base, pa.list_(pa.string())), pa.array(found, _ARROW),
+             pa.array(np.diff(offsets))],
+            [*kept, "n_email", "n_ip", "n_card", "n_phone", "base", "instances", "bytes"])
 
 
 _COUNTS = "part int, hashes binary, counts binary"
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _count_words(parts: int) -> Callable:
+    """Word counts of a task, packed by hash range."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
-    def flush() -> list[pa.RecordBatch]:
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
-        part = (values >> np.uint64(58)).astype(np.int64)
-        return arrow_table(_COUNTS, [(p, values[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes()) for p, a, b in slices(part)]).to_batches()
+        def flush() -> list[pa.RecordBatch]:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            rows = [(p, values[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes()) for p, a, b in slices(part_of(values, parts))]
+            return arrow_table(_COUNTS, rows).to_batches()
 
-    for batch in small_batches(batches, 0):
-        held.append(words_of(batch.column(0), SPACED, lower=True).hashes())
-        size += len(held[-1])
-        if size >= FLUSH:
+        for batch in small_batches(batches, 0):
+            held.append(words_of(batch.column(0), SPACED, lower=True).hashes())
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield from flush()
+                held, size = [], 0
+        if size:
             yield from flush()
-            held, size = [], 0
-    if size:
-        yield from flush()
+    return run
 
 
 _TOTALS = "pattern string, total long"
@@ -199,12 +205,14 @@ def _look_up(_: tuple, wanted: pa.Table, counted: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([wanted["pattern"], pa.array(total[which])], ["pattern", "total"])
 
 
-def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        w = words_of(batch.column("word"), SPACED)
-        h = w.hashes()[w.first[:-1]]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("pattern"), pa.array(h.view(np.int64)), pa.array((h >> np.uint64(58)).astype(np.int32))], ["pattern", "hash", "part"])
+def _hash_words(parts: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = words_of(batch.column("word"), SPACED)
+            h = w.hashes()[w.first[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("pattern"), pa.array(h.view(np.int64)), pa.array(part_of(h, parts).astype(np.int32))], ["pattern", "hash", "part"])
+    return run
 
 
 def trusted_values(found: DataFrame, texts: DataFrame, rounds: int, threshold: float, support: int) -> DataFrame:
@@ -214,8 +222,9 @@ def trusted_values(found: DataFrame, texts: DataFrame, rounds: int, threshold: f
     edges = materialise(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.count("*").alias("n")))
     able = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.sum("n").alias("own")).filter(F.col("seeds") >= support)
     words = able.filter(~F.col("pattern").startswith("K ")).select("pattern", F.substr("pattern", F.lit(3)).alias("word"))
-    wanted = words.mapInArrow(_hash_words, "pattern string, hash long, part int")
-    counted = texts.mapInArrow(_count_words, _COUNTS)
+    parts = (found.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES + LEAST_PARTS
+    wanted = words.mapInArrow(_hash_words(parts), "pattern string, hash long, part int")
+    counted = texts.mapInArrow(_count_words(parts), _COUNTS)
     totals = wanted.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(_look_up, _TOTALS)
     patterns = materialise(able.join(totals, "pattern", "left").select("pattern", F.greatest("own", F.coalesce("total", F.lit(0))).alias("total")))
     graph = materialise(edges.join(patterns, "pattern"))
@@ -245,7 +254,7 @@ def find_pii(
     rows = documents(docs, key, text)
     kind = dict(rows.dtypes)["doc_id"]
     found = materialise(
-        rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_find, f"doc_id {kind}, row long, {_FOUND}"))
+        rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_find, f"doc_id {kind}, row long, {_FOUND}, bytes long"))
     values = trusted_values(found, rows.select("text"), rounds, threshold, support)
     candidates = found.select("row", F.explode("instances").alias("i")).filter(F.col("i.kind") == "").select("row", "i.start", "i.end", "i.value")
     more = candidates.join(values, "value", "left_semi").groupBy("row").agg(

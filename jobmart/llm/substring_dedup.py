@@ -9,7 +9,8 @@ A window is ``width`` consecutive words of one document; its minimiser is the le
    windows of a super-k-mer as one packed string, to the bucket of its minimiser.  So a passage that a third
    of all documents share sends one copy for each chunk.  Windows of a frequent minimiser (``HOT`` super-k-mers
    or more; mostly windows that reach over the edge of a shared passage, all different) travel singly, to
-   buckets chosen by the window, so they spread out.
+   buckets chosen by the window, so they spread out; those of ``AREA`` chunks are settled among themselves
+   first, so a window that every chunk has costs a bucket one entry for each area.
 3. Every bucket sorts its windows (by 128-bit hash) and counts them; those in several chunks are reported back.
 4. Every chunk removes the words that repeated windows cover.
 
@@ -23,6 +24,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -33,10 +35,11 @@ from jobmart.llm.words import Words, mix, rolling, sliding_min, words_of
 WIDTH = 35
 MINIMISER = 16
 HOT = 1024
+AREA = 256
 
 _COUNTS = "part int, chunk int, hashes binary, counts binary"
 _AGAIN = "chunk int, hashes binary, hot binary"
-_PACKED = "bucket int, chunk int, bytes binary, lengths binary, starts binary, known binary"
+_PACKED = "bucket int, chunk int, bytes binary, lengths binary, starts binary, known binary, hot boolean"
 _FOUND = "chunk int, starts binary"
 
 
@@ -119,33 +122,61 @@ def _pack(width: int, size: int, parts: int) -> Callable:
         tails = np.concatenate((heads[1:], [len(at)])) - 1
         bucket = part_of(mix(np.where(hot, one, least)[heads]), parts)
         begin, end, start = w.start[at[heads]], w.end[at[tails] + width - 1], at[heads].astype(np.uint32)
-        order, rows, raw = np.argsort(bucket, kind="stable"), [], w.data
-        for p, a, b in slices(bucket[order]):
-            own = order[a:b]
-            rows.append((
-                p, key[0].as_py(), b"".join(raw[begin[i]:end[i]].tobytes() for i in own),
-                (end[own] - begin[own]).astype(np.uint32).tobytes(), start[own].tobytes(), more[heads[own]].tobytes()))
+        rows, raw = [], w.data
+        for single in (False, True):
+            order = np.flatnonzero(hot[heads] == single)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            for p, a, b in slices(bucket[order]):
+                own = order[a:b]
+                rows.append((
+                    p, key[0].as_py(), b"".join(raw[begin[i]:end[i]].tobytes() for i in own),
+                    (end[own] - begin[own]).astype(np.uint32).tobytes(), start[own].tobytes(), more[heads[own]].tobytes(), single))
         return arrow_table(_PACKED, rows)
     return run
 
 
+class _Strings:
+    """The packed strings of several rows: windows, the string of each, and what came with the strings."""
+
+    def __init__(self, rows: pa.Table, width: int) -> None:
+        self.lengths, per_row = joined(rows["lengths"], "u4")
+        self.starts, self.known = joined(rows["starts"], "u4")[0], joined(rows["known"], "?")[0]
+        self.offsets = np.concatenate(([0], np.cumsum(self.lengths, dtype=np.int64)))
+        self.bytes = b"".join(rows["bytes"].to_pylist())
+        self.chunk = np.repeat(np.array(rows["chunk"].to_pylist(), dtype=np.int64), per_row)
+        w = words_of(pa.LargeStringArray.from_buffers(len(self.lengths), pa.py_buffer(self.offsets), pa.py_buffer(self.bytes)))
+        h, string = w.hashes(), w.doc()
+        self.at = np.flatnonzero(np.arange(len(h)) + width <= w.first[1:][string])
+        self.string = string[self.at]
+        self.first, self.more = _repeats(rolling(h, width)[self.at], rolling(w.hashes(1), width, 1)[self.at])
+        self.position = self.starts[self.string] + (self.at - w.first[:-1][self.string]).astype(np.uint32)
+
+    def news(self) -> list[tuple[int, bytes]]:
+        """Positions, by chunk, of the windows that turn out to be repeated and were not known to be."""
+        found = np.flatnonzero(self.more & ~self.known[self.string])
+        order = found[np.argsort(self.chunk[self.string[found]], kind="stable")]
+        return [(c, self.position[order[a:b]].tobytes()) for c, a, b in slices(self.chunk[self.string[order]])]
+
+
+def _gather(width: int) -> Callable:
+    """Of the single windows of an area one of each goes on; what is settled stands in rows of bucket -1."""
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        s = _Strings(rows, width)
+        out = [(-1, c, None, None, starts, None, False) for c, starts in s.news()]
+        own = s.string[s.first]  # every string is one window
+        known = s.known[own] | s.more[s.first]
+        for c, a, b in slices(s.chunk[own]):
+            part = own[a:b]
+            out.append((
+                key[0].as_py(), c, b"".join(s.bytes[s.offsets[i]:s.offsets[i + 1]] for i in part), s.lengths[part].tobytes(),
+                s.starts[part].tobytes(), known[a:b].tobytes(), False))
+        return arrow_table(_PACKED, out)
+    return run
+
+
 def _settle(width: int) -> Callable:
     def run(_: tuple, rows: pa.Table) -> pa.Table:
-        lengths, per_row = joined(rows["lengths"], "u4")
-        starts, known = joined(rows["starts"], "u4")[0], joined(rows["known"], "?")[0]
-        offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
-        packed = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(b"".join(rows["bytes"].to_pylist())))
-        w = words_of(packed)
-        h, lanes = w.hashes(), w.hashes(1)
-        string = w.doc()
-        at = np.flatnonzero(np.arange(len(h)) + width <= w.first[1:][string])
-        _, more = _repeats(rolling(h, width)[at], rolling(lanes, width, 1)[at])
-        at = at[more & ~known[string[at]]]
-        string = string[at]
-        found = starts[string] + (at - w.first[:-1][string]).astype(np.uint32)
-        chunk = np.repeat(np.array(rows["chunk"].to_pylist(), dtype=np.int64), per_row)[string]
-        order = np.argsort(chunk, kind="stable")
-        return arrow_table(_FOUND, [(c, found[order[a:b]].tobytes()) for c, a, b in slices(chunk[order])])
+        return arrow_table(_FOUND, _Strings(rows, width).news())
     return run
 
 
@@ -178,7 +209,7 @@ def _remove(width: int, schema: pa.Schema) -> Callable:
 
 
 def remove_repeats(
-    docs: DataFrame, width: int = WIDTH, minimiser: int = MINIMISER, hot: int = HOT, key: str = "doc_id", text: str = "text",
+    docs: DataFrame, width: int = WIDTH, minimiser: int = MINIMISER, hot: int = HOT, area: int = AREA, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: each text without the words of windows that occur elsewhere.
 
@@ -194,6 +225,10 @@ def remove_repeats(
     counts = chunks.groupBy("chunk").applyInArrow(_count(width, minimiser, parts), _COUNTS)
     again = counts.groupBy("part").applyInArrow(_again(hot), _AGAIN)
     packed = chunks.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(_pack(width, minimiser, parts), _PACKED)
-    found = packed.groupBy("bucket").applyInArrow(_settle(width), _FOUND)
+    singles = packed.filter("hot").withColumn("area", F.expr(f"chunk div {area}").cast("int"))
+    gathered = singles.groupBy("bucket", "area").applyInArrow(_gather(width), _PACKED)
+    last = packed.filter("not hot").unionByName(gathered.filter("bucket >= 0"))
+    found = last.groupBy("bucket").applyInArrow(_settle(width), _FOUND)
+    found = found.unionByName(gathered.filter("bucket < 0").select("chunk", "starts"))
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     return chunks.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_remove(width, to_arrow_schema(schema)), schema)

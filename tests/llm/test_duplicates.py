@@ -42,9 +42,9 @@ def brute_passages(rows, width):
     return Counter(out)
 
 
-@pytest.mark.parametrize(("width", "minimiser", "hot"), [(35, 16, 1024), (35, 16, 2), (5, 3, 4), (4, 1, 1024)])
-def test_passages(spark, width, minimiser, hot):
-    got = substring_dedup.remove_repeats(frame(spark, clashes=True), width, minimiser, hot)
+@pytest.mark.parametrize(("width", "minimiser", "hot", "area"), [(35, 16, 1024, 256), (35, 16, 2, 8), (5, 3, 4, 4), (4, 1, 1024, 256), (3, 2, 2, 16)])
+def test_passages(spark, width, minimiser, hot, area):
+    got = substring_dedup.remove_repeats(frame(spark, clashes=True), width, minimiser, hot, area)
     assert Counter(map(tuple, got.collect())) == brute_passages(documents(), width)
 
 
