@@ -99,13 +99,14 @@ def compose(parts: list[Transducer], symbols: int) -> tuple[np.ndarray, np.ndarr
 
 
 def grammar() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The composed machine.  Each transducer reads what the one before it wrote."""
     both = (INSULT, THREAT)
-    return compose([
-        scope(NEGATION, 3, dict.fromkeys(both, 0.25)),
-        scope(REPORT, 12, dict.fromkeys(both, 0.5)),
-        scope(TARGET, 4, dict.fromkeys(both, 1.5), {THREAT: 0.5}),
-        look_back(both, TARGET, 3, 0.5),
-    ], 6)
+    negation = scope(NEGATION, 3, dict.fromkeys(both, 0.25))
+    reported = scope(REPORT, 12, dict.fromkeys(both, 0.5))
+    threat = scope(TARGET, 4, {THREAT: 1.0}, {THREAT: 0.5})  # a threat needs someone to be threatened
+    target = scope(TARGET, 4, dict.fromkeys(both, 1.5))
+    insult = look_back(both, TARGET, 3, 0.5)  # "idiot, you": the target may come after
+    return compose([negation, reported, threat, target, insult], 6)
 
 
 Lexicon = list[tuple[int | None, int, int, float]]
