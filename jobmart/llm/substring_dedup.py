@@ -78,9 +78,11 @@ def _count(width: int, size: int, parts: int) -> Callable:
         w = words_of(in_order(chunk)["text"])
         at, least = _minimisers(w, w.hashes(), width, size)
         values, counts = np.unique(least[_heads(at, least)], return_counts=True)
-        counts = counts.astype(np.uint32)
+        part = part_of(mix(values), parts)  # minimisers are small hashes: only mixed ones spread evenly
+        order = np.argsort(part, kind="stable")
+        values, counts = values[order], counts[order].astype(np.uint32)
         return arrow_table(_COUNTS, [
-            (p, key[0].as_py(), values[a:b].tobytes(), counts[a:b].tobytes()) for p, a, b in slices(part_of(values, parts))])
+            (p, key[0].as_py(), values[a:b].tobytes(), counts[a:b].tobytes()) for p, a, b in slices(part[order])])
     return run
 
 
