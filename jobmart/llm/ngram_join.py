@@ -37,6 +37,7 @@ SHINGLE, PERCENT = 5, 80
 BLOCK = 256
 FRAGMENTS = 4
 MEMBERS_PER_TASK_GROUP = 2048
+SALTS = 16
 
 _SIGNED = "chunk int, place int, size int, one long, two long"
 _SENT = "part int, chunk int, grams binary, counts binary"
@@ -223,8 +224,10 @@ def _missing(lists: DataFrame, roots: DataFrame) -> DataFrame:
         F.max(F.struct("count", "root")).alias("top"), F.sum("count").alias("all")
     ).filter(F.col("top.count") < F.col("all")).select(
         "gram", F.col("top.root").alias("top"), F.ceil(F.col("top.count") * 2 / BLOCK).alias("inner"),
-        F.ceil((F.col("all") - F.col("top.count")) * 2 / BLOCK).alias("outer"))
-    rows = some.join(largest, "gram").withColumn("inside", F.col("root") == F.col("top"))
+        F.ceil((F.col("all") - F.col("top.count")) * 2 / BLOCK).alias("outer"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    salted = some.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))  # a long list is dealt to several tasks
+    rows = salted.join(largest, ["gram", "salt"]).withColumn("inside", F.col("root") == F.col("top"))
     at = lambda n: F.pmod(F.xxhash64("node", F.lit(3)), F.col(n)).alias("at")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("other")
     inner = rows.filter("inside").select("gram", "node", at("inner"), upto("outer"))
