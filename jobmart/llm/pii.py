@@ -5,18 +5,21 @@ value (``key=value``, ``key:value``), are lexical patterns.  Other tokens that l
 candidates and have patterns too.  Spark scores the graph of values and patterns in rounds:
 
 * a pattern is worth the share of its occurrences in the whole corpus that stand next to trusted values, so a
-  word that mostly stands next to plain text is worth nothing; it needs several different seeds;
-* a candidate is trusted by all its patterns together (noisy or), and strengthens them in later rounds only
-  once it is above the threshold.
-
-Candidates that end above the threshold become spans of the kind ``id``.  Each step runs on tables of values
-and patterns in the shared folder; texts are read twice, to find spans and to count words.
+  word that mostly stands next to plain text is worth nothing; it needs several different trusted values, which
+  are the seeds at first and later whatever has become trusted, so every round can bring new patterns;
+* a candidate is trusted by all its patterns together (noisy or) once they reach the threshold.  Then it counts
+  like a seed in the next round.
+
+Trust is never taken back, so the rounds end by themselves: with the first one that adds no value.  Trusted
+candidates become spans of the kind ``id``.  Each step runs on tables of values and patterns in the shared
+folder; texts are read twice, to find spans and to count words.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,6 @@ from jobmart.llm.words import SPACED, words_of
 from jobmart.scratch import materialise
 
 KINDS = ["email", "ip", "card", "phone", "id"]
-ROUNDS = 4
 THRESHOLD = 0.8
 SUPPORT = 3
 SMOOTHING = 2.0
@@ -215,41 +217,48 @@ def _hash_words(parts: int) -> Callable:
     return run
 
 
-def trusted_values(found: DataFrame, texts: DataFrame, rounds: int, threshold: float, support: int) -> DataFrame:
-    """Candidate values that the patterns of the seeds vouch for."""
+def _together(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def trusted_values(found: DataFrame, texts: DataFrame, rounds: int | None, threshold: float, support: int) -> DataFrame:
+    """Candidate values that the patterns of the seeds, and of the values trusted so far, vouch for."""
     one = found.select(F.explode("instances").alias("i"))
     edges = one.select("i.value", (F.col("i.kind") != "").alias("seed"), F.explode("i.patterns").alias("pattern"))
     edges = materialise(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.count("*").alias("n")))
-    able = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.sum("n").alias("own")).filter(F.col("seeds") >= support)
-    words = able.filter(~F.col("pattern").startswith("K ")).select("pattern", F.substr("pattern", F.lit(3)).alias("word"))
     parts = (found.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES + LEAST_PARTS
-    wanted = words.mapInArrow(_hash_words(parts), "pattern string, hash long, part int")
-    counted = texts.mapInArrow(_count_words(parts), _COUNTS)
-    totals = wanted.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(_look_up, _TOTALS)
-    patterns = materialise(able.join(totals, "pattern", "left").select("pattern", F.greatest("own", F.coalesce("total", F.lit(0))).alias("total")))
-    graph = materialise(edges.join(patterns, "pattern"))
-    trust = graph.groupBy("value").agg(F.max("seed").alias("seed")).select("value", "seed", F.col("seed").cast("double").alias("trust"))
-    for _ in range(rounds):
-        trust = materialise(trust)
-        sure = trust.filter(F.col("trust") >= threshold).select("value", "trust")
-        worth = graph.join(sure, "value").groupBy("pattern").agg(
-            (F.sum(F.col("n") * F.col("trust")) / (F.max("total") + SMOOTHING)).alias("worth"))
-        doubt = graph.select("value", "pattern").join(worth, "pattern", "left").groupBy("value").agg(
-            F.sum(F.log1p(-F.least(F.coalesce("worth", F.lit(0.0)), F.lit(0.999)))).alias("doubt"))
-        trust = trust.join(doubt, "value").select(
-            "value", "seed", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("trust"))
-    return materialise(trust.filter(~F.col("seed") & (F.col("trust") >= threshold)).select("value"))
+    counted = materialise(texts.mapInArrow(_count_words(parts), _COUNTS))
+    trusted = [edges.filter("seed").select("value").distinct()]
+    totals = []
+    while rounds is None or len(trusted) <= rounds:
+        sure = _together(trusted)
+        able = materialise(edges.join(sure, "value").groupBy("pattern").agg(
+            F.count("*").alias("values"), F.sum("n").alias("hits")).filter(F.col("values") >= support))
+        fresh = able.select("pattern").join(_together(totals), "pattern", "left_anti") if totals else able.select("pattern")
+        words = fresh.filter(~F.col("pattern").startswith("K ")).select("pattern", F.substr("pattern", F.lit(3)).alias("word"))
+        wanted = words.mapInArrow(_hash_words(parts), "pattern string, hash long, part int")
+        looked_up = wanted.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(_look_up, _TOTALS)
+        own = edges.join(fresh, "pattern", "left_semi").groupBy("pattern").agg(F.sum("n").alias("own"))
+        totals.append(materialise(own.join(looked_up, "pattern", "left").select("pattern", F.greatest("own", F.coalesce("total", F.lit(0))).alias("total"))))
+        worth = able.join(_together(totals), "pattern").select("pattern", (F.col("hits") / (F.col("total") + SMOOTHING)).alias("worth"))
+        doubt = edges.join(worth, "pattern").groupBy("value").agg(F.sum(F.log1p(-F.least("worth", F.lit(0.999)))).alias("doubt"))
+        newly = materialise(doubt.filter(1 - F.exp("doubt") >= threshold).select("value").join(sure, "value", "left_anti"))
+        if newly.isEmpty():
+            break
+        trusted.append(newly)
+    return _together([trusted[0].limit(0), *trusted[1:]])
 
 
 def find_pii(
-    docs: DataFrame, rounds: int = ROUNDS, threshold: float = THRESHOLD, support: int = SUPPORT, key: str = "doc_id", text: str = "text",
+    docs: DataFrame, rounds: int | None = None, threshold: float = THRESHOLD, support: int = SUPPORT, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base, spans``: a row for each row of ``docs``.
 
     ``base`` and ``spans`` are arrays of ``kind:start:end`` in code points, end exclusive, sorted by start and
     kind; ``spans`` also has what the patterns found, as kind ``id``, never overlapping a base span.  The
     counts are those of base spans.  A null or empty text has none.  Repeated rows count for the patterns as
-    often as they occur, but values count once as support.  Other columns are ignored; no rows give no rows.
+    often as they occur, but values count once as support.  ``rounds`` can end the search early; without it, it
+    ends when no value is newly trusted.  Other columns are ignored; no rows give no rows.
     """
     rows = documents(docs, key, text)
     kind = dict(rows.dtypes)["doc_id"]

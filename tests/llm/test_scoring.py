@@ -203,6 +203,46 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert all(got[i]["spans"] == got[i]["base"] for i in range(8))
 
 
+def brute_trusted(texts, threshold=pii.THRESHOLD, support=pii.SUPPORT):
+    """Values that become trusted, by the definition, from all words of all texts."""
+    tokens = [t.lower().split() for t in texts]
+    words, edges, trusted = Counter(w for t in tokens for w in t), Counter(), set()
+    for t in tokens:
+        for i, w in enumerate(t):
+            if any(c.isdigit() for c in w) and len(w) >= pii.LEAST_LENGTH:
+                edges.update((w, p) for p in [*[("L", x) for x in t[i - 1:i]], *[("R", x) for x in t[i + 1:i + 2]]])
+                if "@" in w:
+                    trusted.add(w)
+    seeds = set(trusted)
+    while True:
+        worth = {}
+        for p in {p for _, p in edges}:
+            at = [(w, n) for (w, q), n in edges.items() if p == q and w in trusted]
+            if len(at) >= support:
+                worth[p] = sum(n for _, n in at) / (words[p[1]] + pii.SMOOTHING)
+        apart = defaultdict(lambda: 1.0)
+        for w, p in edges:
+            apart[w] *= 1 - min(worth.get(p, 0), 0.999)
+        new = {w for w, x in apart.items() if 1 - x >= threshold} - trusted
+        if not new:
+            return trusted - seeds
+        trusted |= new
+
+
+def test_trusted_values_bring_new_patterns(spark):
+    texts = [f"{word} user{i}@mail.example.com" for i in range(40) for word in ("badge:", "step0")]
+    texts += [f"badge: emp-{100 + i}" for i in range(5)] + [f"staff emp-{100 + i}" for i in range(5) for _ in range(10)]
+    texts += ["staff zx-99812", "shelf zx-99812", "shelf zx-99813", *[f"we like {i}12345 apples" for i in range(12)]]
+    for hop in range(7):  # each step is only reached from the one before
+        texts += [f"step{hop} n{hop}-{i:04}" for i in range(5) for _ in range(10) if hop]
+        texts += [f"step{hop} n{hop + 1}-{i:04}" for i in range(5)]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {texts[i][int(a):int(b)] for i, r in got.items() for kind, a, b in (x.split(":") for x in r["spans"]) if kind == "id"}
+    assert found == brute_trusted(texts)
+    assert {"zx-99812", "n7-0004"} <= found and "zx-99813" not in found
+
+
 def test_personal_data_query(spark, folder):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     name = list(PATTERNS)
