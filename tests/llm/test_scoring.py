@@ -243,6 +243,68 @@ def test_trusted_values_bring_new_patterns(spark):
     assert {"zx-99812", "n7-0004"} <= found and "zx-99813" not in found
 
 
+def brute_values(texts, threshold=pii.THRESHOLD, support=pii.SUPPORT):
+    """Trusted values of any characters: every occurrence of every value with its patterns, in one list."""
+    found, words, keys, sizes, seeds = [], Counter(), Counter(), Counter(), set()
+    for text in texts:
+        tokens = text.lower().split()
+        words.update(tokens)
+        for i, token in enumerate(tokens):
+            key = re.match(r"([a-z_][a-z0-9_-]*)[=:]+(?=.)", token)
+            value = (token[key.end():] if key else token).strip(pii._EDGE)
+            keys.update([key[1]] if key else [])
+            if value:
+                patterns = [("K", key[1])] if key else []
+                found.append((value, patterns + [("L", x) for x in tokens[i - 1:i]] + [("R", x) for x in tokens[i + 1:i + 2]]))
+                sizes[value] += 1
+                if "@" in value:
+                    seeds.add(value)
+    trusted, strong = set(seeds), 1 - (1 - threshold) ** (1 / 3)
+    while True:
+        at = defaultdict(list)
+        for value, patterns in found:
+            for p in patterns if value in trusted else []:
+                at[p].append(value)
+        worth = {p: len(v) / ((keys if p[0] == "K" else words)[p[1]] + pii.SMOOTHING) for p, v in at.items() if len(set(v)) >= support}
+        shaped, mass = defaultdict(set), Counter()
+        for value, patterns in found:
+            shaped[value].update(patterns)
+            if max([worth.get(p, 0) for p in patterns], default=0) >= strong:
+                mass[value] += 1 - math.prod(1 - min(worth.get(p, 0), 0.999) for p in patterns)
+        trust = {v: 1 - math.prod(1 - min(worth.get(p, 0), 0.999) for p in ps) if len(v) >= pii.LEAST_LENGTH and re.search("[0-9]", v) else mass[v] / sizes[v]
+                 for v, ps in shaped.items()}
+        new = {v for v, x in trust.items() if x >= threshold} - trusted
+        if not new:
+            return trusted - seeds
+        trusted |= new
+
+
+def test_any_characters_can_be_found(spark, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 3)
+    texts = [text.format(f"u{i}@mail.example.com") for i in range(600) for text in ("my contact: {}", "the day user={}", "LOGIN: {} signed")]
+    texts += ["my contact: maria.k(at)example.com", "my contact: (A17)", "login: 7", "Étage 5", "no name here", ""]
+    texts += ["login: the", "my contact: the", "we have 7 of the 12345 apples and the pears of the day"] * 2  # common words are no names
+    names = ["kowalski", "Émilie", *("nowak" + c for c in "abcdefgh")]
+    texts += [f"Login: {name}, signed" for name in names for _ in range(20)] + ["the day user=kowalski"]
+    texts += [f"seat {name}" for name in ("ÉMILIE" if n == "Émilie" else n for n in names) for _ in range(3)] + ["seat 12-345"]
+    rows = [*enumerate(texts), (None, "seat lee"), (None, "seat lee"), (None, None), (0, texts[0])]
+    got = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = brute_values([t for _, t in rows if t])
+    assert {"maria.k(at)example.com", "a17", "kowalski", "nowaka", "émilie", "lee", "12-345"} <= expected and not {"the", "7", "of"} & expected
+    assert len(got) == len(rows)
+    by_id = defaultdict(list)
+    for i, t in rows:
+        by_id[i].append(t)
+    spans = Counter()
+    for r in got:
+        text = by_id[r["doc_id"]][0] if r["doc_id"] is not None else "seat lee"
+        cut = [text[int(a):int(b)].lower() for kind, a, b in (x.split(":") for x in r["spans"]) if kind == "id"]
+        spans.update(cut)
+        assert len(cut) == len(r["spans"]) - len(r["base"])
+    values = Counter(v for _, t in rows for x in (t or "").split() if "@" not in x for v in [re.sub("^user=", "", x.lower()).strip(pii._EDGE)])
+    assert spans == Counter({v: values[v] for v in expected})
+
+
 def test_personal_data_query(spark, folder):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     name = list(PATTERNS)
