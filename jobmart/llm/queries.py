@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import chat, decontaminate, exact_dedup, language_model, mixing, ngram_join, pii, sharding, substring_dedup, toxicity
+from jobmart.llm import (
+    chat, decontaminate, exact_dedup, language_model, mixing, nearest, ngram_join, periodic, pii, sharding, substring_dedup, toxicity, variants,
+)
 from jobmart.llm.common import remainder
 from jobmart.llm.registry import ORACLES, QUERIES, query, table
 
@@ -186,3 +188,52 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
         F.array_join("spans", ",").alias("spans"))
+
+
+# Exact search; the index finds the same wherever its first round holds all vectors.
+@query("op11_nearest_neighbours", """
+WITH e AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s) WHERE rank <= 20
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# CRC-32 byte by byte; letters beyond ASCII are two bytes, C3 and the code point less 64.
+@query("op12_spelling_variants", """
+WITH RECURSIVE c AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+r AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+    flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)] ELSE [195, unicode(ch) - 64] END)),
+    lambda x: x::BIGINT)), lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) AS h FROM r, c),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % len(run))::BIGINT) || substr(run, (h % len(run))::BIGINT + 2) ELSE run END AS word, n FROM h)
+  WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+k AS (SELECT word, n, i, left(word, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, n, unnest(range(len(word))) AS i FROM w)),
+p AS (SELECT x.word, y.word AS near, y.n FROM k x JOIN k y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT k.word, w.word, w.n FROM k JOIN w ON w.word = k.a || k.b
+  UNION SELECT w.word, k.word, k.n FROM k JOIN w ON w.word = k.a || k.b),
+f AS (SELECT word, count(*) AS n_near, max(n) AS top FROM p GROUP BY word),
+g AS (SELECT f.word, n_near, min(near) AS form, any_value(top) AS form_n FROM f JOIN p ON p.word = f.word AND p.n = f.top GROUP BY f.word, n_near),
+o AS (SELECT w.word, CASE WHEN form_n >= 2 * w.n THEN form END AS form, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM w LEFT JOIN g USING (word)),
+u AS (SELECT word, word AS root FROM o UNION ALL SELECT u.word, o.form FROM u JOIN o ON o.word = u.root WHERE o.form IS NOT NULL)
+SELECT o.word, o.form, u.root, o.n, o.n_near, o.form_n FROM o JOIN u USING (word) JOIN o e ON e.word = u.root WHERE e.form IS NULL
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.forms(variants.vocabulary(table(spark, folder, "documents"), drop=97))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_planted_runs(table(spark, folder, "documents")))
+    best = periodic.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        periodic.digest_of_runs(F.col("runs")).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))

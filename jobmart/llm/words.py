@@ -7,6 +7,7 @@ between words, and only per-word arrays are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,8 +85,19 @@ class Words:
         return mix(out)
 
 
-def words_of(column: pa.Array | pa.ChunkedArray, kind: np.ndarray = SPACED, lower: bool = False) -> Words:
-    """Words of each row; a null row has none."""
+def latin(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to the letters A-Z, a-z and U+00C0 to U+00FF (two bytes, the first of them C3)."""
+    pairs = data == 0xC3
+    out = (((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A)) | pairs
+    out[1:] |= pairs[:-1]
+    return out
+
+
+Kind = np.ndarray | Callable[[np.ndarray], np.ndarray]
+
+
+def words_of(column: pa.Array | pa.ChunkedArray, kind: Kind = SPACED, lower: bool = False) -> Words:
+    """Words of each row; a null row has none.  ``kind``: which bytes are in words, by value or as a function of all."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
     if isinstance(column, pa.ChunkedArray):  # no chunk at all
@@ -102,7 +114,7 @@ def words_of(column: pa.Array | pa.ChunkedArray, kind: np.ndarray = SPACED, lowe
     if lower:
         data = _LOWER[data]
     inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = kind[data]
+    inside[1:-1] = kind(data) if callable(kind) else kind[data]
     start, end = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
     cuts = offsets[(offsets > 0) & (offsets < len(data))]
     start[cuts[inside[cuts + 1]]] = True  # a word ends where its row ends
