@@ -73,18 +73,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
-def _mix_sql() -> str:
-    fills = ""
-    for k in range(mixing.ROUNDS):
-        earlier = " UNION ALL ".join(f"SELECT doc_id, source, size FROM f{j}" for j in range(k)) or "SELECT doc_id, source, size FROM k WHERE false"
-        fills += f""", p{k} AS ({earlier}),
-g{k} AS (SELECT s.source, any_value(s.gap) - coalesce(sum(p.size), 0) AS gap FROM t s LEFT JOIN p{k} p ON p.source IS NOT DISTINCT FROM s.source GROUP BY s.source),
-f{k} AS (SELECT doc_id, source, size FROM (
-  SELECT k.*, g.gap, sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id) AS upto
-  FROM k JOIN g{k} g ON k.source IS NOT DISTINCT FROM g.source
-  WHERE size > 0 AND size <= gap AND doc_id NOT IN (SELECT doc_id FROM p{k})) WHERE upto <= gap)"""
-    union = " UNION ALL ".join(f"SELECT doc_id FROM f{k}" for k in range(mixing.ROUNDS))
-    return f"""
+# Documents of a source in key order, each taken if it still fits: `state` has what is left and the ids taken.
+_MIX_SQL = f"""
 WITH q AS (SELECT doc_id, max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END)::DOUBLE AS w FROM labels GROUP BY doc_id),
 k AS (SELECT d.doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
     -ln((('0x' || substr(md5('mix' || d.doc_id::VARCHAR), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / coalesce(w, 1) AS key
@@ -96,14 +86,18 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum({mixing.MOST} * source_
   FROM r WINDOW b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 m AS (SELECT arg_min(level, ratio) AS level FROM l WHERE level <= ratio),
 t0 AS (SELECT source, source_size, least(({mixing.MOST} * source_size)::DOUBLE, m.level * weight) AS target FROM l, m),
-t AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs, target - epochs * source_size AS gap FROM t0){fills}
-SELECT k.doc_id, size, source_size, target, epochs, u.doc_id IS NOT NULL AS picked,
-  size * (epochs + CASE WHEN u.doc_id IS NULL THEN 0 ELSE 1 END) AS taken
-FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source LEFT JOIN ({union}) u ON u.doc_id = k.doc_id
+t AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs, target - epochs * source_size AS gap FROM t0),
+o AS (SELECT source, list({{'left': size::DOUBLE, 'ids': [doc_id]}} ORDER BY key, doc_id) AS docs FROM k WHERE size > 0 GROUP BY source),
+f AS (SELECT unnest(list_reduce(list_prepend({{'left': gap, 'ids': []::BIGINT[]}}, docs),
+    lambda state, d: CASE WHEN d.left <= state.left THEN {{'left': state.left - d.left, 'ids': list_concat(state.ids, d.ids)}} ELSE state END).ids) AS doc_id
+  FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source)
+SELECT k.doc_id, size, source_size, target, epochs, f.doc_id IS NOT NULL AS picked,
+  size * (epochs + CASE WHEN f.doc_id IS NULL THEN 0 ELSE 1 END) AS taken
+FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source LEFT JOIN f ON f.doc_id = k.doc_id
 """
 
 
-@query("op9_mixing", _mix_sql())
+@query("op9_mixing", _MIX_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), qualities(spark, folder), whole_rows=False)
 

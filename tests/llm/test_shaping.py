@@ -1,6 +1,7 @@
 """Sharding, chat formatting, decontamination, mixing and the pipeline."""
 
 import hashlib
+import math
 from collections import Counter, defaultdict
 
 import pytest
@@ -145,8 +146,9 @@ def test_mix(spark):
     rows = documents(n=300)
     quality = spark.createDataFrame([(1, 2.0), (1, 1.0), (2, -1.0), (None, 5.0)], "doc_id long, quality double")
     docs = frame(spark, rows, clashes=True)
+    docs = docs.withColumns({c: F.lit("own") for c in ("copy", "target", "picked", "id", "d_0", "passes")})
     mixed = mixing.mix(docs, quality)
-    assert mixed.columns == [c for c in docs.columns if c not in ("size", "source_size")] + ["size", "source_size", "target", "epochs", "picked", "taken"]
+    assert mixed.columns == [c for c in docs.columns if c not in ("size", "source_size", "target", "picked")] + ["size", "source_size", "target", "epochs", "picked", "taken"]
     got = mixed.collect()
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(r[:2] for r in rows)
     taken, size = Counter(), Counter()
@@ -156,12 +158,46 @@ def test_mix(spark):
         size[r["source"]] += r["size"]
     for r in got:
         assert r["source_size"] == size[r["source"]] and 0 <= r["target"] - taken[r["source"]] <= max(0.02 * r["target"], 6)
+        assert r["copy"] == "own"
     again = mixing.mix(docs.repartition(2), quality, whole_rows=False).collect()
     assert Counter((r["doc_id"], r["size"], r["taken"]) for r in again) == Counter((r["doc_id"], r["size"], r["taken"]) for r in got)
-    assert mixing.repeat(mixed).groupBy().sum("size").first()[0] == sum(taken.values())
+    copies = mixing.mixed(docs, quality)
+    assert copies.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"], r["size"], r["copy"], r["target"]) for r in copies.collect()) == _times(got)
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def _times(rows):
+    out = Counter()
+    for r in rows:
+        if r["size"]:
+            out[r["doc_id"], r["text"], "other", "own", "own"] += r["taken"] // r["size"]
+    return +out
+
+
+def first_fit(sizes, gap, seed="mix"):
+    """Ids taken one after the other in key order, if they still fit."""
+    key = lambda i: -math.log((int(hashlib.md5(f"{seed}{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52)
+    taken = set()
+    for i in sorted(sizes, key=key):
+        if 0 < sizes[i] <= gap:
+            taken.add(i)
+            gap -= sizes[i]
+    return taken
+
+
+@pytest.mark.parametrize("sizes", [
+    [1000 - 37 * i for i in range(27)], [2**i for i in range(11)] * 3, [5] * 40, [900, 1, 800, 2, 700, 3, 600, 4, 500, 5] * 4, [0, 0, 3], [10_000] + [7] * 50])
+def test_every_document_that_fits_is_taken(spark, sizes):
+    docs = spark.createDataFrame([(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(1000 + i, "v " * 9, None) for i in range(30)], "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("a", 1.0), (None, 3.7)], "source string, weight double")
+    got = mixing.mix(docs.repartition(4), None, weights, whole_rows=False).collect()
+    for own in ([r for r in got if r["doc_id"] < 1000], [r for r in got if r["doc_id"] >= 1000]):
+        own_sizes = {r["doc_id"]: r["size"] for r in own}
+        gap = own[0]["target"] - own[0]["epochs"] * sum(own_sizes.values())
+        assert {r["doc_id"] for r in own if r["picked"]} == first_fit(own_sizes, gap)
+
+
 def test_higher_quality_is_taken_more_often(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "a" if i % 3 else "b") for i in range(3000)], "doc_id long, text string, source string")
     quality = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0).alias("quality"))
