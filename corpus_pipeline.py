@@ -30,7 +30,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix by source weights: every document as often as it is taken."""
-    return mixing.repeat(mixing.mix(docs, qualities(spark, sf_dir))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixing.mixed(docs, qualities(spark, sf_dir))
 
 
 def place(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
