@@ -8,7 +8,8 @@ is one deterministic machine; it gives the weight of every match, and the matche
 The lexicon holds fixed words and words or word beginnings learned from labelled documents: those that occur
 in toxic ones too often for chance (binomial tail, corrected for the number of candidates), each with its log
 odds as weight.  Near copies in the sample count once.  A logistic curve over the strongest clause and the
-sum of all clauses, fitted on the same sample, turns weights into a score.
+sum of all clauses, fitted on the same sample with weights that are not negative, turns weights into a score: a
+further matched clause, or a stronger one, never lowers it.
 
 The sample is at most ``SAMPLE`` labelled documents, chosen by a hash of their id.
 """
@@ -178,12 +179,12 @@ def clause_weights(w: Words, lookup: _Lookup, tables: tuple) -> tuple[np.ndarray
     return most, total
 
 
-def _weigh(lexicon: Lexicon) -> Callable:
+def _weigh(lexicon: Lexicon, text: str = "text", keep_text: bool = False) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, tables = _Lookup(lexicon), grammar()
-        for batch in small_batches(batches, "text"):
-            most, total = clause_weights(words_of(batch.column("text"), ALNUM, lower=True), lookup, tables)
-            kept = [n for n in batch.schema.names if n != "text"]
+        for batch in small_batches(batches, text):
+            most, total = clause_weights(words_of(batch.column(text), ALNUM, lower=True), lookup, tables)
+            kept = [n for n in batch.schema.names if n != text or keep_text]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(most), pa.array(total)], [*kept, "most", "total"])
     return run
 
@@ -243,15 +244,34 @@ def _tail(hits: int, n: int, p: float) -> float:
     return -n * (share * math.log(share / p) + rest) / math.log(10)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, rounds: int = 30) -> tuple[float, float, float]:
-    """Logistic regression by Newton steps."""
+def _newton(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, rounds: int = 30) -> np.ndarray:
+    """Logistic regression by Newton steps: the constant, then a weight for each column."""
     x = np.column_stack((np.ones(len(x)), x))
     beta = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
         beta += np.clip(np.linalg.solve(hess, x.T @ (y - p) - ridge * beta), -5, 5)
-    return tuple(float(b) for b in beta)
+    return beta
+
+
+def _loss(x: np.ndarray, y: np.ndarray, curve: tuple[float, float, float]) -> float:
+    z = curve[0] + x @ np.array(curve[1:])
+    return float(np.sum(np.logaddexp(0, z) - y * z))
+
+
+def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """The best curve that never falls: both weights free if neither is negative, else one of them is 0.
+
+    The two measures nearly say the same, so a small sample can give one of them a negative weight, and then
+    more insults would lower a score.  If every single weight is negative too, the default curve holds.
+    """
+    free = tuple(float(b) for b in _newton(x, y))
+    if min(free[1:]) >= 0:
+        return free
+    a, b = _newton(x[:, :1], y), _newton(x[:, 1:], y)
+    able = [c for c in ((float(a[0]), float(a[1]), 0.0), (float(b[0]), 0.0, float(b[1]))) if max(c[1:]) > 0]
+    return min(able, key=lambda c: _loss(x, y, c), default=DEFAULT.curve)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -266,7 +286,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     rows = materialise(
         docs.join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int")))
-    rows = rows.mapInArrow(_near_key, "text string, label int, near string").dropDuplicates(["near", "label"])
+    rows = rows.mapInArrow(_near_key, "text string, label int, near string")
+    rows = rows.groupBy("near", "label").agg(F.min_by("text", F.md5("text")).alias("text"))  # the same one in every run
     rows = materialise(rows.select("text", "label"))
     counts = {r["label"] > 0: r["count"] for r in rows.groupBy("label").count().collect()}
     pos, neg = counts.get(True, 0), counts.get(False, 0)
@@ -306,7 +327,7 @@ def curve(model: Model) -> Column:
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows whose score reaches the threshold; columns unchanged."""
     columns = docs.columns
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(columns)], F.col("text"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(columns)])
     fields = ", ".join(f"d_{i} {kind}" for i, (_, kind) in enumerate(docs.dtypes))
-    weighed = rows.mapInArrow(_weigh(list(model.lexicon)), f"{fields}, most double, total double")
+    weighed = rows.mapInArrow(_weigh(list(model.lexicon), f"d_{columns.index('text')}", keep_text=True), f"{fields}, most double, total double")
     return weighed.filter(curve(model) < threshold).select(*[F.col(f"d_{i}").alias(c) for i, c in enumerate(columns)])

@@ -71,6 +71,64 @@ def test_learned_words_carry_to_unseen_documents(spark):
     assert toxicity.reject(docs, model, 0.5).count() == 300
 
 
+GROWING = ["", "you idiot", "you idiot and moron", "you idiot and moron, worthless loser", "you idiot and moron, worthless loser. I will kill you, scum",
+           "you idiot and moron, worthless loser. I will kill you, scum. " * 30]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_a_further_match_never_lowers_a_score(spark, sf):
+    from jobmart.llm.queries import toxicity_model
+
+    model = toxicity_model(spark, f"/root/testdata/{sf}")
+    rows = spark.createDataFrame(list(enumerate(GROWING)), "doc_id int, text string")
+    scores = [r["score"] for r in toxicity.score(rows, model).orderBy("doc_id").collect()]
+    assert scores == sorted(scores) and scores[1] < scores[4] and min(model.curve[1:]) >= 0
+
+
+def test_the_curve_never_falls():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        most = rng.exponential(2, 40) * (rng.random(40) < 0.5)
+        x = np.stack((most, np.log1p(most * rng.uniform(1, 3, 40))), axis=1)
+        y = (rng.random(40) < 1 / (1 + np.exp(2 - rng.normal() * x[:, 0]))).astype(float)
+        a, b, c = toxicity._fit(x, y)
+        assert b >= 0 and c >= 0
+        if (a, b, c) != toxicity.DEFAULT.curve:  # no curve nearby with such weights fits better
+            near = [(a + d, max(b + e, 0), max(c + f, 0)) for d in (-.05, 0, .05) for e in (-.05, 0, .05) for f in (-.05, 0, .05)]
+            assert toxicity._loss(x, y, (a, b, c)) <= min(toxicity._loss(x, y, n) for n in near) + 0.05
+    assert toxicity._fit(np.array([[0.0, 0.0], [1.0, 1.0]]), np.array([1.0, 0.0])) == toxicity.DEFAULT.curve
+
+
+def test_learned_words_against_brute_force(spark):
+    """Words of toxic documents beyond chance, counted by hand; repeated and partly changed copies count once."""
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for i in range(300):
+        own = [f"w{rng.integers(0, 900)}x" for _ in range(40)]
+        if i % 3 == 0:
+            own[5:5] = ["zorgling", "w1x"]
+        rows.append((i, " ".join(own)))
+        labels.append((i, int(i % 3 == 0)))
+    rows += [(1000 + i, rows[1][1]) for i in range(50)]
+    labels += [(1000 + i, 1) for i in range(50)]  # one text, fifty times: no word of it is learned
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    learned = {(n, h): w for n, h, kind, w in model.lexicon if kind == toxicity.INSULT} | {}
+    fixed = {(n, h) for n, h, _, _ in toxicity.fixed_lexicon()}
+    texts = {rows[i][1]: labels[i][1] for i in range(300)}
+    both = [(set(t.split()), y) for t, y in texts.items()] + [(set(rows[1][1].split()), 1)]
+    pos, neg = sum(y for _, y in both), sum(1 - y for _, y in both)
+    want = {}
+    for word in ("zorgling", "w1x", rows[1][1].split()[0]):
+        p, n = sum(word in s for s, y in both if y), sum(word in s for s, y in both if not y)
+        h = words_of(pa.array([word]), ALNUM, lower=True).hashes()[0]
+        want[word] = (None, int(h)), np.log((p + 0.5) / (pos + 1) / ((n + 0.5) / (neg + 1)))
+    assert learned[want["zorgling"][0]] == pytest.approx(want["zorgling"][1])
+    assert want[rows[1][1].split()[0]][0] not in set(learned) - fixed
+    again = toxicity.train(docs.repartition(2), spark.createDataFrame(labels, "doc_id long, toxic int").repartition(3))
+    assert again == model
+
+
 def test_toxicity_of_awkward_rows(spark):
     got = toxicity.score(frame(spark, clashes=True)).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in documents())
