@@ -8,47 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmart import rules
-from jobmart.functions.text import WORD, escape
+from jobmart.functions.automaton import A_WORD, NO_WORD, is_word, keyword_list
 
 
-def _is_word(ch: str) -> bool:
-    return ch.isalnum() or ch == "_"
-
-
-def _edges(keyword: str, legacy: bool) -> tuple[str, str]:
-    """Conditions on the characters around a keyword.
+def _beside(ch: str, legacy: bool) -> int:
+    """What must stand next to a keyword that begins or ends with ``ch``.
 
     Default: no letter or digit on either side, so "C++" and ".NET" are found as words.
     ``legacy`` is a word boundary on both sides, which *needs* a letter or digit next to a
     symbol: "C++ " is not found, "c++11" is.
     """
-    before, after = rf"(?<![{WORD}])", rf"(?![{WORD}])"
-    if legacy and not _is_word(keyword[0]):
-        before = rf"(?<=[{WORD}])"
-    if legacy and not _is_word(keyword[-1]):
-        after = rf"(?=[{WORD}])"
-    return before, after
-
-
-def skill_pattern(keywords: Sequence[str], legacy: bool = False) -> str:
-    """One pattern for all keywords, longest first.
-
-    The match is zero-width with the keyword captured, so overlapping keywords ("big data
-    warehouse") are found in a single pass over the text.  Keywords are grouped by their first
-    character, and a position that starts none of them is left at once.
-    """
-    words = sorted({k.lower() for k in keywords}, key=lambda w: (-len(w), w))
-    groups: dict[str, dict[str, list[str]]] = {}
-    for word in words:
-        before, after = _edges(word, legacy)
-        groups.setdefault(before, {}).setdefault(word[0], []).append(escape(word[1:]) + after)
-    # The condition on the character before is costly, so it stands once in front of its keywords.
-    options = "|".join(
-        before + "(?:" + "|".join(f"{escape(first)}(?:{'|'.join(rest)})" for first, rest in firsts.items()) + ")"
-        for before, firsts in groups.items()
-    )
-    starts = "".join(sorted({escape(word[0]) for word in words}))
-    return f"(?=[{starts}])(?=({options}))"
+    return A_WORD if legacy and not is_word(ch) else NO_WORD
 
 
 def extract_skills(
@@ -56,34 +26,9 @@ def extract_skills(
 ) -> Column:
     """Keywords that occur as whole words in the texts, in keyword-list order.
 
-    A keyword hidden by a longer one at the same place ("sql" by "sql server") counts too.
+    A keyword inside a longer one ("sql" in "sql server") counts too.  All keywords are found in one pass over
+    the text (in Arrow batches), whose cost does not depend on their number.
     """
-    found = F.regexp_extract_all(
-        F.lower(F.concat_ws(" ", *texts)), F.lit(skill_pattern(keywords, legacy)), F.lit(1)
-    )
-    # Found word → the keywords it stands for, with their place in the list.  A constant, so the
-    # work per row depends on the words found and not on the length of the keyword list.
-    stands_for: dict[str, list[tuple[int, str]]] = {k.lower(): [] for k in keywords}
-    for at, keyword in enumerate(keywords):
-        for word, entries in stands_for.items():
-            if word == keyword.lower() or (
-                word.startswith(keyword.lower()) and _ends_inside(keyword.lower(), word, legacy)
-            ):
-                entries.append((at, keyword))
-    table = F.expr("map(" + ", ".join(
-        f"{_quoted(word)}, array(" + ", ".join(f"struct({at} AS at, {_quoted(k)} AS name)" for at, k in entries) + ")"
-        for word, entries in stands_for.items()
-    ) + ")")
-    hits = F.flatten(F.transform(F.array_distinct(found), lambda word: F.try_element_at(table, word)))
-    return F.transform(F.array_sort(F.array_distinct(hits)), lambda hit: hit["name"])
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _ends_inside(word: str, longer: str, legacy: bool) -> bool:
-    next_is_word = _is_word(longer[len(word)])
-    if legacy and not _is_word(word[-1]):
-        return next_is_word
-    return not next_is_word
+    words = list(dict.fromkeys(keywords))
+    return keyword_list(
+        F.lower(F.concat_ws(" ", *texts)), words, [_beside(k[0], legacy) for k in words], [_beside(k[-1], legacy) for k in words])

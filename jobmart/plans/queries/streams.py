@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobmart import rules, schemas
-from jobmart.operators import dedup
+from jobmart.operators import dedup, merge
 from jobmart.plans import jobs as plan_jobs
 from jobmart.plans.queries.base import PHRASES, PLACES, TITLES, pick, query, sql_labels, sql_pick, table
 from jobmart.scratch import fresh_path
@@ -210,3 +210,21 @@ def lake_rebuild(spark, folder):
     """Batch layer: newest row per key over the whole history."""
     rows = table(spark, folder, "events").select(F.col("user_id").alias("url"), "event_id")
     return dedup.drop_duplicate_urls(rows, newest="event_id")
+
+
+# Three increments: the history, all newer days of some users, and one user only.
+_INCREMENTS = ("day <= 15", "day > 15 AND user_id % 3 = 0", "user_id = 7")
+
+
+@query(
+    "lake_merge_buckets",
+    "SELECT user_id AS url, max(event_id) AS event_id FROM (SELECT *, day(ts) AS day FROM events) WHERE " + " OR ".join(_INCREMENTS).replace("day > 15 AND user_id % 3 = 0", "(day > 15 AND user_id % 3 = 0)") + " GROUP BY 1",
+)
+def lake_merge_buckets(spark, folder):
+    """Increments merged into a table kept in buckets of the key; a bucket without news is neither read whole nor written."""
+    path = fresh_path(spark, "buckets")
+    rows = table(spark, folder, "events").withColumn("day", F.dayofmonth("ts"))
+    for test in _INCREMENTS:
+        new = rows.filter(test).select(F.col("user_id").alias("url"), "event_id")
+        merge.merge_newest(spark, new, path, newest="event_id", buckets=16)
+    return merge.read_buckets(spark, path, 16).select("url", "event_id")
