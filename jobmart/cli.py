@@ -7,7 +7,7 @@ import json
 
 from jobmart.plans import jobs
 from jobmart.session import build_session
-from jobmart.sources.readers import kafka_options
+from jobmart.sources.readers import kafka_options, kafka_stream
 from jobmart.sources.writers import jdbc_options, search_options
 from jobmart.streaming import jobs as stream_jobs
 
@@ -33,6 +33,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--jdbc-driver")
     command("warehouse", "source", "output")
     command("rebuild", "lake", "output")
+    sub = command("merge", "lake", "output")
+    sub.add_argument("--since", metavar="DAY")
     command("train", "clean", "model")
     command("predict", "clean", "model", "output")
     sub = command("stream", "servers", "topic", "checkpoint")
@@ -58,15 +60,16 @@ def main(arguments: list[str] | None = None) -> None:
         jobs.warehouse_job(spark, a.source, a.output)
     elif a.command == "rebuild":
         jobs.rebuild_job(spark, a.lake, a.output)
+    elif a.command == "merge":
+        print(json.dumps(jobs.merge_job(spark, a.lake, a.output, since=a.since)))
     elif a.command == "train":
         print(json.dumps(jobs.train_job(spark, a.clean, a.model)))
     elif a.command == "predict":
         jobs.predict_job(spark, a.clean, a.model, a.output)
     elif a.command == "stream":
         search = search_options(a.search_index, a.search_nodes) if a.search_nodes else None
-        stream_jobs.run_until_one_stops(
-            spark, kafka_options(a.servers, a.topic), a.checkpoint, a.lake, search, a.every
-        )
+        raw = kafka_stream(spark, kafka_options(a.servers, a.topic))
+        print(json.dumps(stream_jobs.run_until_one_stops(spark, raw, a.checkpoint, a.lake, search, every=a.every)))
 
 
 if __name__ == "__main__":

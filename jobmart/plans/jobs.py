@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart import schemas
-from jobmart.operators import dedup, pages, quality, shape
+from jobmart.operators import dedup, merge, pages, quality, shape
 from jobmart.plans import adverts, models, warehouse
 from jobmart.scratch import materialise
 from jobmart.sources import readers, writers
@@ -110,3 +110,15 @@ def rebuild_job(
         rows = rows.filter(F.col("event_date") >= F.lit(since).cast("date")) if since else rows
     rows = merge_newest(rows, earlier, newest)
     writers.write_parquet(rows.withColumn("batch_processed_at", F.current_timestamp()), output)
+
+
+def merge_job(
+    spark: SparkSession, lake: str, output: str, newest: str = "crawled_ts", since: str | None = None, buckets: int = merge.BUCKETS,
+) -> list[int]:
+    """Batch layer in increments: lake folders from the day ``since`` on, merged into a table kept in buckets of the url.
+
+    Unlike ``rebuild_job`` it does not rewrite the history: only buckets with new or newer urls are, and they are returned.
+    """
+    rows = spark.read.parquet(lake)
+    rows = rows.filter(F.col("event_date") >= F.lit(since).cast("date")) if since else rows
+    return merge.merge_newest(spark, rows.withColumn("batch_processed_at", F.current_timestamp()), output, newest=newest, buckets=buckets)

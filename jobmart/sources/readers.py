@@ -80,12 +80,18 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 
 def json_file_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession, folder: str, schema: T.StructType, max_files: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """Folder of landed JSON-lines micro-batches as a stream."""
+    """Folder of landed JSON-lines micro-batches as a stream.
+
+    With ``archive`` (a folder outside ``folder``) files move there once the batches after theirs begin, so the
+    folder to list stays small.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(folder)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jobmart import schemas
 from jobmart.sources import readers
-from jobmart.streaming import sinks, transforms
+from jobmart.streaming import recovery, sinks, transforms
 
 
 def adverts_from_messages(raw: DataFrame, exact: bool = True, delay: str = "1 hour") -> DataFrame:
@@ -48,12 +48,13 @@ def start(
 
 
 def run_until_one_stops(
-    spark: SparkSession, kafka: Mapping[str, str], checkpoint: str, lake: str | None = None,
-    search: Mapping[str, str] | None = None, every: str = "1 minute",
-) -> None:
-    rows = adverts_from_messages(readers.kafka_stream(spark, kafka))
-    start(rows, checkpoint, lake=lake, search=search, console=True, every=every)
-    spark.streams.awaitAnyTermination()
+    spark: SparkSession, raw: DataFrame, checkpoint: str, lake: str | None = None,
+    search: Mapping[str, str] | None = None, counts: str | None = None, console: bool = True, every: str = "1 minute",
+) -> list[dict]:
+    """Adverts from ``raw`` messages (a topic or landed files) to all sinks under supervision; reports how the queries ended."""
+    rows = adverts_from_messages(raw)
+    return recovery.supervise(spark, {
+        "adverts": lambda: start(rows, checkpoint, lake=lake, search=search, console=console, counts=counts, every=every)[0]})
 
 
 def rows_dropped_as_late(query: StreamingQuery) -> int:
