@@ -1,37 +1,41 @@
 """Benchmark decontamination by a broadcast set of test n-grams.
 
 Items are normalised (A-Z to lower case, words of letters and digits) and cut into windows of ``width``
-words; a shorter item is one window.  The hashes of the windows are broadcast in blocks of at most
-``BLOCK`` windows, a fixed bound: a larger benchmark takes several passes over the documents, one for each
-block.  A pass rolls a hash over the words of each whole document and looks it up; hits are verified word by
-word.  No document is shuffled.
+words; a shorter item is one window.  The windows are broadcast as sorted hash arrays with their words, in blocks
+of at most ``BLOCK`` windows and ``BLOCK_BYTES`` bytes.  One map pass over the documents rolls a hash over the words of each
+whole document; hits are verified word by word.  A task holds about ``HELD_BYTES`` of texts and looks the blocks up
+one after the other, each loaded and dropped again, so a benchmark of any size takes the same plan and the same memory.
+No document is shuffled or written.
+
+A window carries the number of its item set, not the items: a template that a third of all items share is a number
+in the broadcast and in the marks.  ``with_items`` joins the items afterwards, once for each combination of sets.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobmart.llm.common import small_batches
-from jobmart.llm.words import ALNUM, rolling, words_of
+from jobmart.llm.words import ALNUM, Words, rolling, words_of
 from jobmart.scratch import materialise
 
 WIDTH = 13
 BLOCK = 1 << 17
+BLOCK_BYTES = 16 << 20
+HELD_BYTES = 16 << 20
 _FILTER_BITS = 20
 
 
-def test_windows(benchmark: DataFrame, width: int = WIDTH, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``length, hash, words, items``: one row per distinct window, with all items that have it.
-
-    Items without words or text have no window; items without an id count under the empty id.
-    """
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w, ids = words_of(batch.column(1), ALNUM, lower=True), batch.column(0).to_pylist()
             h, rows = w.hashes(), []
@@ -41,100 +45,151 @@ def test_windows(benchmark: DataFrame, width: int = WIDTH, key: str = "item_id",
                     words = [w.text(i).decode() for i in range(w.first[d], w.first[d + 1])]
                     hashes = rolling(h[w.first[d]:w.first[d + 1]], k).view(np.int64)
                     rows += [(k, int(x), " ".join(words[i:i + k]), ids[d]) for i, x in enumerate(hashes)]
-            yield pa.RecordBatch.from_pylist([dict(zip(("length", "hash", "words", "item"), r, strict=True)) for r in rows], _CUT)
+            yield pa.RecordBatch.from_pylist([dict(zip(("length", "hash", "words", "item"), r, strict=True)) for r in rows], _WINDOW)
+    return run
+
+
+_WINDOW = pa.schema([("length", pa.int32()), ("hash", pa.int64()), ("words", pa.string()), ("item", pa.string())])
+
 
+def test_windows(benchmark: DataFrame, width: int = WIDTH, key: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``length, hash, words, set``, a row per distinct window, and ``set, items`` (sorted), a row per distinct item set.
+
+    Items without words or text have no window; items without an id count under the empty id.
+    """
     source = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
-    return source.mapInArrow(cut, "length int, hash long, words string, item string").groupBy("length", "hash", "words").agg(
-        F.collect_set("item").alias("items"))
+    windows = materialise(source.mapInArrow(_cut(width), "length int, hash long, words string, item string").groupBy("length", "hash", "words").agg(
+        F.sort_array(F.collect_set("item")).alias("items")))
+    sets = materialise(windows.select("items").distinct().withColumn("set", F.monotonically_increasing_id()))
+    return materialise(windows.join(sets, "items").select("length", "hash", "words", "set")), sets
 
 
-_CUT = pa.schema([("length", pa.int32()), ("hash", pa.int64()), ("words", pa.string()), ("item", pa.string())])
+def _packed(rows: pa.Table) -> bytes:
+    """A block as arrays: for each window length sorted hashes, sets, and the words one after the other."""
+    length, hashes = rows["length"].to_numpy(), rows["hash"].to_numpy().view(np.uint64)
+    order = np.lexsort((hashes, length))
+    words = [x.encode() for x in rows["words"].take(pa.array(order)).to_pylist()]
+    out = io.BytesIO()
+    np.savez(out, length=length[order], hashes=hashes[order], sets=rows["set"].to_numpy()[order],
+             ends=np.cumsum([len(x) for x in words], dtype=np.int64), words=np.frombuffer(b"".join(words), np.uint8))
+    return out.getvalue()
 
 
 class _Block:
-    """Lookup of one broadcast block: by window length, sorted hashes and the windows' words and items."""
+    """Lookup of one block."""
 
-    def __init__(self, rows: list) -> None:
-        self.items, self.by_length = [r["items"] for r in rows], {}
-        for length in sorted({r["length"] for r in rows}):
-            own = sorted((r["hash"] % 2**64, r["words"].encode(), i) for i, r in enumerate(rows) if r["length"] == length)
-            hashes = np.array([x[0] for x in own], dtype=np.uint64)
-            seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            seen[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-            self.by_length[length] = (hashes, seen, [x[1] for x in own], [x[2] for x in own])
+    def __init__(self, packed: bytes) -> None:
+        own = np.load(io.BytesIO(packed))
+        length, self.hashes, self.sets, self.words = own["length"], own["hashes"], own["sets"], own["words"].tobytes()
+        self.ends = np.concatenate(([0], own["ends"]))
+        self.ranges = {int(n): (int(np.searchsorted(length, n, "left")), int(np.searchsorted(length, n, "right"))) for n in np.unique(length)}
 
-    def hits(self, w, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """First word, length and number of each test window that occurs."""
+    def hits(self, w: Words, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """First word, length and item set of each test window that occurs."""
         ends = np.repeat(w.first[1:], w.counts())
-        for length, (hashes, seen, words, numbers) in self.by_length.items():
-            rolled = rolling(h, length)
+        for length, (a, b) in self.ranges.items():
+            hashes, rolled = self.hashes[a:b], rolling(h, length)
+            seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
+            seen[hashes >> np.uint64(64 - _FILTER_BITS)] = True
             at = np.flatnonzero(seen[rolled >> np.uint64(64 - _FILTER_BITS)])
             at = at[at + length <= ends[at]]
             place = np.searchsorted(hashes, rolled[at])
-            found = (place < len(hashes)) & (hashes[np.minimum(place, len(hashes) - 1)] == rolled[at])
-            for i, p in zip(at[found], place[found], strict=True):
+            found = hashes[np.minimum(place, len(hashes) - 1)] == rolled[at]
+            for i, p in zip(at[found].tolist(), place[found].tolist(), strict=True):
                 text = b" ".join(w.text(j) for j in range(i, i + length))
                 while p < len(hashes) and hashes[p] == rolled[i]:  # equal hashes stand together
-                    if words[p] == text:
-                        yield i, length, numbers[p]
+                    if self.words[self.ends[a + p]:self.ends[a + p + 1]] == text:
+                        yield i, length, int(self.sets[a + p])
                     p += 1
 
 
-def _scan(block, place: int, keep_text: bool):
-    """Appends number of words, hit words (one bit each) and items to each row; the text is column ``place``."""
+def _loaded(block: Broadcast) -> _Block:
+    """The block, whose bytes the worker does not keep."""
+    look = _Block(block.value)
+    block.__dict__.pop("_value", None)  # read from the executor's copy again when the next texts come
+    return look
+
+
+def _held(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[list[pa.RecordBatch]]:
+    """Small batches, several together up to ``HELD_BYTES`` of text."""
+    held, size = [], 0
+    for batch in small_batches(batches, place):
+        held.append(batch)
+        size += batch.column(place).nbytes
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _scan(blocks: list[Broadcast], place: int, keep_text: bool):
+    """Appends number of words, hit words (one bit each) and item sets to each row; the text is column ``place``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _Block(block.value)
-        for batch in small_batches(batches, place):
-            w = words_of(batch.column(place), ALNUM, lower=True)
-            cover, items = np.zeros(len(w.start) + 1, dtype=np.int32), [set() for _ in range(w.n_docs)]
-            for i, length, number in look.hits(w, w.hashes()):
-                cover[i] += 1
-                cover[i + length] -= 1
-                items[int(np.searchsorted(w.first, i, "right")) - 1].update(look.items[number])
-            hit = np.cumsum(cover[:-1]) > 0
-            packed = [np.packbits(hit[a:b]).tobytes() if items[d] else b"" for d, (a, b) in enumerate(zip(w.first, w.first[1:], strict=False))]
-            kept = [i for i in range(batch.num_columns) if keep_text or i != place]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in kept], pa.array(w.counts(), pa.int64()), pa.array(packed, pa.binary()),
-                 pa.array([sorted(s) for s in items], pa.list_(pa.string()))],
-                [*[batch.schema.names[i] for i in kept], "_n", "_hits", "_items"])
+        for held in _held(batches, place):
+            state = []
+            for batch in held:
+                w = words_of(batch.column(place), ALNUM, lower=True)
+                state.append((w, w.hashes(), np.zeros(len(w.start) + 1, dtype=np.int32), [set() for _ in range(w.n_docs)]))
+            for block in blocks:
+                look = _loaded(block)
+                for w, h, cover, sets in state:
+                    for i, length, number in look.hits(w, h):
+                        cover[i] += 1
+                        cover[i + length] -= 1
+                        sets[int(np.searchsorted(w.first, i, "right")) - 1].add(number)
+            for batch, (w, _, cover, sets) in zip(held, state, strict=True):
+                hit = np.cumsum(cover[:-1]) > 0
+                packed = [np.packbits(hit[a:b]).tobytes() if sets[d] else b"" for d, (a, b) in enumerate(zip(w.first, w.first[1:], strict=False))]
+                kept = [i for i in range(batch.num_columns) if keep_text or i != place]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(i) for i in kept], pa.array(w.counts(), pa.int64()), pa.array(packed, pa.binary()),
+                     pa.array([sorted(s) for s in sets], pa.list_(pa.int64()))],
+                    [*[batch.schema.names[i] for i in kept], "_n", "_hits", "_sets"])
     return run
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """One row from the rows of several blocks."""
-    hits = [np.frombuffer(x, np.uint8) for x in table["_hits"].to_pylist() if x]
-    both = np.bitwise_or.reduce(hits).tobytes() if hits else b""
-    items = sorted({i for x in table["_items"].to_pylist() for i in x})
-    out = table.slice(0, 1)
-    out = out.set_column(out.schema.get_field_index("_hits"), "_hits", pa.array([both], pa.binary()))
-    return out.set_column(out.schema.get_field_index("_items"), "_items", pa.array([items], pa.list_(pa.string())))
+_ADDED = ("_n", "_hits", "_sets")
+
+
+def _mark(docs: DataFrame, windows: DataFrame, block: int, text: str, keep_text: bool) -> DataFrame:
+    spark = docs.sparkSession
+    names = [c for c in docs.columns if c not in _ADDED]
+    source = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(names)])
+    place = names.index(text)
+    schema = T.StructType([f for i, f in enumerate(source.schema.fields) if keep_text or i != place] + [
+        T.StructField("_n", T.LongType()), T.StructField("_hits", T.BinaryType()), T.StructField("_sets", T.ArrayType(T.LongType()))])
+    total, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    parts = max(1, -(-total // block), -(-size // BLOCK_BYTES))
+    blocks = []
+    for b in range(parts):  # the driver holds one block at a time
+        rows = windows.filter(F.pmod(F.xxhash64("hash"), F.lit(parts)) == b).toArrow()
+        blocks.append(spark.sparkContext.broadcast(_packed(rows)))
+    marked = source.mapInArrow(_scan(blocks, place, keep_text), schema)
+    return marked.select(*[F.col(f"d_{i}").alias(c) for i, c in enumerate(names) if keep_text or i != place], *_ADDED)
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block: int = BLOCK, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``_n`` (words), ``_hits`` (a bit per word, empty without a hit) and ``_items`` (sorted ids).
+    """``docs`` with ``_n`` (words), ``_hits`` (a bit per word, empty without a hit) and ``_sets`` (numbers of item sets).
 
     A null text has no words.  Columns of those three names are replaced.  Rows are kept as they are,
     repeated ones too; an empty benchmark gives no hits.
     """
-    spark = docs.sparkSession
-    names = [c for c in docs.columns if c not in ("_n", "_hits", "_items")]
-    windows = materialise(test_windows(benchmark, width))
-    blocks = max(1, -(-windows.count() // block))
-    source = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(names)])
-    if blocks > 1:
-        source = materialise(source.withColumn("_row", F.monotonically_increasing_id()))
-    place, found = names.index(text), None
-    schema = T.StructType([f for i, f in enumerate(source.schema.fields) if keep_text or i != place] + [
-        T.StructField("_n", T.LongType()), T.StructField("_hits", T.BinaryType()), T.StructField("_items", T.ArrayType(T.StringType()))])
-    for b in range(blocks):
-        rows = windows.filter(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b).collect()  # about `block` rows
-        one = source.mapInArrow(_scan(spark.sparkContext.broadcast([r.asDict() for r in rows]), place, keep_text), schema)
-        found = one if found is None else found.unionByName(one)
-    if blocks > 1:
-        found = found.groupBy("_row").applyInArrow(_merge, found.schema)
-    return found.select(
-        *[F.col(f"d_{i}").alias(c) for i, c in enumerate(names) if keep_text or i != place], "_n", "_hits", "_items")
+    return _mark(docs, test_windows(benchmark, width)[0], block, text, keep_text)
+
+
+def mark_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block: int = BLOCK, text: str = "text") -> DataFrame:
+    """``docs`` without the text, with ``_n``, ``_hits`` and ``_items``: the sorted ids of all items of which a window occurs.
+
+    The items are put together once for each different combination of sets, then joined to the rows, which have no text.
+    """
+    windows, sets = test_windows(benchmark, width)
+    marked = materialise(_mark(docs, windows, block, text, keep_text=False))
+    combinations = marked.select(F.col("_sets").alias("_combination")).filter(F.size("_combination") > 0).distinct()
+    items = combinations.withColumn("set", F.explode("_combination")).join(sets, "set").groupBy("_combination").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"))
+    joined = marked.join(items, F.col("_sets") == F.col("_combination"), "left")
+    return joined.withColumn("_items", F.coalesce("_items", F.array().cast("array<string>"))).drop("_sets", "_combination")
 
 
 def n_hit() -> Column:

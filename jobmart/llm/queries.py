@@ -57,7 +57,7 @@ c AS (SELECT conv_id, count(*) AS n_turns,
     list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
   FROM t GROUP BY conv_id),
 d AS (SELECT min(conv_id) AS conv_id, n_turns, text, turns, count(*) AS n_equal FROM c GROUP BY n_turns, text, turns),
-x AS (SELECT DISTINCT turns[1:k] AS turns FROM d, range(1, 100) r(k) WHERE k < n_turns)
+x AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM d))
 SELECT conv_id, n_turns::INTEGER AS n_turns, n_equal, text FROM d ANTI JOIN x USING (turns)
 """)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,9 +105,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_decontaminate", """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
-t AS (SELECT DISTINCT item_id, least(13, len(w)) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS x
-  FROM b, range(1, 100000) r(i) WHERE len(w) > 0 AND i <= len(w) - least(13, len(w)) + 1),
-o AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM d, (SELECT DISTINCT k FROM t), range(1, 100000) r(i) WHERE i <= len(w) - k + 1),
+t AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS x
+  FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+o AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS x
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM t))),
 h AS (SELECT doc_id, i, k, item_id FROM o JOIN t USING (k, x)),
 p AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT doc_id, i, k FROM h)) GROUP BY doc_id),
 g AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
@@ -117,7 +118,7 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN g USING (doc_id)
 """)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    marked = decontaminate.mark(docs, table(spark, folder, "benchmark"), keep_text=False)
+    marked = decontaminate.mark_items(docs, table(spark, folder, "benchmark"))
     return marked.select(
         "doc_id", F.col("_n").alias("n_words"), decontaminate.n_hit().alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
         decontaminate.digest().alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
@@ -125,7 +126,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_substring_dedup", """
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-o AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS x FROM d, range(1, 100000) r(i) WHERE i <= len(w) - 34),
+o AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
 h AS (SELECT doc_id, i FROM o WHERE x IN (SELECT x FROM o GROUP BY x HAVING count(*) > 1)),
 p AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM h) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
@@ -140,7 +141,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_ngram_join", """
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS x FROM d, range(1, 100000) r(i) WHERE len(w) > 0 AND i <= greatest(len(w) - 2, 1)),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b USING (x) WHERE a.doc_id < b.doc_id GROUP BY ALL),
 l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),

@@ -96,7 +96,9 @@ ITEMS = [(1, "W1é w2"), (2, None), (3, ""), (10, "one two"), (None, "Aa-bB.cC")
 @pytest.mark.parametrize(("width", "block"), [(13, 1 << 17), (3, 1 << 17), (13, 20), (2, 7)])
 def test_marks(spark, width, block):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
-    marked = decontaminate.mark(frame(spark, clashes=True), benchmark, width, block)
+    marked = decontaminate.mark_items(frame(spark, clashes=True), benchmark, width, block)
+    plan = decontaminate.mark(frame(spark), benchmark, width, block)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan[:plan.index("MapInArrow")]  # one pass, however many blocks
     got = marked.select("doc_id", "_n", decontaminate.n_hit(), F.array_join("_items", ","), decontaminate.contaminated())
     assert Counter(map(tuple, got.collect())) == brute_marks(documents(), ITEMS, width)
 
