@@ -188,8 +188,9 @@ def mark_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block:
     combinations = marked.select(F.col("_sets").alias("_combination")).filter(F.size("_combination") > 0).distinct()
     items = combinations.withColumn("set", F.explode("_combination")).join(sets, "set").groupBy("_combination").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"))
-    joined = marked.join(items, F.col("_sets") == F.col("_combination"), "left")
-    return joined.withColumn("_items", F.coalesce("_items", F.array().cast("array<string>"))).drop("_sets", "_combination")
+    none = marked.filter(F.size("_sets") == 0).withColumn("_items", F.array().cast("array<string>"))  # most rows: not sent to one key
+    joined = marked.join(items, F.col("_sets") == F.col("_combination")).drop("_combination")
+    return none.unionByName(joined).drop("_sets")
 
 
 def n_hit() -> Column:
