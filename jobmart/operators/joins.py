@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators.layout import estimated_bytes
-from jobmart.scratch import materialise
+from jobmart.scratch import fresh_path, materialise
 from jobmart.session import CBO_CONF
 
 # Largest estimated size of a table that may be copied to every executor.  The estimate of a file
@@ -67,6 +68,39 @@ def three_way_sql(spark: SparkSession, **names: str) -> DataFrame:
     return spark.sql(THREE_WAY_SQL.format(**names))
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings while the block runs; what was set before, or not set, is restored."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@contextmanager
+def analysed_tables(spark: SparkSession, **tables: DataFrame) -> Iterator[dict[str, str]]:
+    """Catalog tables with histograms of all columns, by the names given, while the block runs.
+
+    The rows lie below the shared folder under names of their own; only the catalog entries are dropped.
+    """
+    names = {}
+    try:
+        for name, df in tables.items():
+            path = fresh_path(spark, f"analysed-{name}")
+            names[name] = f"jobmart_{name}_{path.rpartition('-')[2]}"
+            df.write.option("path", path).saveAsTable(names[name])
+        with settings(spark, {"spark.sql.statistics.histogram.enabled": "true"}):
+            collect_statistics(spark, *names.values())
+        yield names
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def explode_skills(df: DataFrame, row_id: str, skills: str = "skills") -> DataFrame:
     """One row per (row, skill), each skill once per row."""
     return df.select(row_id, F.explode(F.array_distinct(skills)).alias("skill"))

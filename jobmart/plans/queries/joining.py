@@ -8,6 +8,8 @@ from jobmart.operators import joins, pages
 from jobmart.plans.queries.base import (
     JOB_SKILLS_SQL, RESUME_SKILLS_SQL, job_skills, query, resume_skills, table,
 )
+from jobmart.scratch import materialise
+from jobmart.session import CBO_CONF
 
 
 @query(
@@ -71,6 +73,18 @@ def join_three_way_sql(spark, folder):
     )
 
 
+CBO_SQL = """SELECT l_orderkey, l_linenumber, p_name AS role, s_name AS company
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey WHERE s_acctbal > 9000"""
+
+
+@query("join_three_way_cbo", CBO_SQL.format(lineitem="lineitem", part="part", supplier="supplier"))
+def join_three_way_cbo(spark, folder):
+    """The written order joins all roles first; the statistics say that few companies are left, so they go first."""
+    given = {name: table(spark, folder, name) for name in ("lineitem", "part", "supplier")}
+    with joins.analysed_tables(spark, **given) as names, joins.settings(spark, CBO_CONF):
+        return materialise(spark.sql(CBO_SQL.format(**names)))  # planned and run while tables and settings are there
+
+
 @query(
     "skill_explode_join",
     f"""WITH {JOB_SKILLS_SQL}, {RESUME_SKILLS_SQL}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import functions as F
 
 from jobmart import rules
@@ -12,6 +14,7 @@ from jobmart.plans.queries.base import (
     ADVERTS_SQL, DESCRIPTIONS_SQL, JOB_SKILLS_SQL, POSTINGS_SQL, RESUME_SKILLS_SQL, adverts,
     descriptions, job_skills, postings, query, resume_skills, sql_labels, table,
 )
+from jobmart.scratch import counting_reads, persisted
 
 _MEAN = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE) / count({0})"
 _LEVEL = sql_labels("lower(coalesce(title, ''))", rules.LEVELS, f"'{rules.LEVEL_OTHER}'")
@@ -290,3 +293,17 @@ def training_rows(spark, folder):
     pay = F.when(key % 3 > 0, F.concat((key % 40 + 1).cast("string"), F.lit(" - "), (key % 40 + 9).cast("string"), F.lit(" tr")))
     rows = postings(spark, folder).select("advert_id", salary.salary_range(pay).alias("s")).select("advert_id", "s.*")
     return shape.with_salary_label(rows).select("advert_id", "salary_label")
+
+
+@query("cache_reuse", "SELECT plan, times * count(*) AS rows_read FROM orders, (VALUES ('uncached', 2), ('cached', 1)) v(plan, times) GROUP BY plan, times")
+def cache_reuse(spark, folder):
+    """Rows read by two reports of the same table: twice without a cache, once with it."""
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    read = {}
+    for plan in ("uncached", "cached"):
+        counted, counter = counting_reads(rows)
+        with persisted(counted) if plan == "cached" else nullcontext(counted) as source:
+            for column in ("o_orderpriority", "o_orderstatus"):
+                analytics.count_by(source, column).collect()
+        read[plan] = counter.value
+    return spark.createDataFrame(list(read.items()), "plan string, rows_read long")

@@ -13,6 +13,7 @@ from jobmart.plans import warehouse
 from jobmart.plans.queries.base import (
     ADVERTS_SQL, PHRASES, PLACES, TITLES, adverts, pick, query, sql_labels, sql_pick, table,
 )
+from jobmart.scratch import materialise
 
 _FIXED = [(label, [word]) for word, label in rules.with_trap_rules_first(rules.PROVINCES)]
 
@@ -118,7 +119,7 @@ _CITY = sql_labels("lower(coalesce(location_raw, ''))", _FIXED, "'Khác'")
 )
 def star_fact(spark, folder):
     """Facts with every key resolved against its dimension."""
-    rows = _canonical(spark, folder)
+    rows = materialise(_canonical(spark, folder))  # the fact and its dimensions read the normalised rows, not the raw ones
     fact = warehouse.fact_job_postings(rows)
     job = warehouse.dim_job(rows).select("job_id", "job_title", "required_skills")
     firm = warehouse.dim_company(rows, "company", "source", "source").select("company_id", "company_name")

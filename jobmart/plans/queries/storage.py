@@ -171,3 +171,19 @@ def predictions_json(spark, folder):
         "o_orderkey", F.col("o_totalprice").alias("stated_salary"), round_to_ten_thousand(F.col("o_totalprice") * 1.1).alias("predicted_salary"))
     writers.write_json(rows, path)
     return readers.read_json(spark, path, rows.schema)
+
+
+@query(
+    "source_variant",
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 2 THEN c_name END AS c_name, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END AS c_acctbal,
+ CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 3 = 2 THEN c_nationkey END AS nation FROM customer""",
+)
+def source_variant(spark, folder):
+    """Records of three shapes, one of them nested, read without a schema; the columns come from one aggregation."""
+    rows, path = table(spark, folder, "customer"), fresh_path(spark, "variant")
+    nested = F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+    shapes = [["c_custkey", "c_name", "c_acctbal"], ["c_custkey", "c_name"], ["c_custkey", nested.alias("more")]]
+    for i, columns in enumerate(shapes):
+        writers.write_json(rows.filter(F.col("c_custkey") % 3 == i).select(*columns), f"{path}/{i}")
+    found = readers.variant_columns(readers.read_json_variant(spark, f"{path}/*"))
+    return found.select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"), "more.segment", "more.nation")

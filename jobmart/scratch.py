@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import Accumulator, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,3 +43,18 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield cached
     finally:
         cached.unpersist()
+
+
+def counting_reads(df: DataFrame) -> tuple[DataFrame, Accumulator]:
+    """``df``, and a counter of the rows that actions have read from it: cached rows count once, recomputed ones again.
+
+    Rows pass through in Arrow batches.  A retried task counts its rows again, so the counter is for reports.
+    """
+    counter = df.sparkSession.sparkContext.accumulator(0)
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(through, df.schema), counter

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,31 @@ def import_dataset(
     ])
 
 
+def read_json_variant(spark: SparkSession, path: str | Sequence[str], payload: str = "payload") -> DataFrame:
+    """JSON lines as one VARIANT column, without a schema or a pass to infer one; lines that are not JSON give NULL."""
+    return spark.read.text(path).select(F.try_parse_json("value").alias(payload))
+
+
+def variant_schema(rows: DataFrame, payload: str = "payload") -> T.StructType:
+    """Schema that all records of a VARIANT column share: one aggregation, with the partial schemas merged before the shuffle.
+
+    Fields that are NULL in every record become text.
+    """
+    found = rows.agg(F.schema_of_variant_agg(payload)).first()[0]
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", found or "VOID")
+    kind = T.DataType.fromDDL(re.sub(r"\bVOID\b", "STRING", ddl))
+    return kind if isinstance(kind, T.StructType) else T.StructType()
+
+
+def variant_columns(rows: DataFrame, schema: T.StructType | None = None, payload: str = "payload") -> DataFrame:
+    """The fields of a VARIANT column as columns, missing ones NULL.  Without ``schema`` it is read off the records."""
+    schema = variant_schema(rows, payload) if schema is None else schema
+    quote = lambda name: '"' if "'" in name else "'"
+    field = lambda name: f"$[{quote(name)}{name}{quote(name)}]"
+    return rows.filter(F.col(payload).isNotNull()).select(*[
+        F.try_variant_get(payload, field(f.name), f.dataType.simpleString()).alias(f.name) for f in schema])
+
+
 def kafka_options(
     servers: str, topic: str, starting_offsets: str = "latest", extra: Mapping[str, str] | None = None
 ) -> dict[str, str]:
