@@ -271,8 +271,8 @@ def salary_parse_stream(spark, folder):
     pay = F.col("salary_raw")
     return postings(spark, folder).select(
         "advert_id",
-        salary.stream_salary_min(pay).alias("salary_min"),
-        salary.stream_salary_max(pay).alias("salary_max"),
+        salary.stream_salary(pay)["salary_min"].alias("salary_min"),
+        salary.stream_salary(pay)["salary_max"].alias("salary_max"),
         salary.first_number_millions(pay).alias("first_number"),
     )
 

@@ -196,6 +196,13 @@ COMPETITIVE = "cạnh tranh"
 USD_RATE = 25_000
 USD_RATE_DISPLAY = 23_500
 USD_RATE_STANDARD = 26_000
+# Words of the display format and of stream messages.
+DISPLAY_UNITS = (("tr", 1_000_000), ("m", 1_000_000), ("k", 1_000))
+DISPLAY_DOLLARS = r"\$|usd"
+DISPLAY_YEARLY = "năm|yr|(?:/|per )year"
+DISPLAY_UP_TO = "tới|to"
+DISPLAY_REFUSAL = "thương lượng|negotiable"
+STREAM_UP_TO = "tới|up to"
 
 # Company recovery from a description: legal form, "X tuyển dụng …", "Tại X, …".
 COMPANY_LEGAL_FORMS = ["Công ty TNHH", "Công ty Cổ phần", "Tập đoàn"]

@@ -16,19 +16,14 @@ EVENT_TIME = "crawled_ts"
 def enrich(messages: DataFrame, shared_parser: bool = True) -> DataFrame:
     """Event time, location, salary bounds, level, skills and processing time.
 
-    ``shared_parser`` uses the batch salary parser; without it the two stream parsers are used.
+    ``shared_parser`` uses the batch salary parser; without it the stream parser is used.
     """
-    pay = F.col("salary")
-    if shared_parser:
-        rows = messages.withColumn("_range", salary.salary_range(pay))
-        low, high = F.col("_range.salary_min"), F.col("_range.salary_max")
-    else:
-        rows, low, high = messages, salary.stream_salary_min(pay), salary.stream_salary_max(pay)
-    return rows.withColumns({
+    parse = salary.salary_range if shared_parser else salary.stream_salary
+    return messages.withColumn("_range", parse(F.col("salary"))).withColumns({
         EVENT_TIME: dates.parse_timestamp(F.col("crawled_at")),
         "location": location.city_stream(F.col("company_location")),
-        "salary_min": low,
-        "salary_max": high,
+        "salary_min": F.col("_range.salary_min"),
+        "salary_max": F.col("_range.salary_max"),
         "level": level.level_stream(F.col("job_title")),
         "skills": skills.extract_skills(
             F.col("job_description"), F.col("job_requirements"), keywords=rules.SKILLS_STREAM
