@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.ml.feature import IDF, OneHotEncoder, Tokenizer
+from pyspark.ml.feature import IDF, OneHotEncoder, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 
 from jobmart.functions import level, location, salary
-from jobmart.plans import models
+from jobmart.plans import model_tables, models
 from jobmart.plans.queries.base import PHRASES, POSTINGS_SQL, adverts, pick, postings, query, table
 from jobmart.scratch import materialise
 
@@ -158,3 +159,35 @@ def ml_accuracy(spark, folder):
     rows = table(spark, folder, "lineitem").select(
         (F.col("l_linenumber") % 3).cast("double").alias("label"), F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("prediction"))
     return spark.createDataFrame([(round(models.accuracy(rows), 6),)], "accuracy double")
+
+
+# ---- fitted models as tables, against what MLlib predicts --------------------------------
+
+
+def _held_out_sql(key: str, seed: int) -> str:
+    return f"('0x' || substr(md5('{seed}-' || {key}), 1, 8))::BIGINT % 10000 >= 8000"
+
+
+@query("forest_as_rows", f"SELECT o_orderkey, false AS differs FROM orders WHERE {_held_out_sql('o_orderkey', 42)}")
+def forest_as_rows(spark, folder):
+    """Held-out orders scored by joins with the nodes of a forest; whether MLlib predicts another price."""
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("price"), F.dayofyear("o_orderdate").alias("day"), F.year("o_orderdate").alias("year"),
+        (F.col("o_custkey") % 50).alias("firm"))
+    inputs = VectorAssembler(inputCols=["day", "year", "firm"], outputCol="features")
+    train, held_out = models.hash_split(materialise(inputs.transform(rows)), F.col("o_orderkey"))
+    forest = RandomForestRegressor(labelCol="price", numTrees=5, seed=7).fit(train)
+    own = model_tables.score_forest(held_out, model_tables.forest_nodes(spark, forest), "o_orderkey")
+    told = forest.transform(held_out).select("o_orderkey", F.col("prediction").alias("told"))
+    differs = F.abs(F.col("prediction") - F.col("told")) > 1e-9 * F.abs("told")
+    return told.join(own, "o_orderkey", "left").select("o_orderkey", F.coalesce(differs, F.lit(True)).alias("differs"))
+
+
+@query("logistic_as_rows", f"SELECT doc_id, false AS differs FROM documents WHERE lang IS NOT NULL AND {_held_out_sql('doc_id', 1234)}")
+def logistic_as_rows(spark, folder):
+    """Held-out documents classified by joins with the weights of the classifier; whether MLlib chooses another class."""
+    train, held_out = models.hash_split(materialise(documents_by_language(spark, folder)), F.col("doc_id"), seed=1234)
+    fitted = models.advert_classifier(STOP_WORDS).fit(train)
+    told = materialise(fitted.transform(held_out).select("doc_id", "features", F.col("prediction").alias("told")))
+    own = model_tables.score_logistic(told, model_tables.logistic_weights(spark, fitted.stages[-1]), "doc_id")
+    return told.join(own, "doc_id", "left").select("doc_id", F.coalesce(F.col("prediction") != F.col("told"), F.lit(True)).alias("differs"))
