@@ -74,7 +74,7 @@ def join_three_way_sql(spark, folder):
 
 
 CBO_SQL = """SELECT l_orderkey, l_linenumber, p_name AS role, s_name AS company
-FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey WHERE s_acctbal > 9000"""
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey WHERE s_acctbal > 5000"""
 
 
 @query("join_three_way_cbo", CBO_SQL.format(lineitem="lineitem", part="part", supplier="supplier"))

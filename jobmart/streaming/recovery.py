@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark import StorageLevel, cloudpickle
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -42,21 +42,18 @@ def split_late(on_time: Writer, late: Writer, marks: str, delay: str, time: str
     """``foreachBatch`` writer that gives rows behind the watermark to ``late`` instead of dropping them.
 
     A row is late if its event time is more than ``delay`` before the newest of all earlier batches, which is the
-    rule of Spark's watermark.  The newest time is observed while the batch is written and kept below
-    ``marks`` by batch, so a restart or a replayed batch splits in the same way.  Rows without event time are on time.
+    rule of Spark's watermark.  The newest time is kept below ``marks`` by batch, so a restart or a replayed
+    batch splits in the same way.  Rows without event time are on time.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _mark_before(spark, marks, batch_id)
         border = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-        seen = Observation()
-        cached = batch.withColumn("_late", F.coalesce(F.col(time) < border, F.lit(False))).observe(
-            seen, F.max(time).alias("mark"), F.count("*").alias("n_rows")).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = batch.withColumn("_late", F.coalesce(F.col(time) < border, F.lit(False))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             on_time(cached.filter(~F.col("_late")).drop("_late"), batch_id)
             late(cached.filter("_late").drop("_late"), batch_id)
-            found = [m for m in (before, seen.get.get("mark")) if m is not None]
-            mark = spark.createDataFrame([(max(found, default=None),)], "mark timestamp")
+            mark = cached.agg(F.greatest(F.max(F.col(time).cast("timestamp")), F.lit(before).cast("timestamp")).alias("mark"))
             mark.write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
         finally:
             cached.unpersist()

@@ -178,7 +178,7 @@ def test_scans_read_only_what_they_need(spark, folder):
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
 
-NO_UDF = ["salary_parse_units", "province_map", "level_maps", "skills_extract", "date_normalise", "company_recover"]
+NO_UDF = ["salary_parse_units", "salary_parse_display", "province_map", "level_maps", "date_normalise", "company_recover"]
 
 
 @pytest.mark.parametrize("name", NO_UDF)
@@ -187,6 +187,12 @@ def test_normalisers_stay_in_the_jvm(spark, folder, name):
     assert "EvalPython" not in text and "InArrow" not in text
 
 
+def test_skills_pass_once_in_arrow_batches(spark, folder):
+    """The automaton needs Python; one batched evaluation for all keywords, never row by row."""
+    text = plan(QUERIES["skills_extract"](spark, folder))
+    assert text.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in text
+
+
 QUIET = [n for n in QUERIES if not n.startswith(("stream", "sink", "salary_model", "advert_class", "materialise", "word_list", "star_fact"))]
 
 
