@@ -119,7 +119,9 @@ _CITY = sql_labels("lower(coalesce(location_raw, ''))", _FIXED, "'Khác'")
 )
 def star_fact(spark, folder):
     """Facts with every key resolved against its dimension."""
-    rows = materialise(_canonical(spark, folder))  # the fact and its dimensions read the normalised rows, not the raw ones
+    # Written once, with the columns that the star needs: the fact and its dimensions read these, not the raw records.
+    rows = materialise(_canonical(spark, folder).select(
+        "url", "title", "company", "source", "city", "level", "skills", "posted_date", "salary_min", "salary_max"))
     fact = warehouse.fact_job_postings(rows)
     job = warehouse.dim_job(rows).select("job_id", "job_title", "required_skills")
     firm = warehouse.dim_company(rows, "company", "source", "source").select("company_id", "company_name")
