@@ -1,8 +1,11 @@
 """Personal data: base patterns, and contextual extraction that is bootstrapped from them.
 
 Base spans (e-mail, IP address, card, phone) are the seeds.  The words next to them, and the key in front of a
-value (``key=value``, ``key:value``), are lexical patterns.  All other tokens are candidates, whatever their
-characters.  Those that look like identifiers (five characters or more, with a digit) have patterns from the
+value (``key=value``, ``key:value``, ``key = "value"``, ``"key" : value``), are lexical patterns.  All other tokens
+are candidates, whatever their characters; of a token that begins with a quotation mark, the value is what stands
+before the closing one.  A candidate behind a key that looks made by a machine (twenty characters or more of
+letters, digits and ``+/_-``, with a letter and a digit) is a presumed secret: it supports patterns like a seed,
+but becomes a span only if the patterns vouch for it.  Those that look like identifiers (five characters or more, with a digit) have patterns from the
 start; of the others, those are fetched from the texts that stand at a pattern of worth.  Spark scores the graph of values and patterns in rounds:
 
 * a pattern is worth the share of its occurrences in the whole corpus that stand next to trusted values, so a
@@ -59,7 +62,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]++")
 _KEY = re.compile(r"([A-Za-z_][A-Za-z0-9_-]*)[=:]+(?=.)")
 _KEY_BYTES = re.compile(_KEY.pattern.encode())
+_SIGNS = re.compile(r"[=:]+")
+_SPACED_KEY = re.compile(r"[a-z_][a-z0-9_-]*")
+_SECRET = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])[A-Za-z0-9+/_-]{20,}")
+_QUOTES = "\"'`"
 _EDGE = "\"'`.,;:!?()[]{}<>|"
+PRESUMED = "?"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -119,12 +127,24 @@ def _shaped(core: str) -> bool:
     return len(core) >= LEAST_LENGTH and any("0" <= c <= "9" for c in core)
 
 
-def _core(text: str, a: int, b: int) -> tuple[int, str, str | None]:
-    """Start and text of the value in a token, and the key in front of it."""
+def _spaced_key(text: str, tokens: list[tuple[int, int]], i: int) -> str | None:
+    """The key of the value in token ``i`` if a token of signs stands between them."""
+    if i < 2 or not _SIGNS.fullmatch(text, *tokens[i - 1]) or _SIGNS.fullmatch(text, *tokens[i]):
+        return None
+    key = _SPACED_KEY.fullmatch(text[slice(*tokens[i - 2])].lower().strip(_EDGE))
+    return key[0] if key else None
+
+
+def _core(text: str, tokens: list[tuple[int, int]], i: int) -> tuple[int, str, str | None]:
+    """Start and text of the value in token ``i``, and the key in front of it."""
+    a, b = tokens[i]
     key = _KEY.match(text, a, b)
     begin = key.end() if key else a
+    close = text.find(text[begin], begin + 1, b) if text[begin] in _QUOTES else -1
+    if close >= 0:
+        begin, b = begin + 1, close
     core = text[begin:b].strip(_EDGE)
-    return text.index(core, begin), core, key[1].lower() if key else None
+    return text.index(core, begin), core, key[1].lower() if key else _spaced_key(text, tokens, i)
 
 
 def _patterns(text: str, tokens: list[tuple[int, int]], before: int, after: int, key: str | None) -> list[str]:
@@ -149,9 +169,10 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         taken.append((a, b))
     for a, k, b in spans:
         i = int(np.searchsorted(starts, a, "right")) - 1
-        key = _KEY.match(text, tokens[i][0]) if i >= 0 else None
-        add(a, b, KINDS[k], key[1].lower() if key and key.end() <= a else None)
-    for a, b in tokens:
+        key = _KEY.match(text, *tokens[i])
+        spaced = None if key else _spaced_key(text, tokens, i)
+        add(a, b, KINDS[k], key[1].lower() if key and key.end() <= a else spaced)
+    for i, (a, b) in enumerate(tokens):
         piece = text[a:b]
         if b - a < LEAST_LENGTH or not any("0" <= c <= "9" for c in piece):
             continue
@@ -159,9 +180,9 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
             reach += 1
         if any(x < b and a < y for x, y in taken[reach:reach + 8]):
             continue
-        begin, core, key = _core(text, a, b)
+        begin, core, key = _core(text, tokens, i)
         if _shaped(core):
-            add(begin, begin + len(core), "", key)
+            add(begin, begin + len(core), PRESUMED if key and _SECRET.fullmatch(core) else "", key)
     return out
 
 
@@ -181,7 +202,7 @@ def plain_instances(text: str, which: list[int]) -> list[tuple[int, int, str, li
         near = bisect_right(ends, a)
         if near < len(starts) and starts[near] < b:
             continue
-        begin, core, key = _core(text, a, b)
+        begin, core, key = _core(text, tokens, i)
         if core and not _shaped(core):
             out.append((begin, begin + len(core), core.lower(), _patterns(text, tokens, i - 1, i + 1, key)))
     return out
@@ -224,6 +245,8 @@ _BYTES = np.arange(256)
 _TRIMMED = np.isin(_BYTES, np.frombuffer(_EDGE.encode(), np.uint8))
 _DIGIT = (_BYTES >= 0x30) & (_BYTES <= 0x39)
 _KEY_START = np.frombuffer(b"_abcdefghijklmnopqrstuvwxyz", np.uint8)
+_QUOTE = np.frombuffer(_QUOTES.encode(), np.uint8)
+_SPACED_BYTES = re.compile(_SPACED_KEY.pattern.encode())
 
 
 def _lowered(column: pa.Array) -> Words:
@@ -237,14 +260,25 @@ def _cores(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of the value in each word, the numbers of words with a key, and hashes of the keys."""
     start, end = w.start.copy(), w.end.copy()
     signs = np.flatnonzero((w.data == 0x3D) | (w.data == 0x3A))
-    at = np.unique(np.searchsorted(w.start, signs, "right") - 1)
+    at, n = np.unique(np.searchsorted(w.start, signs, "right") - 1, return_counts=True)
+    alone = at[n == end[at] - start[at]]
     at = at[np.isin(w.data[start[at]], _KEY_START)]
-    raw, keyed, keys = w.data.tobytes() if len(at) else b"", [], []
+    raw, keyed, keys, edge = w.data.tobytes(), [], [], _EDGE.encode()
     for i in at.tolist():
         if m := _KEY_BYTES.match(raw, int(start[i]), int(end[i])):
             start[i] = m.end()
             keyed.append(i)
             keys.append("\0" + m[1].decode())  # no word of a text starts so
+    doc = w.doc()
+    alone = alone[(alone > 0) & (alone < len(start) - 1) & ~np.isin(alone + 1, [*keyed, *alone.tolist()])]
+    alone = alone[(doc[alone - 1] == doc[alone]) & (doc[alone + 1] == doc[alone])]
+    for i in alone.tolist():
+        if m := _SPACED_BYTES.fullmatch(raw[w.start[i - 1]:w.end[i - 1]].strip(edge)):
+            keyed.append(i + 1)
+            keys.append("\0" + m[0].decode())
+    for i in np.flatnonzero(np.isin(w.data[np.minimum(start, len(w.data) - 1)], _QUOTE)).tolist() if len(start) else []:
+        if (close := raw.find(raw[start[i]:start[i] + 1], int(start[i]) + 1, int(end[i]))) >= 0:
+            start[i], end[i] = start[i] + 1, close
     live = np.arange(len(start))
     while len(live := live[start[live] < end[live]]) and len(live := live[_TRIMMED[w.data[start[live]]]]):
         start[live] += 1
@@ -384,8 +418,11 @@ def trusted_values(
     Also the plain candidates that were fetched from the texts, if any: all occurrences of trusted ones are there.
     """
     one = found.select(F.explode("instances").alias("i"))
-    edges = one.select("i.value", (F.col("i.kind") != "").alias("seed"), F.explode("i.patterns").alias("pattern"))
-    edges = materialise(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.count("*").alias("n")))
+    edges = one.select(
+        "i.value", (F.col("i.kind") != "").alias("seed"), (F.col("i.kind") == PRESUMED).alias("presumed"), F.explode("i.patterns").alias("pattern"))
+    edges = materialise(edges.groupBy("value", "pattern").agg(
+        F.max("seed").alias("seed"), F.max("presumed").alias("presumed"), F.count("*").alias("n")))
+    presumed = edges.filter("presumed").select("value").distinct()
     parts = (found.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES + LEAST_PARTS
     counted = materialise(rows.select("text").mapInArrow(_count_words(parts), _COUNTS))
     strong = 1 - (1 - threshold) ** (1 / 3) - _NONE
@@ -412,7 +449,7 @@ def trusted_values(
         return look_up(value_hashes(values).unionByName(words)).groupBy(F.col("pattern").alias("value")).agg(F.sum("total").alias("total"))
 
     trusted = [edges.filter("seed").select("value").distinct()]
-    totals, sizes, scanned, plain = [], [], [], None
+    vouched, totals, sizes, scanned, plain = presumed.limit(0), [], [], [], None
     while rounds is None or len(trusted) <= rounds:
         sure = _together(trusted)
         links = edges.select("value", "pattern", "n")
@@ -428,7 +465,8 @@ def trusted_values(
             "pattern", (F.col("hits") / (F.greatest("hits", "total") + SMOOTHING)).alias("worth")))
         doubts = F.sum(F.log1p(-F.least("worth", F.lit(0.999)))).alias("doubt")
         doubt = edges.join(worth, "pattern").groupBy("value").agg(doubts)
-        newly = materialise(doubt.filter(1 - F.exp("doubt") >= threshold).select("value").join(sure, "value", "left_anti"))
+        vouched = materialise(doubt.filter(1 - F.exp("doubt") >= threshold).select("value"))
+        newly = materialise(vouched.join(sure, "value", "left_anti"))
 
         wanted = materialise(_unknown(worth.filter(F.col("worth") >= strong).select("pattern"), scanned))
         scanned.append(wanted)
@@ -451,7 +489,7 @@ def trusted_values(
         if more is None and newly.isEmpty():
             break
         trusted.append(newly if more is None else newly.unionByName(more))
-    return _together([trusted[0].limit(0), *trusted[1:]]), plain
+    return _together([vouched.join(presumed, "value", "left_semi"), *trusted[1:]]), plain
 
 
 def find_pii(
@@ -471,7 +509,7 @@ def find_pii(
         rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_find, f"doc_id {kind}, row long, {_FOUND}, bytes long"))
     values, plain = trusted_values(found, rows, rounds, threshold, support)
     span = F.collect_set(F.struct("start", F.lit(len(KINDS) - 1).alias("kind"), "end"))
-    candidates = found.select("row", F.explode("instances").alias("i")).filter(F.col("i.kind") == "").select("row", "i.start", "i.end", "i.value")
+    candidates = found.select("row", F.explode("instances").alias("i")).filter(F.col("i.kind").isin("", PRESUMED)).select("row", "i.start", "i.end", "i.value")
     more = candidates.join(values, "value", "left_semi").groupBy("row").agg(span.alias("more"))
     all_rows = found.drop("instances").join(more, "row", "left")
     if plain is None:

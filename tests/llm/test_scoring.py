@@ -363,6 +363,66 @@ def test_any_characters_can_be_found(spark, monkeypatch):
     assert spans == Counter({v: values[v] for v in expected})
 
 
+def test_keys_and_values_of_words_are_those_of_tokens():
+    rng, pieces = random.Random(9), ["key", '"Key"', "=", ":", "==", "a=b", 'a="b c"', '"x1"###', "'", "''", '""', '"=', "é", "K:", "user=", "x", "(y_2)", ": =", '`q`.', "-"]
+    texts = [rng.choice(["", " "]).join(rng.choices([*pieces, " ", "  "], k=rng.randrange(12))) for _ in range(3000)] + [""]
+    w = pii._lowered(pa.array(texts, pa.large_string()))
+    start, end, keyed, keys = pii._cores(w)
+    got = defaultdict(list)
+    for i, k in zip(keyed.tolist(), keys.tolist(), strict=True):
+        got[i].append(k)
+    i = 0
+    for text in (t.lower() for t in texts):
+        tokens = [m.span() for m in pii._TOKEN.finditer(text)]
+        for t in range(len(tokens)):
+            _, core, key = pii._core(text, tokens, t)
+            assert w.data[start[i]:end[i]].tobytes().decode() == core, (text, t)
+            expected = [] if key is None else words_of(pa.array(["\0" + key], pa.large_string())).hashes().tolist()
+            assert got[i] == expected, (text, t)
+            i += 1
+    assert i == len(start)
+
+
+def planted(texts, seed=12):
+    """The texts with identifiers behind keys that repeat, no value twice, and (row, start, end) of those that no base pattern matches."""
+    rng, out, places = random.Random(seed), [], set()
+    for d, text in enumerate(texts):
+        words = (text or "").split(" ")
+        if d % 3 == 0:
+            letters = "".join(rng.choices("abcdefghijklm", k=9))
+            left, value, right = [
+                ('contact = "', f"{letters}@mail.example.com", '"'), ("Contact : ", f"{letters}(at)example", ""), ('"contact" : "', f"{letters[:3]}-{d:05}", '",'),
+                ("api_key = '", f"{rng.getrandbits(160):040x}", "'"), ('api_key = "', f"k{d:05}", '"'), ('secret="', f"{rng.getrandbits(128):032x}", '"###')][
+                    rng.choices(range(6), [8, 1, 1, 8, 1, 4])[0]]
+            at = rng.randrange(len(words) + 1)
+            before = " ".join(words[:at])
+            start = len(before) + (at > 0) + len(left)
+            if "@" not in value:
+                places.add((d, start, start + len(value)))
+            words.insert(at, left + value + right)
+        out.append(" ".join(words))
+    return out, places
+
+
+def test_planted_identifiers_are_found(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    texts, places = planted([r["text"] for r in rows])
+    got = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {(r["doc_id"], int(a), int(b)) for r in got for kind, a, b in (x.split(":") for x in r["spans"]) if kind == "id"}
+    others = {texts[d][a:b] for d, a, b in found - places}  # the table has secrets of its own
+    assert len(places) > 150 and len(found & places) >= 0.9 * len(places)
+    assert all(re.fullmatch("[0-9a-f]{40}", x) for x in others)
+
+
+def test_presumed_secrets_need_a_context(spark):
+    secrets = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(23)]
+    texts = [f'{i:02} token = "{s}" y{i}' for i, s in enumerate(secrets[:20])] + ["z token : short-7 z"]
+    texts += [f"seen once {secrets[20]}", f"note = {secrets[21]} once", f"note = {secrets[22]} twice", *["note = nothing of this kind"] * 40]
+    got = {r["doc_id"]: r for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [len(got[i]["spans"]) for i in range(len(texts))] == [1] * 21 + [0] * (len(texts) - 21)
+    assert got[0]["spans"] == ["id:12:52"] and got[20]["spans"] == ["id:10:17"]
+
+
 def test_personal_data_query(spark, folder):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     name = list(PATTERNS)
