@@ -4,6 +4,10 @@ Turns are gathered into one row per conversation.  A running hash over role and
 hash for every prefix; the prefix hash at full length stands for the whole conversation.  A conversation
 goes if a longer one has its hash among its proper prefixes (anti join), and of equal conversations the
 smallest id stays.  What is left is maximal and is rendered.  Only DataFrame functions are used.
+
+Gathering and hashing happen once: the distinct conversations are written to the shared folder with their prefix
+hashes, and the proper prefixes are read from there as a column of digests without any text.  A conversation is one
+value, so its turns have to fit in a task's memory; its prefix hashes take 32 bytes a turn.
 """
 
 from __future__ import annotations
@@ -11,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmart.scratch import materialise
+
 TURN = "<|{role}|>\n{text}<|end|>\n"
 
 
@@ -35,14 +41,17 @@ def gather(turns: DataFrame) -> DataFrame:
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """Rows of ``conv_id, turns`` that no longer conversation starts with, one of each set of equal ones."""
-    hashed = conversations.withColumn("prefixes", _turn_hashes(F.col("turns")))
+    hashes = F.transform(_turn_hashes(F.col("turns")), lambda h: F.unhex(h))
+    hashed = conversations.withColumn("prefixes", hashes)
     whole = F.element_at("prefixes", -1)
     # Equal conversations may be a third of all: the smallest is found with partial aggregates.
     distinct = hashed.groupBy(whole.alias("whole")).agg(
         F.min_by(F.struct("conv_id", "turns", "prefixes"), F.struct(F.col("conv_id").isNull(), "conv_id")).alias("c"),
         F.count("*").alias("n_equal"))
-    proper = distinct.select(F.explode(F.slice("c.prefixes", 1, F.size("c.prefixes") - 1)).alias("whole")).distinct()
-    return distinct.join(proper, "whole", "left_anti").select("c.conv_id", "c.turns", "n_equal")
+    distinct = materialise(distinct.select(
+        "whole", "c.conv_id", "c.turns", F.slice("c.prefixes", 1, F.size("c.prefixes") - 1).alias("proper"), "n_equal"))
+    proper = distinct.select(F.explode("proper").alias("whole")).distinct()
+    return distinct.drop("proper").join(proper, "whole", "left_anti").select("conv_id", "turns", "n_equal")
 
 
 def render(conversations: DataFrame, template: str = TURN) -> DataFrame:
