@@ -16,6 +16,9 @@ The n-grams have one global order (by hash), which is cut into fragments at fixe
    near copies.  Then only what may still be missing is compared: members outside the list's largest
    component against each other and against that component, block by block.  No list is cut short, and the
    components are those of all links.
+
+``links`` returns the links themselves instead of components: there every pair of a list meets in a block, so a list
+of m classes costs about m * m comparisons, as many as it may have links.
 """
 
 from __future__ import annotations
@@ -170,16 +173,19 @@ def _partial(key: tuple, rows: pa.Table) -> pa.Table:
     return arrow_table(_PARTIAL, out)
 
 
-def _sum_up(percent: int) -> Callable:
-    """Adds the fragments' overlaps per pair; a spanning forest of the links of each block."""
+def _sum_up(percent: int, every: bool) -> Callable:
+    """Adds the fragments' overlaps per pair; every link of each block, or a spanning forest of them."""
     def run(_: tuple, rows: pa.Table) -> pa.Table:
-        rows, links = rows.sort_by("block"), []
+        rows, links, ends = rows.sort_by("block"), [], [np.empty((2, 0), np.int64)]
         counts = rows["counts"].to_pylist()
         for _, a, b in slices(rows["block"].to_numpy()):
             nodes = np.frombuffer(rows["nodes"][a].as_py(), np.int64)
             sizes = np.frombuffer(rows["sizes"][a].as_py(), np.int32).astype(np.int64)
             both = sum(np.frombuffer(c, np.uint32).astype(np.int64) for c in counts[a:b]).reshape(len(nodes), -1)
             linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+            if every:
+                ends.append(nodes[np.stack(np.nonzero(np.triu(linked, 1)))])
+                continue
             left = np.ones(len(nodes), dtype=bool)
             for root in range(len(nodes)):
                 if left[root]:
@@ -188,18 +194,18 @@ def _sum_up(percent: int) -> Callable:
                         met = np.flatnonzero(linked[front].any(axis=0) & left)
                         left[met], front = False, met.tolist()
                         links += [(int(nodes[root]), int(nodes[i])) for i in met]
-        return arrow_table(_LINKS, links)
+        return pa.Table.from_arrays([pa.array(x) for x in np.concatenate(ends, axis=1)], ["a", "b"]) if every else arrow_table(_LINKS, links)
     return run
 
 
-def _links(members: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
+def _links(members: DataFrame, candidates: DataFrame, percent: int, every: bool = False) -> DataFrame:
     """Links found in blocks; ``members``: block (a 64-bit number) and node."""
     members = materialise(members)
     groups = members.count() // MEMBERS_PER_TASK_GROUP + 16
     segments = candidates.select("node", "size", F.posexplode("segments").alias("fragment", "segment"))
     rows = members.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")).join(segments, "node")
     partial = rows.groupBy("group", "fragment").applyInArrow(_partial, _PARTIAL)
-    return materialise(partial.groupBy("group").applyInArrow(_sum_up(percent), _LINKS).distinct())
+    return materialise(partial.groupBy("group").applyInArrow(_sum_up(percent, every), _LINKS).distinct())
 
 
 def _block(*parts: Column | str) -> Column:
@@ -216,6 +222,15 @@ def _near(lists: DataFrame) -> DataFrame:
     return one
 
 
+def _whole(lists: DataFrame) -> DataFrame:
+    """Blocks in which every pair of a list meets: a long list is cut into parts, and each two parts are a block."""
+    one = lists.filter(F.col("members") <= BLOCK).select(_block("gram"), "node")
+    some = lists.filter(F.col("members") > BLOCK).withColumn("cuts", F.ceil(F.col("members") * 2 / BLOCK))
+    some = some.repartition("gram", F.pmod(F.xxhash64("node"), F.lit(SALTS)))  # a long list is dealt to several tasks
+    at = some.select("gram", "node", F.pmod(F.xxhash64("node", F.lit(3)), "cuts").alias("at"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("other"))
+    return one.unionByName(at.select(_block("gram", F.lit(5), F.least("at", "other"), F.greatest("at", "other")), "node"))
+
+
 def _missing(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """Blocks of the pairs of long lists that are in different components, given those found so far."""
     some = lists.filter(F.col("members") > BLOCK).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -243,9 +258,9 @@ def _least() -> Column:
     return F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "chunk", "place"))
 
 
-def _classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, int]:
+def _prepared(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
     """All rows with their class (``doc_id, chunk, place, size, one, two``); the classes with the node that
-    stands for each and its component (``root``); the number of chunks."""
+    stands for each; the candidates; their lists; the number of chunks."""
     chunks = count_chunks(docs)
     bits = max(8, (chunks - 1).bit_length())
     texts = dealt(docs, chunks)
@@ -265,13 +280,19 @@ def _classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
         postings.groupBy("gram").agg(F.count("*").alias("members"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).filter("members > 1")
         .groupBy("members", "who").agg(F.min("gram").alias("gram")).select("gram", "members"))
     lists = materialise(postings.join(distinct, "gram"))
+    node = F.shiftleft(F.col("chunk").cast("long"), 32) + F.col("place")
+    return signed, classes.withColumn("node", node), candidates, lists, chunks
+
+
+def _classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """All rows with their class; the classes with their node and its component (``root``); the number of chunks."""
+    signed, classes, candidates, lists, chunks = _prepared(docs, shingle, percent)
     links = _links(_near(lists), candidates, percent)
     roots = components(links)
     more = _links(_missing(lists, roots), candidates, percent)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
-    node = F.shiftleft(F.col("chunk").cast("long"), 32) + F.col("place")
-    classes = classes.withColumn("node", node).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return signed, classes, chunks
 
 
@@ -293,6 +314,30 @@ def ngram_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PER
         "doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def links(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """Every link, between classes of equal sets: ``a, b`` (class numbers, a < b, each pair once), and the rows'
+    membership: ``doc_id, class_id, n_links``.
+
+    ``n_links`` counts the other rows that a row links with, those of its own class included; copies are not
+    expanded into pairs.  A row without words has a null class and no link.  Links and the treatment of nulls,
+    repeated rows, empty tables and other columns are those of ``ngram_components``.  The numbers of the
+    classes hold within one result.
+    """
+    signed, classes, candidates, lists, _ = _prepared(documents(docs, key, text), shingle, percent)
+    pairs = _links(_whole(lists), candidates, percent, every=True)
+    same = ["size", "one", "two"]
+    sizes = signed.filter("size > 0").groupBy(*same).agg(F.count("*").alias("n"))
+    sized = materialise(classes.select(*same, "node").join(sizes, same))
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counted = ends.join(sized.select(F.col("node").alias("b"), "n"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    known = sized.join(counted, "node", "left").select(
+        *same, F.col("node").alias("class_id"), (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    members = signed.join(known, same, "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return pairs, members
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the one with the least id.  Columns stay as they are."""
     signed, classes, chunks = _classes(documents(docs), shingle, percent)

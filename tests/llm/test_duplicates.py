@@ -107,6 +107,39 @@ def test_long_lists_lose_no_link(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == brute_components(rows, 1, 90)
 
 
+NEAR = " ".join(f"n{i}" for i in range(60))
+
+
+def brute_links(rows, shingle, percent):
+    """Pairs of linked sets, and (id, set, number of links) of each row."""
+    sets = []
+    for r in rows:
+        w = words(lower(r[1]))
+        sets.append(frozenset(tuple(w[i:i + shingle]) for i in range(max(len(w) - shingle + 1, 1))) if w else frozenset())
+    classes = Counter(s for s in sets if s)
+    pairs = {frozenset((x, y)) for x in classes for y in classes if x != y and 100 * len(x & y) >= percent * len(x | y)}
+    n_links = {x: n - 1 + sum(classes[y] for p in pairs if x in p for y in p - {x}) for x, n in classes.items()}
+    return pairs, Counter((r[0], s, n_links.get(s, 0)) for r, s in zip(rows, sets, strict=True))
+
+
+@pytest.mark.parametrize(("block", "shingle", "percent"), [(256, 3, 90), (8, 1, 90), (4, 2, 50)])
+def test_links(spark, monkeypatch, block, shingle, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = documents() + [(1000 + i, t, None, None, None) for i, t in enumerate([f"{NEAR} {'x ' * (i % 5)}y{i}" for i in range(40)])]
+    pairs, members = (x.collect() for x in ngram_join.links(frame(spark, rows, clashes=True), shingle, percent))
+    expected_pairs, expected = brute_links(rows, shingle, percent)
+    sets = defaultdict(set)
+    for i, s, _ in expected:
+        sets[i].add(s)
+    by_class = {m["class_id"]: next(iter(sets[m["doc_id"]])) for m in members if m["class_id"] is not None and len(sets[m["doc_id"]]) == 1}
+    assert len(pairs) == len({tuple(p) for p in pairs}) and all(p["a"] < p["b"] for p in pairs)
+    assert {frozenset((by_class[p["a"]], by_class[p["b"]])) for p in pairs} == expected_pairs and len(pairs) == len(expected_pairs)
+    by_count = Counter()
+    for (i, _, n), rows_of in expected.items():
+        by_count[i, n] += rows_of
+    assert Counter((m["doc_id"], m["n_links"]) for m in members) == by_count
+
+
 def test_keep_one(spark):
     rows = documents()
     expected = {}
@@ -134,3 +167,4 @@ def test_empty_tables(spark):
     assert substring_dedup.remove_repeats(none).collect() == []
     assert ngram_join.ngram_components(none).collect() == []
     assert ngram_join.keep_one(none).collect() == []
+    assert [x.collect() for x in ngram_join.links(none)] == [[], []]
