@@ -1,12 +1,16 @@
 """Stored pages → records.  Input is a table with ``url`` and ``html``.
 
-Every function adds one struct or array column per page in a single pass; nothing is shuffled.
+The records of a board are read off the nodes in the pass that parses the pages (or from ``nodes``, if the pages
+come parsed): a reader per board picks elements and texts, Spark columns make the fields of them.  Everything else
+adds one array column per page.  Nothing is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +20,9 @@ from jobmart.functions import dates, dom, items
 from jobmart.functions.location import split_city_address
 from jobmart.functions.text import bind
 
+# Send the Python functions of this module to executors by value: they need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def with_nodes(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = None) -> DataFrame:
     """``keep`` (all columns by default) plus ``nodes``, NULL for a bad page, and ``page_error``."""
@@ -38,9 +45,13 @@ def titled(records: DataFrame, title: str = "title") -> DataFrame:
     return records.filter(F.col(title).isNotNull() & (F.col(title) != ""))
 
 
-def _record(parsed: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    good = parsed.filter(F.col("page_error").isNull())
-    return good.select("url", *[value.alias(name) for name, value in fields.items()])
+def _records(pages: DataFrame, read: Callable[[dom.Page], list[tuple]], fields: dict[str, str], keep: Sequence[str] = ("url",)) -> DataFrame:
+    """``keep`` and the texts of the rows that ``read`` finds in each good page, parsed already or not."""
+    source = "nodes" if "nodes" in pages.columns else "html"
+    schema = T.StructType([
+        *[pages.schema[c] for c in keep], *[T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in fields.items()]])
+    reader = dom.record_reader(read, fields, list(keep), None if source == "nodes" else source)
+    return pages.select(*dict.fromkeys([*keep, source])).mapInArrow(reader, schema)
 
 
 def page_outline(parsed: DataFrame, *keep: str) -> DataFrame:
@@ -91,93 +102,86 @@ def job_links(parsed: DataFrame, tag: str, cls_like: str | None, base: str, cut:
     )
 
 
-def board_a(parsed: DataFrame) -> DataFrame:
-    """Detail page with a header box, a blue fact box and headed sections."""
-    n = F.col("nodes")
+def _read_a(page: dom.Page) -> list[tuple]:
+    header, place = page.first("div", "job-desc"), page.first("div", "info-place-detail")
+    labels = [(at, page.text_of(at)) for at in page.within(page.first("div", "bg-blue"), "strong")]
 
-    def facts(label: str) -> Column:
+    def facts(label: str) -> list[int]:
         """The paragraphs right after a label in the blue box."""
-        def in_box(box: Column) -> Column:
-            marks = F.filter(dom.find_all(n, "strong", inside=box), lambda m: dom.text_of(n, m).contains(label))
-            return F.filter(F.transform(marks, lambda m: dom.next_element(n, m, "p")), lambda p: p.isNotNull())
+        after = [page.next_element(at, "p") for at, text in labels if label in text]
+        return [at for at in after if at is not None]
 
-        return bind(dom.find(n, "div", "bg-blue"), in_box)
+    def fact(label: str) -> str | None:
+        return page.text_of(dom.get(facts(label), 0))
 
-    def fact(label: str) -> Column:
-        return F.get(facts(label), F.lit(0))
+    def anchors(label: str) -> list[str]:
+        return [text for at in facts(label) for text in page.texts_of(page.within(at, "a"))]
 
-    def anchors(label: str) -> Column:
-        return F.flatten(F.transform(facts(label), lambda p: dom.texts_of(n, dom.find_all(n, "a", inside=p))))
+    def section(label: str) -> str:
+        mark = page.headed(label, "h2", "detail-title")
+        return "\n".join(page.texts_of(page.next_siblings(mark, "p"), "\n"))
 
-    def section(label: str) -> Column:
-        mark = dom.headed(n, label, "h2", "detail-title")
-        paragraphs = bind(mark, lambda m: dom.texts_of(n, dom.next_siblings(n, m, "p"), "\n"))
-        return F.coalesce(F.array_join(paragraphs, "\n"), F.lit(""))
+    def listed(label: str, heading: str, box: str, cls: str) -> list[str]:
+        holder = dom.get(page.next_siblings(page.headed(label, heading, "detail-title"), box, cls), 0)
+        return page.texts_of(page.within(holder, "li"))
 
-    def listed(label: str, heading: str, box: str, cls: str) -> Column:
-        mark = dom.headed(n, label, heading, "detail-title")
-        holder = bind(mark, lambda m: F.get(dom.next_siblings(n, m, box, cls), F.lit(0)))
-        inner = bind(holder, lambda h: dom.texts_of(n, dom.find_all(n, "li", inside=h)))
-        return F.coalesce(inner, F.array().cast("array<string>"))
+    return [(
+        page.text_of(page.first_within(header, "a", "job-company-name")), page.text_of(page.first_within(header, "h1", "title")),
+        fact("Ngày cập nhật"), fact("Lương"), fact("Cấp bậc"), anchors("Ngành nghề"),
+        listed("Phúc lợi", "h2", "ul", "welfare-list"), section("Mô tả Công việc"), section("Yêu Cầu Công Việc"),
+        dom.get(anchors("Địa điểm"), 0), page.text_of(page.first_within(place, "span")),
+        listed("Thông tin khác", "h3", "div", "content_fck"),
+    )]
 
-    def header(tag: str, cls: str) -> Column:
-        return bind(dom.find(n, "div", "job-desc"), lambda h: dom.text_of(n, dom.find(n, tag, cls, inside=h)))
 
-    address = bind(
-        dom.find(n, "div", "info-place-detail"),
-        lambda d: dom.text_of(n, dom.find(n, "span", inside=d)),
-    )
-    return _record(parsed, {
-        "ten_cong_ty": header("a", "job-company-name"),
-        "tieu_de": header("h1", "title"),
-        "ngay_dang_tuyen": dom.text_of(n, fact("Ngày cập nhật")),
-        "luong": dom.text_of(n, fact("Lương")),
-        "kinh_nghiem": F.lit(None).cast("string"),  # these pages do not state it
-        "cap_bac": dom.text_of(n, fact("Cấp bậc")),
-        "nganh_nghe": F.coalesce(anchors("Ngành nghề"), F.array().cast("array<string>")),
-        "phuc_loi": listed("Phúc lợi", "h2", "ul", "welfare-list"),
-        "mo_ta_cong_viec": section("Mô tả Công việc"),
-        "yeu_cau_cong_viec": section("Yêu Cầu Công Việc"),
-        "dia_diem_lam_viec": F.struct(
-            F.get(anchors("Địa điểm"), F.lit(0)).alias("thanh_pho"), address.alias("dia_chi_day_du")
-        ),
-        "thong_tin_khac": items.key_value_map(listed("Thông tin khác", "h3", "div", "content_fck")),
+def board_a(pages: DataFrame) -> DataFrame:
+    """Detail page with a header box, a blue fact box and headed sections."""
+    found = _records(pages, _read_a, {
+        "ten_cong_ty": "string", "tieu_de": "string", "ngay_dang_tuyen": "string", "luong": "string", "cap_bac": "string",
+        "nganh_nghe": "array<string>", "phuc_loi": "array<string>", "mo_ta_cong_viec": "string", "yeu_cau_cong_viec": "string",
+        "thanh_pho": "string", "dia_chi_day_du": "string", "khac": "array<string>",
     })
+    return found.select(
+        "url", "ten_cong_ty", "tieu_de", "ngay_dang_tuyen", "luong",
+        F.lit(None).cast("string").alias("kinh_nghiem"),  # these pages do not state it
+        "cap_bac", "nganh_nghe", "phuc_loi", "mo_ta_cong_viec", "yeu_cau_cong_viec",
+        F.struct("thanh_pho", "dia_chi_day_du").alias("dia_diem_lam_viec"),
+        items.key_value_map(F.col("khac")).alias("thong_tin_khac"))
 
 
-def board_b(parsed: DataFrame) -> DataFrame:
-    """Detail page with titled description items and label/value boxes."""
-    n = F.col("nodes")
+def _read_b(page: dom.Page) -> list[tuple]:
+    def value_after(label: str, kind: str) -> str | None:
+        mark = page.headed(label, "div", f"{kind}-title")
+        return page.text_of(dom.get(page.next_siblings(mark, "div", f"{kind}-value"), 0))
 
-    def value_after(label: str, kind: str) -> Column:
-        mark = dom.headed(n, label, "div", f"{kind}-title")
-        return dom.text_of(n, bind(mark, lambda m: F.get(dom.next_siblings(n, m, "div", f"{kind}-value"), F.lit(0))))
-
-    def content(label: str) -> Column:
-        boxes = dom.find_all(n, "div", "job-description__item")
-        hit = F.filter(boxes, lambda b: dom.text_of(n, dom.find(n, "h3", inside=b)).contains(label))
-        return bind(F.get(hit, F.lit(0)), lambda b: dom.find(n, "div", "job-description__item--content", inside=b))
-
-    place = bind(content("Địa điểm làm việc"), lambda b: dom.text_of(n, dom.find(n, "div", inside=b)))
-    city_address = bind(place, split_city_address)
-    hours = dom.text_of(n, content("Thời gian làm việc"))
-    return _record(parsed, {
-        "tieu_de": dom.text_of(n, dom.find(n, "h1", "job-detail__title")),
-        "luong": value_after("Mức lương", "job-detail__info--section-content"),
-        "kinh_nghiem": value_after("Kinh nghiệm", "job-detail__info--section-content"),
-        "cap_bac": value_after("Cấp bậc", "box-general-group-info"),
-        "phuc_loi": items.clean_items(
-            bind(content("Quyền lợi"), lambda b: dom.texts_of(n, dom.find_all(n, "p", inside=b)))
-        ),
-        "mo_ta_cong_viec": F.coalesce(dom.text_of(n, content("Mô tả công việc"), "\n"), F.lit("")),
-        "yeu_cau_cong_viec": F.coalesce(dom.text_of(n, content("Yêu cầu ứng viên"), "\n"), F.lit("")),
-        "dia_diem_lam_viec": F.struct(
-            city_address["city"].alias("thanh_pho"), city_address["address"].alias("dia_chi_day_du")
-        ),
-        "thong_tin_khac": F.when(
-            hours.isNotNull(), F.create_map(F.lit("thoi_gian_lam_viec"), hours)
-        ).otherwise(F.create_map().cast("map<string,string>")),
+    boxes = [(at, page.text_of(page.first_within(at, "h3")) or "") for at in page.all("div", "job-description__item")]
+
+    def content(label: str) -> int | None:
+        box = next((at for at, text in boxes if label in text), None)
+        return page.first_within(box, "div", "job-description__item--content")
+
+    return [(
+        page.text_of(page.first("h1", "job-detail__title")), value_after("Mức lương", "job-detail__info--section-content"),
+        value_after("Kinh nghiệm", "job-detail__info--section-content"), value_after("Cấp bậc", "box-general-group-info"),
+        page.texts_of(page.within(content("Quyền lợi"), "p")), page.text_of(content("Mô tả công việc"), "\n") or "",
+        page.text_of(content("Yêu cầu ứng viên"), "\n") or "",
+        page.text_of(page.first_within(content("Địa điểm làm việc"), "div")), page.text_of(content("Thời gian làm việc")),
+    )]
+
+
+def board_b(pages: DataFrame) -> DataFrame:
+    """Detail page with titled description items and label/value boxes."""
+    found = _records(pages, _read_b, {
+        "tieu_de": "string", "luong": "string", "kinh_nghiem": "string", "cap_bac": "string", "quyen_loi": "array<string>",
+        "mo_ta_cong_viec": "string", "yeu_cau_cong_viec": "string", "dia_diem": "string", "gio": "string",
     })
+    city_address = bind(F.col("dia_diem"), split_city_address)
+    return found.select(
+        "url", "tieu_de", "luong", "kinh_nghiem", "cap_bac", items.clean_items(F.col("quyen_loi")).alias("phuc_loi"),
+        "mo_ta_cong_viec", "yeu_cau_cong_viec",
+        bind(city_address, lambda c: F.struct(c["city"].alias("thanh_pho"), c["address"].alias("dia_chi_day_du"))).alias("dia_diem_lam_viec"),
+        F.when(F.col("gio").isNotNull(), F.create_map(F.lit("thoi_gian_lam_viec"), "gio"))
+        .otherwise(F.create_map().cast("map<string,string>")).alias("thong_tin_khac"))
 
 
 # Class patterns of board C's list cards and detail boxes.
@@ -200,104 +204,98 @@ DETAIL_INFOS = r"sc-7bf5461f-0"
 DETAIL_INFO = r"sc-7bf5461f-1"
 DETAIL_PLACES = r"sc-a137b890-0"
 DETAIL_PLACE = r"sc-a137b890-1"
-PARAGRAPH_TITLE = r"sc-ab270149-0.*jlpjAq"
-PARAGRAPH_LABEL = r"sc-ab270149-0.*dfyRSX"
-PARAGRAPH_VALUE = r"sc-ab270149-0.*cLLblL"
-
-
-def board_c_list(parsed: DataFrame, base: str | None = None) -> DataFrame:
+PARAGRAPH_TITLE = r"sc-ab270149-0[^\n\r]*jlpjAq"
+PARAGRAPH_LABEL = r"sc-ab270149-0[^\n\r]*dfyRSX"
+PARAGRAPH_VALUE = r"sc-ab270149-0[^\n\r]*cLLblL"
+
+
+def _read_c_list(page: dom.Page) -> list[tuple]:
+    """Cards are told by class or, on a page without such, by ``data-job-id``."""
+    cards = page.all("div", like=CARD) or [at for at in page.all("div") if page.kind[at][4] is not None]
+
+    def first_of(card: int, options: list[tuple[str, str]]) -> str | None:
+        found = (page.text_of(page.first_within(card, tag, like=pattern)) for tag, pattern in options)
+        return next((text for text in found if text is not None), None)
+
+    rows = []
+    for card in cards:
+        heading = dom.get([*page.within(card, "h2")[:1], *page.within(card, "h3")[:1], *page.within(card, "a", like=r"job-title|title")[:1]], 0)
+        anchor = heading if heading is not None and page.kind[heading][0] == "a" else page.first_within(heading, "a")
+        firm = page.first_within(card, "div", like=CARD_COMPANY)
+        if firm is not None:
+            firm = dom.get([*page.within(firm, "a")[:1], firm], 0)
+        else:
+            firm = next((at for at in page.within(card, "a") if EMPLOYER_LINK in (page.kind[at][2] or "")), None)
+        skills = next((found for tag, pattern in CARD_SKILLS if (found := page.within(card, tag, like=pattern))), [])
+        rows.append((
+            None if anchor is None else page.kind[anchor][2], page.text_of(anchor), page.text_of(firm),
+            *(first_of(card, options) for options in CARD_FIELDS.values()), page.texts_of(skills)))
+    return rows
+
+
+def board_c_list(pages: DataFrame, base: str | None = None) -> DataFrame:
     """List page → one row per job card with a title; relative links get ``base`` or the page's own site.
 
-    Cards are told by class or, on a page without such, by ``data-job-id``.  Each card goes on with its own
-    nodes only.
+    Pages without a trace of a card, such as detail pages in the same table, are not parsed for it.
     """
-    n = F.col("nodes")
-    by_class = dom.find_all(n, "div", cls_like=CARD)
-    by_job = F.filter(dom.find_all(n, "div"), lambda d: d["job"].isNotNull())
-    found = bind(by_class, lambda cards: F.when(F.size(cards) > 0, cards).otherwise(by_job))
-    cards = parsed.filter(F.col("page_error").isNull()).select(
-        F.col("url").alias("page"), F.explode(F.transform(found, lambda c: dom.own_nodes(n, c))).alias("nodes"))
-    card = F.get(n, F.lit(0))
-
-    def first_of(options: list[tuple[str, str]]) -> Column:
-        return F.coalesce(*[dom.text_of(n, dom.find(n, t, cls_like=p, inside=card)) for t, p in options])
-
-    heading = F.coalesce(
-        dom.find(n, "h2", inside=card), dom.find(n, "h3", inside=card),
-        dom.find(n, "a", cls_like=r"job-title|title", inside=card),
-    )
-    anchor = bind(heading, lambda h: F.when(h["tag"] == "a", h).otherwise(dom.find(n, "a", inside=h)))
-    employer = F.get(F.filter(dom.find_all(n, "a", inside=card), lambda a: F.coalesce(a["link"].contains(EMPLOYER_LINK), F.lit(False))), F.lit(0))
-    firm = F.coalesce(dom.find(n, "div", cls_like=CARD_COMPANY, inside=card), employer)
-    company = bind(firm, lambda f: dom.text_of(n, F.coalesce(F.when(f["tag"] != "a", dom.find(n, "a", inside=f)), f)))
-    skills = F.coalesce(*[
-        F.when(F.size(found) > 0, found)
-        for found in (dom.find_all(n, t, cls_like=p, inside=card) for t, p in CARD_SKILLS)
-    ], F.slice(n, 1, 0))
-    link = items.absolute_url(anchor["link"], base if base else site_of(F.col("page")))
-    rows = cards.select(
-        link.alias("url"),
-        items.strip_new_marker(dom.text_of(n, anchor)).alias("tieu_de"),
-        company.alias("cong_ty"),
-        *[first_of(options).alias(name) for name, options in CARD_FIELDS.items()],
-        items.clean_items(dom.texts_of(n, skills)).alias("ky_nang"),
-    )
+    if "nodes" not in pages.columns:
+        # A class with an entity in it may be a card's whatever its letters.
+        pages = pages.filter(F.col("html").rlike(rf"{CARD}|&|(?i:data-job-id)"))
+    found = _records(pages, _read_c_list, {
+        "href": "string", "tieu_de": "string", "cong_ty": "string", **dict.fromkeys(CARD_FIELDS, "string"), "ky_nang": "array<string>"})
+    rows = found.select(
+        items.absolute_url(F.col("href"), base if base else site_of(F.col("url"))).alias("url"),
+        items.strip_new_marker(F.col("tieu_de")).alias("tieu_de"), "cong_ty", *CARD_FIELDS,
+        items.clean_items(F.col("ky_nang")).alias("ky_nang"))
     return titled(rows, "tieu_de")
 
 
-def board_c_detail(parsed: DataFrame) -> DataFrame:
-    """Detail page → the twelve detail fields."""
-    n = F.col("nodes")
+def _read_c_detail(page: dom.Page) -> list[tuple]:
+    def boxed(box: str, pattern: str) -> list[int]:
+        """Elements inside the first box of that kind."""
+        return page.within(page.first("div", like=box), "div", like=pattern)
 
-    def like(tag: str, pattern: str, inside: Column | None = None) -> Column:
-        return dom.find_all(n, tag, cls_like=pattern, inside=inside)
+    def body(section: str, position: int) -> str:
+        part = dom.get(page.all("div", like=section), position)
+        return page.text_of(page.first_within(part, "div", like=DETAIL_BODY), "\n") or ""
 
-    def boxed(box: str, pattern: str) -> Column:
-        """Elements inside the first box of that kind."""
-        empty = F.slice(n, 1, 0)
-        return F.coalesce(bind(F.get(like("div", box), F.lit(0)), lambda b: F.when(b.isNotNull(), like("div", pattern, b))), empty)
-
-    def body(section: str, position: int) -> Column:
-        part = F.get(like("div", section), F.lit(position))
-        text = bind(part, lambda s: dom.text_of(n, F.get(like("div", DETAIL_BODY, s), F.lit(0)), "\n"))
-        return F.coalesce(text, F.lit(""))
-
-    def field(pattern: str, tag: str):
-        return lambda box: dom.text_of(n, F.get(like(tag, pattern, box), F.lit(0)))
-
-    info = F.filter(
-        F.transform(boxed(DETAIL_INFOS, DETAIL_INFO), lambda b: F.struct(
-            field(PARAGRAPH_LABEL, "label")(b).alias("label"), field(PARAGRAPH_VALUE, "p")(b).alias("value")
-        )),
-        lambda p: p["label"].isNotNull() & p["value"].isNotNull(),
-    )
-    labels, values = F.transform(info, lambda p: p["label"]), F.transform(info, lambda p: p["value"])
+    def field(box: int, pattern: str, tag: str) -> str | None:
+        return page.text_of(page.first_within(box, tag, like=pattern))
+
+    def pairs(boxes: list[int], names: tuple[str, str], first: tuple[str, str], second: tuple[str, str]) -> list[dict]:
+        found = [dict(zip(names, (field(at, *first), field(at, *second)))) for at in boxes]
+        return [p for p in found if None not in p.values()]
+
+    return [(
+        body(DETAIL_DESCRIPTION, 0), body(DETAIL_SECTION, 1),
+        pairs(boxed(DETAIL_BENEFITS, DETAIL_BENEFIT), ("tieu_de", "mo_ta"), (PARAGRAPH_TITLE, "p"), (DETAIL_BENEFIT_TEXT, "div")),
+        [text for at in boxed(DETAIL_PLACES, DETAIL_PLACE) if (text := field(at, PARAGRAPH_VALUE, "p"))],
+        pairs(boxed(DETAIL_INFOS, DETAIL_INFO), ("label", "value"), (PARAGRAPH_LABEL, "label"), (PARAGRAPH_VALUE, "p")),
+    )]
+
+
+def board_c_detail(pages: DataFrame) -> DataFrame:
+    """Detail page → the twelve detail fields."""
+    found = _records(pages, _read_c_detail, {
+        "mo_ta": "string", "yeu_cau": "string", "phuc_loi": "array<struct<tieu_de:string,mo_ta:string>>",
+        "dia_diem_chi_tiet": "array<string>", "info": "array<struct<label:string,value:string>>"})
+    labels, values = F.col("info.label"), F.col("info.value")
     order = [label for label, _ in rules.DETAIL_LABELS]
     facts = {
         name: items.label_value(labels, values, label, exclude=order[: order.index(label)])
         for label, name in rules.DETAIL_LABELS
     }
-    benefits = F.filter(
-        F.transform(boxed(DETAIL_BENEFITS, DETAIL_BENEFIT), lambda b: F.struct(
-            field(PARAGRAPH_TITLE, "p")(b).alias("tieu_de"), field(DETAIL_BENEFIT_TEXT, "div")(b).alias("mo_ta")
-        )),
-        lambda b: b["tieu_de"].isNotNull() & b["mo_ta"].isNotNull(),
-    )
     text = lambda name: F.coalesce(facts[name], F.lit(""))
-    return _record(parsed, {
-        "mo_ta": body(DETAIL_DESCRIPTION, 0),
-        "yeu_cau": body(DETAIL_SECTION, 1),
-        "phuc_loi": benefits,
-        "dia_diem_chi_tiet": items.clean_items(F.transform(boxed(DETAIL_PLACES, DETAIL_PLACE), field(PARAGRAPH_VALUE, "p"))),
-        "ngay_dang_chi_tiet": text("posted_raw"),
-        "cap_bac": text("level_raw"),
-        "nganh_nghe": text("industry"),
-        "ky_nang_chi_tiet": F.coalesce(items.split_items(facts["skills_raw"]), F.array().cast("array<string>")),
-        "linh_vuc": text("field"),
-        "ngon_ngu": text("language"),
-        "kinh_nghiem": text("experience"),
-        "quoc_tich": text("nationality"),
-    })
+    return found.select(
+        "url", "mo_ta", "yeu_cau", "phuc_loi", "dia_diem_chi_tiet",
+        text("posted_raw").alias("ngay_dang_chi_tiet"),
+        text("level_raw").alias("cap_bac"),
+        text("industry").alias("nganh_nghe"),
+        F.coalesce(items.split_items(facts["skills_raw"]), F.array().cast("array<string>")).alias("ky_nang_chi_tiet"),
+        text("field").alias("linh_vuc"),
+        text("language").alias("ngon_ngu"),
+        text("experience").alias("kinh_nghiem"),
+        text("nationality").alias("quoc_tich"))
 
 
 def board_c(list_rows: DataFrame, detail_rows: DataFrame) -> DataFrame:
@@ -314,50 +312,49 @@ EMPLOYER = r"\bjob-show-employer-info\b"
 EMPLOYER_ROW = r"\brow ipy-2\b"
 
 
-def board_d(parsed: DataFrame, html: str = "html") -> DataFrame:
+def _read_d(page: dom.Page) -> list[tuple]:
+    info = page.first("div", "job-show-info")
+    spans = page.texts_of(page.within(info, "span"))
+    rows = page.within(info, "div", TAG_ROW)
+    sections = page.all("div", SECTION)
+    employer = page.first("section", like=EMPLOYER)
+
+    def tags(position: int) -> list[str]:
+        return page.texts_of(page.within(dom.get(rows, position), "a"))
+
+    def section(position: int) -> str | None:
+        return page.text_of(dom.get(sections, position), "\n")
+
+    def details() -> list[dict]:
+        """The first value of each key."""
+        lines = [page.text_of(at, "\n").split("\n") for at in page.within(employer, "div", like=EMPLOYER_ROW)]
+        pairs = [
+            ("company_name", page.text_of(page.first_within(employer, "h3"))),
+            ("declaration", page.text_of(page.first_within(employer, "div", DECLARATION))),
+            *((line[0], dom.get(line, 1)) for line in lines)]
+        firsts: dict[str, str] = {}
+        for key, value in pairs:
+            if value is not None:
+                firsts.setdefault(key, value)
+        return [{"key": key, "value": value} for key, value in firsts.items()]
+
+    return [(
+        page.text_of(page.first_within(page.first("div", "job-header-info"), "h1")), page.text_of(page.first("div", "employer-name")),
+        page.text_of(page.first("div", "salary")), dom.get(spans, 0), dom.get(spans, -2), dom.get(spans, -1), tags(0), tags(1),
+        page.texts_of(page.all("div", DOMAIN_TAG)), section(0), section(1), section(2), None if employer is None else details(),
+    )]
+
+
+def board_d(pages: DataFrame, html: str = "html") -> DataFrame:
     """Detail page with job facts, three sections and an employer box."""
-    n = F.col("nodes")
-    info = dom.find(n, "div", "job-show-info")
-    spans = bind(info, lambda i: dom.texts_of(n, dom.find_all(n, "span", inside=i)))
-    tag_rows = bind(info, lambda i: dom.find_all(n, "div", TAG_ROW, inside=i))
-    sections = dom.find_all(n, "div", SECTION)
-    employer = dom.find(n, "section", cls_like=EMPLOYER)
-
-    def tags(position: int) -> Column:
-        return bind(F.get(tag_rows, F.lit(position)), lambda r: dom.texts_of(n, dom.find_all(n, "a", inside=r)))
-
-    def section(position: int) -> Column:
-        return dom.text_of(n, F.get(sections, F.lit(position)), "\n")
-
-    def details(box: Column) -> Column:
-        rows = F.transform(
-            dom.find_all(n, "div", cls_like=EMPLOYER_ROW, inside=box),
-            lambda r: bind(F.split(dom.text_of(n, r, "\n"), "\n"), lambda t: F.struct(
-                F.get(t, F.lit(0)).alias("key"), F.get(t, F.lit(1)).alias("value"))),
-        )
-        named = F.array(
-            F.struct(F.lit("company_name").alias("key"), dom.text_of(n, dom.find(n, "h3", inside=box)).alias("value")),
-            F.struct(F.lit("declaration").alias("key"),
-                     dom.text_of(n, dom.find(n, "div", DECLARATION, inside=box)).alias("value")),
-        )
-        pairs = F.filter(F.concat(named, rows), lambda p: p["key"].isNotNull() & p["value"].isNotNull())
-        firsts = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, F.lit(1), i), lambda q: q["key"] == p["key"]))
-        return F.map_from_entries(firsts)
-
-    return _record(parsed, {
-        "job_title": bind(
-            dom.find(n, "div", "job-header-info"), lambda h: dom.text_of(n, dom.find(n, "h1", inside=h))
-        ),
-        "company_name": dom.text_of(n, dom.find(n, "div", "employer-name")),
-        "salary": dom.text_of(n, dom.find(n, "div", "salary")),
-        "company_location": F.get(spans, F.lit(0)),
-        "woring_model": F.try_element_at(spans, F.lit(-2)),
-        "post_time": dates.relative_date(F.col(html), F.try_element_at(spans, F.lit(-1))).cast("string"),
-        "skills_list": tags(0),
-        "job_expertise": tags(1),
-        "job_domain": dom.texts_of(n, dom.find_all(n, "div", DOMAIN_TAG)),
-        "job_description": section(0),
-        "your_skill_and_experience": section(1),
-        "benefit": section(2),
-        "company_detail": F.when(employer.isNotNull(), bind(employer, details)),
-    })
+    found = _records(pages, _read_d, {
+        "job_title": "string", "company_name": "string", "salary": "string", "company_location": "string", "woring_model": "string",
+        "posted": "string", "skills_list": "array<string>", "job_expertise": "array<string>", "job_domain": "array<string>",
+        "job_description": "string", "your_skill_and_experience": "string", "benefit": "string",
+        "details": "array<struct<key:string,value:string>>",
+    }, keep=["url", html])
+    return found.select(
+        "url", "job_title", "company_name", "salary", "company_location", "woring_model",
+        dates.relative_date(F.col(html), F.col("posted")).cast("string").alias("post_time"),
+        "skills_list", "job_expertise", "job_domain", "job_description", "your_skill_and_experience", "benefit",
+        F.map_from_entries("details").alias("company_detail"))

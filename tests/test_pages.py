@@ -1,6 +1,10 @@
+import random
+
 import pytest
 
+from jobmart.functions import dom
 from jobmart.operators import pages
+from jobmart.operators.layout import spread
 from jobmart.plans import adverts
 from tests import page_samples as samples
 
@@ -93,3 +97,41 @@ def test_many_pages_per_batch(spark):
     df = spark.range(300).selectExpr("id AS url", "concat('<h1>t', id, '</h1>') AS html").coalesce(1)
     got = pages.page_outline(pages.with_nodes(df, keep=["url"]), "url").collect()
     assert {r["url"]: r["heading"] for r in got} == {i: f"t{i}" for i in range(300)}
+
+
+def test_plain_pages_have_the_nodes_of_the_standard_parser():
+    """Whatever is read the short way has the same nodes; the boards' pages are, and their tags are analysed once."""
+    bits = [
+        "<p>", "</p>", "<div class=\"a b\">", "</div>", "<br>", "<br/>", "<p />", "a & b", "&amp;", "x > y", "<", "<!-- c -->", "<!-->", "<!---->",
+        "<!-- a -- b -->", "<!DOCTYPE html>", "<script>", "</script>", "<title>", "</title>", "<a href='/x?a=1&amp;b=2'>", "</a >", "</A>",
+        "<a href=\"/y\" data-url=\"u\" class=x>", "<A HREF=\"/Q\" href=\"r\">", "<a href=\"x\"class=\"y\">", "<p class=\"a>b\">", "<a href=\"\">", "<?pi?>", "</>", "t\n",
+    ]
+    nodes = lambda p: (p.last, p.parent, p.kind, p.text)
+    parser, picks, plain = dom.Parser(), random.Random(1), 0
+    for _ in range(5000):
+        html = "".join(picks.choices(bits, k=picks.randint(1, 7)))
+        page = parser._plain(html)
+        plain += page is not None
+        assert page is None or nodes(page) == nodes(dom._Nodes(dom.Page()).parse(html)), html
+    assert plain > 500
+    for html in (samples.BOARD_A, samples.BOARD_B, samples.BOARD_C_LIST, samples.BOARD_C_DETAIL, samples.BOARD_D):
+        parser = dom.Parser()
+        assert nodes(parser._plain(html)) == nodes(dom._Nodes(dom.Page()).parse(html))
+        before = len(parser.tags)
+        parser._plain(html)
+        assert len(parser.tags) == before
+
+
+def test_records_of_pages_with_and_without_nodes(spark):
+    """The pages of a table give the same records whether they come parsed or not."""
+    texts = [samples.BOARD_A, samples.BOARD_B, samples.BOARD_C_LIST, samples.BOARD_C_DETAIL, samples.BOARD_D, "<script><p>", "", None]
+    stored = spark.createDataFrame([(f"https://x/{i}", h) for i, h in enumerate(texts)], "url string, html string")
+    parsed = pages.with_nodes(stored)
+    for extract in (pages.board_a, pages.board_b, pages.board_c_list, pages.board_c_detail, pages.board_d):
+        one, other = ([r.asDict(True) for r in extract(df).orderBy("url").collect()] for df in (stored, parsed))
+        assert one == other and one
+
+
+def test_narrow_rows_are_dealt_out_before_they_grow(spark):
+    rows = spread(spark.range(1000).coalesce(1), "id")
+    assert len({r[0] for r in rows.selectExpr("spark_partition_id()").distinct().collect()}) >= 4
