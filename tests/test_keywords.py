@@ -82,3 +82,24 @@ def test_skills_of_several_columns(spark):
     assert got == [["C#", "Data Warehouse", "Big Data"], [], ["Go"]]
     legacy = [r[0] for r in df.select(extract_skills(F.col("a"), F.col("b"), legacy=True)).collect()]
     assert legacy == [["Data Warehouse", "Big Data"], [], ["C++", "Go"]]
+
+
+def test_memory_of_a_scan_is_bounded_whatever_the_batch():
+    """A batch of many texts is scanned in blocks: the same occurrences, and no more memory for eight times the texts."""
+    import tracemalloc
+
+    found = automaton.build(["sql", "java", "r"], [automaton.NO_WORD] * 3, [automaton.NO_WORD] * 3)
+    texts = [("x" * 997 + f" sql r {i} java ") * 100 for i in range(80)]
+
+    def peak(some):
+        tracemalloc.start()
+        hits = [len(found.find(some[i:i + 1])[0]) for i in (0, len(some) - 1)]
+        tracemalloc.reset_peak()
+        text, keyword, at = found.find(some)
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(text) == 300 * len(some) and hits == [300, 300]
+        assert all(some[t][a:].startswith(("sql", "java", "r")[k]) for t, k, a in zip(text.tolist(), keyword.tolist(), at.tolist()))
+        return top
+
+    assert peak(texts) < 2 * peak(texts[:10])
