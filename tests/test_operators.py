@@ -264,3 +264,22 @@ def test_required_columns(spark):
     df = spark.createDataFrame([("p", "t", "d", None), (None, "t", "d", "5")], "location_raw string, title string, posted_raw string, salary_raw string")
     assert shape.require(df).count() == 1
     assert set(rules.REQUIRED) == {"location_raw", "title", "posted_raw"}
+
+
+def test_small_sets_that_share_one_skill_by_chance_are_no_candidates(spark):
+    """Candidates of the skill match, small and large sets mixed: all that reach the score, few others."""
+    picks = random.Random(5)
+    sizes = [1, 2, 3, 4, 4, 4, 5, 7, 15, 16, 20, 40]
+    sets = [(i, "job" if i % 2 else "resume", sorted(picks.sample(range(60 if i % 12 > 7 else 40), sizes[i % 12]))) for i in range(600)]
+    for i in range(0, 200, 2):  # partners with some skills changed
+        sets[i] = (i, "resume", sorted({*sets[i + 1][2][i % 3:], 100 + i}))
+    for score in (0.3, 0.5, 0.8, 1.0):
+        rows = spark.createDataFrame([(side, i, skills) for i, side, skills in sets], "side string, set_id long, skills array<int>")
+        found = {tuple(r) for r in joins.candidate_sets(rows, score).collect()}
+        jaccard = lambda a, b: len(a & b) / len(a | b)
+        by_id = {i: set(skills) for i, _, skills in sets}
+        jobs, resumes = ([i for i, side, _ in sets if side == name] for name in ("job", "resume"))
+        assert {(a, b) for a in jobs for b in resumes if jaccard(by_id[a], by_id[b]) >= score} <= found
+        if score == 0.5:
+            alone = [(a, b) for a, b in found if len(by_id[a]) == len(by_id[b]) == 4 and len(by_id[a] & by_id[b]) < 2]
+            assert not alone
