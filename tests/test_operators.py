@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,3 +284,44 @@ def test_small_sets_that_share_one_skill_by_chance_are_no_candidates(spark):
         if score == 0.5:
             alone = [(a, b) for a, b in found if len(by_id[a]) == len(by_id[b]) == 4 and len(by_id[a] & by_id[b]) < 2]
             assert not alone
+
+
+@pytest.mark.parametrize("score", [0.2, 0.5, 0.9])
+def test_candidates_in_rounds_and_with_common_skills(spark, score):
+    """Skills of many sets come last in the common order; pairs of skills are joined in several rounds."""
+    picks = random.Random(7)
+    some = lambda: sorted({*picks.sample(range(6), picks.randint(0, 3)), *picks.sample(range(6, 90), picks.choice([1, 2, 3, 6, 14, 33]))})
+    sets = {(side, i): some() for side in ("job", "resume") for i in range(150)}
+    sets |= {("resume", i): sets["job", i][i % 2:] + [100 + i] * (i % 3 == 0) for i in range(100)}
+    rows = spark.createDataFrame([(side, i, skills) for (side, i), skills in sets.items()], "side string, set_id long, skills array<int>")
+    found = [tuple(r) for r in joins.candidate_sets(rows, score, common_above=20, pairs_at_once=4000).collect()]
+    assert len(found) == len(set(found))
+    share = lambda a, b: len({*a} & {*b}) / len({*a} | {*b})
+    reached = {(a, b) for a in range(150) for b in range(150) if sets["job", a] and share(sets["job", a], sets["resume", b]) >= score}
+    assert reached and reached <= set(found)
+    assert not joins.candidate_sets(rows.filter("side = 'job'"), score).collect()
+
+
+def test_common_skills_are_last_rarest_first(spark):
+    rows = spark.createDataFrame(
+        [("job", i, ["a", "b", "m"] if i < 6 else ["a", "x"]) for i in range(9)] + [("resume", 0, ["x", "y"])],
+        "side string, set_id long, skills array<string>")
+    got = {(r["side"], r["set_id"]): r["skills"] for r in joins._common_last(rows, 3).collect()}
+    assert (got["job", 0], got["job", 8], got["resume", 0]) == (["b", "m", "a"], ["x", "a"], ["y", "x"])
+
+
+def test_skill_match_deletes_the_shuffles_of_its_steps(spark, folder):
+    """Shuffle files of a step go when its table is written."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    before = files()
+    matches = QUERIES["job_resume_match"](spark, folder)
+    until = time.time() + 30
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert matches.count() > 0
